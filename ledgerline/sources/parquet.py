@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from ledgerline.schemas import LOAD_ORDER, TABLE_SCHEMAS
+from ledgerline.schemas import ENVELOPE, LOAD_ORDER, TABLE_SCHEMAS
 from ledgerline.tables import BankTables
 
 
@@ -25,3 +25,10 @@ def read_parquet_tables(spark: SparkSession, base: str) -> BankTables:
         name: spark.read.schema(TABLE_SCHEMAS[name]).parquet(paths[name]) for name in LOAD_ORDER
     }
     return BankTables(**frames)
+
+
+def read_envelope(spark: SparkSession, path: str):
+    """The result envelope written by ``write_result_envelope`` (partitioned by
+    query_id), columns in declared order.  A ``query_id`` filter on it prunes
+    folders instead of scanning every query's rows."""
+    return spark.read.parquet(path).select(*[f.name for f in ENVELOPE.fields])
