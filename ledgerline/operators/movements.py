@@ -78,8 +78,8 @@ def deposits_per_customer(t: BankTables, as_of=None, months: int = 6) -> DataFra
 # Ordinary accounts use one window partition per account (one shuffle of
 # transactions, shared with the join on account_id).  An account can hold a
 # large share of all rows; a window would put all of it in one task.  Such hot
-# accounts (found by a partially-aggregated count, at most MAX_HOT_ACCOUNTS of
-# them, broadcast by id) take a chunked path:
+# accounts (found first by a partially-aggregated count; at most
+# MAX_HOT_ACCOUNTS ids are collected, as a literal IN-set) take a chunked path:
 #   1. range-partition their rows on (account, date, id): Spark samples the
 #      keys, so a hot account is cut into contiguous, similar-sized chunks;
 #      the chunk number is the partition id, frozen by a reliable checkpoint
@@ -118,7 +118,7 @@ def _running_plain(signed: DataFrame, accounts: DataFrame) -> DataFrame:
     )
 
 
-def _running_chunked(signed: DataFrame, accounts: DataFrame, hot: DataFrame, partitions: int) -> DataFrame:
+def _running_chunked(signed: DataFrame, accounts: DataFrame, hot_ids: list, partitions: int) -> DataFrame:
     spark = signed.sparkSession
     checkpoint_dir(spark)
     chunked = (
@@ -135,10 +135,11 @@ def _running_chunked(signed: DataFrame, accounts: DataFrame, hot: DataFrame, par
     later_chunks = Window.partitionBy("account_id").orderBy(F.desc("chunk")).rowsBetween(
         Window.unboundedPreceding, -1
     )
-    balances = accounts.join(F.broadcast(hot), "account_id").select("account_id", "balance")
+    balances = accounts.where(F.col("account_id").isin(hot_ids)).select("account_id", "balance")
+    # At most (#hot accounts + #chunks) rows: safe to broadcast.
     carries = (
         chunk_sums.withColumn("carry", F.coalesce(F.sum("chunk_sum").over(later_chunks), F.lit(0)))
-        .join(F.broadcast(balances), "account_id")
+        .join(balances, "account_id")
         .select("account_id", "chunk", "carry", "balance")
     )
     within = Window.partitionBy("account_id", "chunk").orderBy(*_later_first()).rowsBetween(
@@ -158,8 +159,8 @@ def _running_chunked(signed: DataFrame, accounts: DataFrame, hot: DataFrame, par
 
 def hot_accounts(transactions: DataFrame, threshold: int = HOT_ACCOUNT_ROWS, limit: int = MAX_HOT_ACCOUNTS) -> DataFrame:
     """Accounts with more than ``threshold`` transactions, the largest first,
-    at most ``limit`` of them (a bounded, broadcastable id list).  Accounts
-    past the limit are still answered exactly, by the per-account window."""
+    at most ``limit`` of them.  The count is a partial (map-side) aggregate,
+    so a hot account costs one row per task before the shuffle."""
     return (
         transactions.groupBy("account_id")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -170,6 +171,18 @@ def hot_accounts(transactions: DataFrame, threshold: int = HOT_ACCOUNT_ROWS, lim
     )
 
 
+def hot_account_ids(transactions: DataFrame, threshold: int = HOT_ACCOUNT_ROWS, limit: int = MAX_HOT_ACCOUNTS) -> list:
+    """The hot-account ids, brought to the driver to choose the plan.
+
+    This is the only value q2c collects: at most ``limit`` ids (80 KB for the
+    default 10,000), never rows.  Accounts past the limit are still answered
+    exactly, by the per-account window.
+    """
+    if limit <= 0:
+        return []
+    return [r[0] for r in hot_accounts(transactions, threshold, limit).collect()]
+
+
 def running_balances(
     t: BankTables,
     as_of=None,
@@ -177,16 +190,23 @@ def running_balances(
     max_hot_accounts: int = MAX_HOT_ACCOUNTS,
     hot_partitions: int | None = None,
 ) -> DataFrame:
-    """q2c -- the balance right after each transaction, rebuilt backwards."""
+    """q2c -- the balance right after each transaction, rebuilt backwards.
+
+    Runs one small job first (per-account counts) to find hot accounts; with
+    none, the plan is a single window per account joined with accounts.
+    """
     signed = _signed(t.transactions)
-    hot = hot_accounts(t.transactions, hot_threshold, max_hot_accounts)
-    ordinary = signed.join(F.broadcast(hot), "account_id", "left_anti")
-    result = _running_plain(ordinary, t.accounts)
-    if max_hot_accounts > 0:
+    hot_ids = hot_account_ids(t.transactions, hot_threshold, max_hot_accounts)
+    if not hot_ids:
+        result = _running_plain(signed, t.accounts)
+    else:
         spark = signed.sparkSession
         partitions = hot_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        hot_rows = signed.join(F.broadcast(hot), "account_id", "left_semi")
-        result = result.unionByName(_running_chunked(hot_rows, t.accounts, hot, partitions))
+        is_hot = F.col("account_id").isin(hot_ids)
+        ordinary = signed.where(F.col("account_id").isNull() | ~is_hot)
+        result = _running_plain(ordinary, t.accounts).unionByName(
+            _running_chunked(signed.where(is_hot), t.accounts, hot_ids, partitions)
+        )
     return result.orderBy(
         F.asc_nulls_first("account_id"),
         F.asc_nulls_first("transaction_date"),
