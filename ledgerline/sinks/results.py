@@ -47,7 +47,13 @@ def to_envelope(df: DataFrame, query_id: str, run_ts=None) -> DataFrame:
 
 
 def write_result_envelope(df: DataFrame, query_id: str, path: str, run_ts=None) -> str:
-    """E6 -- append the envelope rows of one result, partitioned by query_id
-    (so reading one query back prunes to its folder)."""
-    to_envelope(df, query_id, run_ts).write.mode("append").partitionBy("query_id").parquet(path)
+    """E6 -- append the envelope rows of one result under ``{path}/query_id=<id>``.
+
+    The layout is that of ``partitionBy("query_id")`` (reading one query back
+    prunes to its folder), but each query appends into its own folder, so
+    queries written at the same time from several threads never share a
+    commit directory.
+    """
+    folder = f"{path.rstrip('/')}/query_id={query_id}"
+    to_envelope(df, query_id, run_ts).drop("query_id").write.mode("append").parquet(folder)
     return path

@@ -31,4 +31,4 @@ def read_envelope(spark: SparkSession, path: str):
     """The result envelope written by ``write_result_envelope`` (partitioned by
     query_id), columns in declared order.  A ``query_id`` filter on it prunes
     folders instead of scanning every query's rows."""
-    return spark.read.parquet(path).select(*[f.name for f in ENVELOPE.fields])
+    return spark.read.schema(ENVELOPE).parquet(path).select(*[f.name for f in ENVELOPE.fields])

@@ -9,7 +9,7 @@ from conftest import SF_SMALL, account, customer, rows, tx
 from ledgerline.operators import BANKING_QUERIES
 from ledgerline.plans.pipeline import CONSTRAINTS_RESULT, run_pipeline
 from ledgerline.sinks.csv import write_csv_table
-from ledgerline.sources.parquet import read_parquet_tables
+from ledgerline.sources.parquet import read_envelope, read_parquet_tables
 from ledgerline.sources.testdata import TESTDATA_AS_OF, bank_tables_from_testdata
 from ledgerline.streaming import ingest_landing
 
@@ -26,7 +26,7 @@ def test_pipeline_writes_all_results_and_matches_queries(spark, scratch):
         stored = rows(spark.read.parquet(written[key]))
         direct = rows(BANKING_QUERIES[key](tables, TESTDATA_AS_OF))
         assert sorted(stored, key=repr) == sorted(direct, key=repr), key
-    env = spark.read.parquet(f"{scratch}/envelope")
+    env = read_envelope(spark, f"{scratch}/envelope")
     assert env.select("query_id").distinct().count() == 13
     assert env.where("query_id = 'q2c'").count() == 5516
     # A second run stages nothing new and rewrites the results.
