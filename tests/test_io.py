@@ -136,3 +136,32 @@ def test_csv_raw_keeps_text(spark, scratch):
     path = f"{scratch}/c.csv"
     _write(path, "customer_id,first_name,last_name,date_of_birth,address,city,state,zip\nx1,a,b,c,d,e,f,g\n")
     assert rows(read_csv_raw(spark, path, CUSTOMERS)) == [("x1", "a", "b", "c", "d", "e", "f", "g")]
+
+
+def test_e2_transactions_clustered_by_date(spark, scratch):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from ledgerline.sources.testdata import bank_tables_from_testdata
+
+    store = f"{scratch}/store"
+    # Small input: keep AQE from merging everything into one file.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        append_tables(bank_tables_from_testdata(spark, "/root/testdata/sf0.001"), store)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    ranges = []
+    for f in glob.glob(f"{store}/transactions/*.parquet"):
+        meta = pq.ParquetFile(f).metadata
+        col = [meta.schema.column(i).name for i in range(meta.num_columns)].index("transaction_date")
+        for g in range(meta.num_row_groups):
+            st = meta.row_group(g).column(col).statistics
+            if st is not None and st.has_min_max:
+                ranges.append((st.min, st.max))
+    assert len(ranges) > 1
+    ranges.sort()
+    # Files cover consecutive, non-overlapping date ranges (a shared boundary day at most).
+    for (lo1, hi1), (lo2, hi2) in zip(ranges, ranges[1:]):
+        assert hi1 <= lo2
