@@ -17,6 +17,11 @@ Plan notes (at scale ``lineitem`` is by far the largest input):
   satisfies the clustering on the three keys) and any later join with
   ``accounts`` on ``account_id``.  Whether the semi join broadcasts is left
   to the size check of Catalyst/AQE.
+* ``MIN`` of the string column ``l_returnflag`` makes this a sort-based
+  aggregate (string buffers are not hash-aggregatable).  Repartitioning on
+  the keys first would save one sort, but it gives up the map-side partial
+  aggregate that folds a key repeated across many rows before the shuffle,
+  so the default two-phase plan is kept.
 """
 
 from __future__ import annotations
