@@ -11,17 +11,18 @@ Plan notes (at scale ``lineitem`` is by far the largest input):
   ``customer``: no shuffle.
 * ``transactions`` keeps only line items whose order became an account
   (a left-semi join on ``l_orderkey``) and collapses repeated
-  ``(l_orderkey, l_linenumber, l_partkey)`` keys with MIN.  Catalyst pushes
-  the semi join below the aggregate, so one exchange of ``lineitem`` on
-  ``l_orderkey`` serves the semi join, the aggregate (hash(l_orderkey)
-  satisfies the clustering on the three keys) and any later join with
-  ``accounts`` on ``account_id``.  Whether the semi join broadcasts is left
-  to the size check of Catalyst/AQE.
+  ``(l_orderkey, l_linenumber, l_partkey)`` keys with MIN.  When ``accounts``
+  is small enough to broadcast (the size check of Catalyst/AQE decides), the
+  semi join is map-side and the aggregate runs in two phases around one
+  exchange on the three keys, so repeated keys fold before the shuffle.  When
+  both sides are large, Catalyst pushes the semi join below the aggregate:
+  one exchange of ``lineitem`` on ``l_orderkey`` then serves the semi join,
+  the aggregate (hash(l_orderkey) satisfies the clustering on the three
+  keys) and the later joins with ``accounts`` on ``account_id``.
 * ``MIN`` of the string column ``l_returnflag`` makes this a sort-based
-  aggregate (string buffers are not hash-aggregatable).  Repartitioning on
-  the keys first would save one sort, but it gives up the map-side partial
-  aggregate that folds a key repeated across many rows before the shuffle,
-  so the default two-phase plan is kept.
+  aggregate (string buffers are not hash-aggregatable).
+* This is the adapter for the driver's test tables; production input comes
+  from the Parquet store written by the pipeline.
 """
 
 from __future__ import annotations
