@@ -38,6 +38,17 @@ def _banking(key: str) -> QueryFn:
     return run
 
 
+def _banking_sql(key: str) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from ledgerline.plans.sql import run_sql
+
+        return run_sql(spark, bank_tables_from_testdata(spark, sf_dir), key, TESTDATA_AS_OF)
+
+    run.__name__ = f"sql_{key}"
+    run.__doc__ = f"{key} through spark.sql (SQL text, DataFrame arguments, :as_of marker)."
+    return run
+
+
 def word_count_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E10 over every document text."""
     return word_count(documents_text(spark, sf_dir))
@@ -79,6 +90,7 @@ def csv_round_trip_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registered_queries() -> dict[str, QueryFn]:
     queries: dict[str, QueryFn] = {key: _banking(key) for key in BANKING_QUERIES}
+    queries.update({f"sql_{key}": _banking_sql(key) for key in BANKING_QUERIES})
     queries.update(
         {
             "word_count": word_count_query,

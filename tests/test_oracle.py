@@ -64,6 +64,7 @@ def test_matches_oracle(spark, duck, name):
 
 def test_every_query_has_an_oracle_or_is_rows_only():
     assert set(entry_module.queries()) - set(entry_module.oracle_sql()) == {"envelope_latest"}
+    assert {f"sql_{k}" for k in EXPECTED_ROWS_SF001 if k.startswith("q")} <= set(entry_module.queries())
 
 
 def test_entry_smoke(spark):
