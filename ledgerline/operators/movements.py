@@ -75,8 +75,9 @@ def deposits_per_customer(t: BankTables, as_of=None, months: int = 6) -> DataFra
 # i.e. the balance minus everything that happened after r.  A NULL date counts
 # as the oldest.
 #
-# Ordinary accounts use one window partition per account (one shuffle of
-# transactions, shared with the join on account_id).  An account can hold a
+# Ordinary accounts use one window partition per account; the account rows
+# are co-grouped into the same range exchange instead of joined, so one
+# shuffle serves the window, the balance and the final ORDER BY.  An account can hold a
 # large share of all rows; a window would put all of it in one task.  Such hot
 # accounts (found first by a partially-aggregated count; at most
 # MAX_HOT_ACCOUNTS ids are collected, as a literal IN-set) take a chunked path:
@@ -108,13 +109,41 @@ def _running(balance_col, later_col) -> F.Column:
 
 
 def _running_plain(signed: DataFrame, accounts: DataFrame) -> DataFrame:
-    before = Window.partitionBy("account_id").orderBy(*_later_first()).rowsBetween(
-        Window.unboundedPreceding, -1
+    """Per-account window, with the balance co-grouped instead of joined.
+
+    Account rows (carrying ``struct(balance)``) are unioned with the
+    transaction rows and both are range-partitioned on ``account_id`` -- one
+    exchange.  Inside an account's window the transactions see the running
+    sum of later rows, and the list of its account rows (normally one; a
+    duplicated key yields one output row per account row, as an inner join
+    would; none drops the transaction, as an inner join would).  Because the
+    partitioning is a range on ``account_id``, the final ORDER BY (account,
+    date, id) needs only a sort within partitions, not a second shuffle.
+    """
+    tx_rows = signed.select(*_TX_COLUMNS, "signed", F.lit(None).cast("struct<balance:double>").alias("owner"))
+    account_rows = accounts.select(
+        "account_id",
+        *[F.lit(None).cast(t).alias(c) for c, t in (
+            ("transaction_id", "bigint"), ("transaction_date", "date"),
+            ("transaction_type", "string"), ("amount", "double"),
+        )],
+        F.lit(None).cast(signed.schema["signed"].dataType).alias("signed"),
+        F.struct("balance").alias("owner"),
     )
+    order = Window.partitionBy("account_id").orderBy(*_later_first())
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return (
-        signed.withColumn("later", F.sum("signed").over(before))
-        .join(accounts.select("account_id", "balance"), "account_id")
-        .select(*_TX_COLUMNS, _running("balance", "later").alias("running_balance"))
+        tx_rows.unionByName(account_rows)
+        .repartitionByRange(F.asc_nulls_first("account_id"))
+        .select(
+            "*",
+            F.sum("signed").over(before).alias("later"),
+            F.collect_list("owner").over(whole).alias("owners"),
+        )
+        .where(F.col("owner").isNull())
+        .select(*_TX_COLUMNS, "later", F.explode("owners").alias("o"))
+        .select(*_TX_COLUMNS, _running("o.balance", "later").alias("running_balance"))
     )
 
 

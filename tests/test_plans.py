@@ -51,12 +51,15 @@ def test_q2a_filters_pushed_and_columns_pruned(spark, staged):
     assert "description" not in plan
 
 
-def test_q2c_one_shuffle_of_transactions_serves_window_and_join(spark, staged):
+def test_q2c_one_range_shuffle_serves_window_balance_and_order(spark, staged):
     with large_table_planning(spark):
         plan = plan_of(running_balances(staged, TESTDATA_AS_OF))
-    assert plan.count("- Exchange hashpartitioning(account_id") == 2  # transactions + accounts
-    assert "Window [sum(signed" in plan
-    assert "SortMergeJoin [account_id" in plan
+    # Transactions and account rows go through a single range exchange on
+    # account_id; the window, the balance lookup and the final ORDER BY reuse it.
+    assert plan.count("- Exchange ") == 1
+    assert "Exchange rangepartitioning(account_id" in plan
+    assert "Window [sum(signed" in plan and "collect_list(owner" in plan
+    assert "Join" not in plan
 
 
 def test_q2c_hot_path_is_chunked(spark, staged):
