@@ -9,6 +9,7 @@ from ledgerline.operators.checks import check_constraints
 from ledgerline.operators.envelope import latest_rows, unpack_q1a, unpack_rows
 from ledgerline.operators.movements import (
     deposits_per_customer,
+    hot_account_counts,
     hot_account_ids,
     hot_accounts,
     large_withdrawals,
@@ -47,6 +48,7 @@ __all__ = [
     "check_constraints",
     "deposits_per_customer",
     "duplicate_account_types",
+    "hot_account_counts",
     "hot_account_ids",
     "hot_accounts",
     "invalid_transaction_types",

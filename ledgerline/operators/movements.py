@@ -20,8 +20,10 @@ from ledgerline.tables import BankTables
 # An account with more transactions than this is "hot": its running balance is
 # computed over range-split chunks instead of one window partition.
 HOT_ACCOUNT_ROWS = 1_000_000
-# Upper bound on the hot-account list that is broadcast (ids only).
+# Upper bound on the hot-account list brought to the driver (ids and counts).
 MAX_HOT_ACCOUNTS = 10_000
+# Target rows per chunk of a hot account's range split.
+HOT_CHUNK_ROWS = 2_000_000
 
 
 def large_withdrawals(t: BankTables, as_of=None, days: int = 30) -> DataFrame:
@@ -187,29 +189,36 @@ def _running_chunked(signed: DataFrame, accounts: DataFrame, hot_ids: list, part
 
 
 def hot_accounts(transactions: DataFrame, threshold: int = HOT_ACCOUNT_ROWS, limit: int = MAX_HOT_ACCOUNTS) -> DataFrame:
-    """Accounts with more than ``threshold`` transactions, the largest first,
-    at most ``limit`` of them.  The count is a partial (map-side) aggregate,
-    so a hot account costs one row per task before the shuffle."""
+    """``(account_id, n)`` for accounts with more than ``threshold``
+    transactions, the largest first, at most ``limit`` of them.  The count is
+    a partial (map-side) aggregate, so a hot account costs one row per task
+    before the shuffle, and the top-``limit`` is taken per partition first."""
     return (
         transactions.groupBy("account_id")
         .agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") > threshold)
         .orderBy(F.desc("n"), F.asc("account_id"))
         .limit(limit)
-        .select("account_id")
     )
 
 
-def hot_account_ids(transactions: DataFrame, threshold: int = HOT_ACCOUNT_ROWS, limit: int = MAX_HOT_ACCOUNTS) -> list:
-    """The hot-account ids, brought to the driver to choose the plan.
+def hot_account_counts(
+    transactions: DataFrame, threshold: int = HOT_ACCOUNT_ROWS, limit: int = MAX_HOT_ACCOUNTS
+) -> list[tuple[int, int]]:
+    """The hot accounts and their row counts, brought to the driver to choose
+    the plan.
 
-    This is the only value q2c collects: at most ``limit`` ids (80 KB for the
-    default 10,000), never rows.  Accounts past the limit are still answered
-    exactly, by the per-account window.
+    This is the only value q2c collects: at most ``limit`` (id, count) pairs
+    (160 KB for the default 10,000), never rows.  Accounts past the limit are
+    still answered exactly, by the per-account window.
     """
     if limit <= 0:
         return []
-    return [r[0] for r in hot_accounts(transactions, threshold, limit).collect()]
+    return [(r[0], r[1]) for r in hot_accounts(transactions, threshold, limit).collect()]
+
+
+def hot_account_ids(transactions: DataFrame, threshold: int = HOT_ACCOUNT_ROWS, limit: int = MAX_HOT_ACCOUNTS) -> list:
+    return [account for account, _ in hot_account_counts(transactions, threshold, limit)]
 
 
 def running_balances(
@@ -225,12 +234,14 @@ def running_balances(
     none, the plan is a single window per account joined with accounts.
     """
     signed = _signed(t.transactions)
-    hot_ids = hot_account_ids(t.transactions, hot_threshold, max_hot_accounts)
+    hot = hot_account_counts(t.transactions, hot_threshold, max_hot_accounts)
+    hot_ids = [account for account, _ in hot]
     if not hot_ids:
         result = _running_plain(signed, t.accounts)
     else:
-        spark = signed.sparkSession
-        partitions = hot_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        # Chunks sized by the data: about HOT_CHUNK_ROWS rows each.
+        hot_rows = sum(n for _, n in hot)
+        partitions = hot_partitions or max(1, -(-hot_rows // HOT_CHUNK_ROWS))
         is_hot = F.col("account_id").isin(hot_ids)
         ordinary = signed.where(F.col("account_id").isNull() | ~is_hot)
         result = _running_plain(ordinary, t.accounts).unionByName(

@@ -50,6 +50,9 @@ def test_q2c_hot_path_equals_plain_path_on_testdata(spark):
     plain = rows(running_balances(t, TESTDATA_AS_OF))
     forced = rows(running_balances(t, TESTDATA_AS_OF, hot_threshold=3, max_hot_accounts=200, hot_partitions=7))
     assert plain == forced
+    # Chunk count from the hot row counts (here one chunk).
+    sized = rows(running_balances(t, TESTDATA_AS_OF, hot_threshold=3, max_hot_accounts=200))
+    assert plain == sized
 
 
 _dates = st.one_of(st.none(), st.dates(min_value=dt.date(2024, 1, 1), max_value=dt.date(2024, 1, 10)))
