@@ -100,3 +100,20 @@ def test_transactions_aggregated_per_account_before_joins(spark, staged, key):
     assert plan.count("- Exchange hashpartitioning(account_id") == expected
     if key == "q3b":
         assert "ReusedExchange [account_id" in plan
+
+
+def test_envelope_read_back_prunes_to_one_query(spark, staged, tmp_path):
+    from ledgerline.operators import latest_rows, unpack_q1a
+    from ledgerline.sinks.results import write_result_envelope
+    from ledgerline.sources.parquet import read_envelope
+
+    path = str(tmp_path / "envelope")
+    for key in ("q1a", "q4e"):
+        write_result_envelope(BANKING_QUERIES[key](staged, TESTDATA_AS_OF), key, path, run_ts="2001-08-01T06:00:00")
+    env = read_envelope(spark, path)
+    with large_table_planning(spark):
+        for df in (latest_rows(env, "q1a", 50), unpack_q1a(env)):
+            plan = plan_of(df)
+            assert "PartitionFilters: [isnotnull(query_id" in plan and "(query_id" in plan
+    assert "TakeOrderedAndProject(limit=50" in plan_of(latest_rows(env, "q1a", 50))
+    assert unpack_q1a(env).count() == BANKING_QUERIES["q1a"](staged, TESTDATA_AS_OF).count()
