@@ -2,7 +2,8 @@
 
 Order: load (CSV or given tables) -> constraint report -> idempotent append to
 the Parquet store -> read the store back -> each query -> one Parquet folder
-per query (E5) and, optionally, the JSON-row envelope (E6).
+per query (E5) and, optionally, the JSON-row envelope (E6), built from the
+written result folder rather than by running the query a second time.
 
 Staging the inputs once in Parquet cuts the lineage (a retry re-reads the
 store, not the source) and gives every query column pruning and pushed
@@ -48,6 +49,7 @@ def run_pipeline(
     queries=None,
     mode: str = "overwrite",
     parallel_jobs: int = 1,
+    single_file: bool = False,
 ) -> dict[str, str]:
     """Run the job.  ``source`` is a CSV base folder or ``BankTables``."""
     if isinstance(source, BankTables):
@@ -68,9 +70,12 @@ def run_pipeline(
 
     def run_one(key):
         df = selected[key](staged, as_of)
-        path = write_result_parquet(df, out, key, mode)
+        path = write_result_parquet(df, out, key, mode, single_file)
         if envelope_path:
-            write_result_envelope(df, key, envelope_path, run_ts)
+            # From the written result, so the query is not computed twice
+            # (an appended folder also holds earlier runs: recompute then).
+            source_df = spark.read.parquet(path) if mode == "overwrite" else df
+            write_result_envelope(source_df, key, envelope_path, run_ts)
         return key, path
 
     if parallel_jobs > 1:

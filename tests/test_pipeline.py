@@ -75,3 +75,16 @@ def test_streaming_ingest_is_incremental_and_idempotent(spark, scratch):
     assert read_parquet_tables(spark, store).transactions.count() == 2
     fresh = [customer(1), account(10, 1), tx(100, 10)]
     assert fresh  # fixture helpers stay importable for readers of this test
+
+
+def test_command_line_run(spark, scratch):
+    from ledgerline.__main__ import main
+
+    tables = bank_tables_from_testdata(spark, SF_SMALL)
+    src = f"{scratch}/csv"
+    for name, df in tables.items():
+        write_csv_table(df, f"{src}/{name}.csv")
+    assert main(["run", "--source", src, "--store", f"{scratch}/store", "--out", f"{scratch}/out",
+                 "--as-of", "2001-08-01", "--queries", "q1c,q4e", "--single-file"]) == 0
+    assert spark.read.parquet(f"{scratch}/out/q1c").count() == 5
+    assert spark.read.parquet(f"{scratch}/out/q4e").count() == 116
