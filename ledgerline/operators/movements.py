@@ -81,8 +81,9 @@ def deposits_per_customer(t: BankTables, as_of=None, months: int = 6) -> DataFra
 # are co-grouped into the same range exchange instead of joined, so one
 # shuffle serves the window, the balance and the final ORDER BY.  An account can hold a
 # large share of all rows; a window would put all of it in one task.  Such hot
-# accounts (found first by a partially-aggregated count; at most
-# MAX_HOT_ACCOUNTS ids are collected, as a literal IN-set) take a chunked path:
+# accounts (found first by a frequent-items sketch plus exact counts of its
+# candidates; at most MAX_HOT_ACCOUNTS ids are collected and broadcast back as
+# a one-column frame) take a chunked path:
 #   1. range-partition their rows on (account, date, id): Spark samples the
 #      keys, so a hot account is cut into contiguous, similar-sized chunks;
 #      the chunk number is the partition id, frozen by a reliable checkpoint
@@ -149,7 +150,7 @@ def _running_plain(signed: DataFrame, accounts: DataFrame) -> DataFrame:
     )
 
 
-def _running_chunked(signed: DataFrame, accounts: DataFrame, hot_ids: list, partitions: int) -> DataFrame:
+def _running_chunked(signed: DataFrame, accounts: DataFrame, hot_frame: DataFrame, partitions: int) -> DataFrame:
     spark = signed.sparkSession
     checkpoint_dir(spark)
     chunked = (
@@ -166,7 +167,7 @@ def _running_chunked(signed: DataFrame, accounts: DataFrame, hot_ids: list, part
     later_chunks = Window.partitionBy("account_id").orderBy(F.desc("chunk")).rowsBetween(
         Window.unboundedPreceding, -1
     )
-    balances = accounts.where(F.col("account_id").isin(hot_ids)).select("account_id", "balance")
+    balances = accounts.join(hot_frame, "account_id", "left_semi").select("account_id", "balance")
     # At most (#hot accounts + #chunks) rows: safe to broadcast.
     carries = (
         chunk_sums.withColumn("carry", F.coalesce(F.sum("chunk_sum").over(later_chunks), F.lit(0)))
@@ -188,33 +189,52 @@ def _running_chunked(signed: DataFrame, accounts: DataFrame, hot_ids: list, part
     )
 
 
-def hot_accounts(transactions: DataFrame, threshold: int = HOT_ACCOUNT_ROWS, limit: int = MAX_HOT_ACCOUNTS) -> DataFrame:
-    """``(account_id, n)`` for accounts with more than ``threshold``
-    transactions, the largest first, at most ``limit`` of them.  The count is
-    a partial (map-side) aggregate, so a hot account costs one row per task
-    before the shuffle, and the top-``limit`` is taken per partition first."""
-    return (
-        transactions.groupBy("account_id")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > threshold)
-        .orderBy(F.desc("n"), F.asc("account_id"))
-        .limit(limit)
-    )
+def _id_frame(spark, ids: list) -> DataFrame:
+    """A one-column frame of at most MAX_HOT_ACCOUNTS ids (safe to broadcast)."""
+    return spark.createDataFrame([(int(i),) for i in ids], "account_id bigint")
+
+
+def hot_account_candidates(transactions: DataFrame, limit: int = MAX_HOT_ACCOUNTS) -> list:
+    """Accounts that may hold at least 1/``limit`` of all transactions.
+
+    ``freqItems`` (the frequent-element algorithm of Karp, Schenker and
+    Papadimitriou) keeps at most ``limit`` counters per task and merges them:
+    one pass over ``account_id``, no shuffle of per-account rows, and every
+    account above the support is guaranteed to be returned (false positives
+    are possible, hence the exact check in ``hot_account_counts``).  The list
+    is bounded by ``limit`` ids.
+    """
+    support = max(1.0 / limit, 1e-4)
+    row = transactions.select("account_id").freqItems(["account_id"], support).first()
+    return [a for a in (row[0] or []) if a is not None][:limit]
 
 
 def hot_account_counts(
     transactions: DataFrame, threshold: int = HOT_ACCOUNT_ROWS, limit: int = MAX_HOT_ACCOUNTS
 ) -> list[tuple[int, int]]:
-    """The hot accounts and their row counts, brought to the driver to choose
-    the plan.
-
-    This is the only value q2c collects: at most ``limit`` (id, count) pairs
-    (160 KB for the default 10,000), never rows.  Accounts past the limit are
-    still answered exactly, by the per-account window.
+    """Hot accounts (more than ``threshold`` rows) with their exact row counts.
+
+    The candidates come from ``hot_account_candidates``; their exact counts
+    are taken over the candidate rows only (an IN-set filter, then a partial
+    aggregate of at most ``limit`` groups).  At most ``limit`` (id, count)
+    pairs reach the driver, never rows.  An account the sketch can miss holds
+    less than 1/``limit`` of the table -- no more than one task's share of a
+    ``limit``-partition shuffle -- and is answered exactly by the
+    per-account window.
     """
     if limit <= 0:
         return []
-    return [(r[0], r[1]) for r in hot_accounts(transactions, threshold, limit).collect()]
+    candidates = hot_account_candidates(transactions, limit)
+    if not candidates:
+        return []
+    counts = (
+        transactions.join(F.broadcast(_id_frame(transactions.sparkSession, candidates)), "account_id", "left_semi")
+        .groupBy("account_id")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") > threshold)
+        .collect()
+    )
+    return sorted(((r[0], r[1]) for r in counts), key=lambda p: (-p[1], p[0]))
 
 
 def hot_account_ids(transactions: DataFrame, threshold: int = HOT_ACCOUNT_ROWS, limit: int = MAX_HOT_ACCOUNTS) -> list:
@@ -230,8 +250,10 @@ def running_balances(
 ) -> DataFrame:
     """q2c -- the balance right after each transaction, rebuilt backwards.
 
-    Runs one small job first (per-account counts) to find hot accounts; with
-    none, the plan is a single window per account joined with accounts.
+    Two small jobs first find hot accounts (a frequent-items sketch, then
+    exact counts of its candidates).  With none, the plan is one range
+    exchange that co-groups transactions and account rows, a window per
+    account, and the final ORDER BY without another shuffle.
     """
     signed = _signed(t.transactions)
     hot = hot_account_counts(t.transactions, hot_threshold, max_hot_accounts)
@@ -242,10 +264,11 @@ def running_balances(
         # Chunks sized by the data: about HOT_CHUNK_ROWS rows each.
         hot_rows = sum(n for _, n in hot)
         partitions = hot_partitions or max(1, -(-hot_rows // HOT_CHUNK_ROWS))
-        is_hot = F.col("account_id").isin(hot_ids)
-        ordinary = signed.where(F.col("account_id").isNull() | ~is_hot)
+        hot_frame = F.broadcast(_id_frame(signed.sparkSession, hot_ids))
+        ordinary = signed.join(hot_frame, "account_id", "left_anti")
+        hot_rows_df = signed.join(hot_frame, "account_id", "left_semi")
         result = _running_plain(ordinary, t.accounts).unionByName(
-            _running_chunked(signed.where(is_hot), t.accounts, hot_ids, partitions)
+            _running_chunked(hot_rows_df, t.accounts, hot_frame, partitions)
         )
     return result.orderBy(
         F.asc_nulls_first("account_id"),
