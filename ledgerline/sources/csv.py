@@ -35,16 +35,13 @@ CSV_READ_OPTIONS = {
 }
 
 
-def _as_text(schema: StructType) -> StructType:
+def text_schema(schema: StructType) -> StructType:
+    """The declared column names, every column as nullable text."""
     return StructType([StructField(f.name, StringType(), True) for f in schema.fields])
 
 
-def read_csv_raw(spark: SparkSession, path: str, schema: StructType, **options) -> DataFrame:
-    """The CSV with every declared column as text (header names are not trusted:
-    columns are taken by position, as declared)."""
-    opts = dict(CSV_READ_OPTIONS)
-    opts.update({k: str(v) for k, v in options.items()})
-    raw = spark.read.schema(_as_text(schema)).options(**opts).csv(path)
+def restore_empty_strings(raw: DataFrame, schema: StructType) -> DataFrame:
+    """Turn the quoted-empty marker back into ``""`` (NULL stays NULL)."""
     return raw.select(
         *[
             F.when(F.col(f.name) == F.lit(_EMPTY_MARKER), F.lit("")).otherwise(F.col(f.name)).alias(f.name)
@@ -53,6 +50,14 @@ def read_csv_raw(spark: SparkSession, path: str, schema: StructType, **options)
     )
 
 
+def read_csv_raw(spark: SparkSession, path: str, schema: StructType, **options) -> DataFrame:
+    """The CSV with every declared column as text (header names are not trusted:
+    columns are taken by position, as declared)."""
+    opts = dict(CSV_READ_OPTIONS)
+    opts.update({k: str(v) for k, v in options.items()})
+    return restore_empty_strings(spark.read.schema(text_schema(schema)).options(**opts).csv(path), schema)
+
+
 def read_csv_table(spark: SparkSession, path: str, schema: StructType, **options) -> DataFrame:
     return cast_to_schema(read_csv_raw(spark, path, schema, **options), schema)
 

@@ -25,31 +25,23 @@ from ledgerline.functions.casting import cast_to_schema
 from ledgerline.schemas import LOAD_ORDER, TABLE_SCHEMAS
 from ledgerline.session import checkpoint_dir
 from ledgerline.sinks.tables import append_table
-from ledgerline.sources.csv import CSV_READ_OPTIONS, _as_text, _EMPTY_MARKER
+from ledgerline.sources.csv import CSV_READ_OPTIONS, restore_empty_strings, text_schema
 from ledgerline.sources.parquet import table_paths
 
 
 def csv_stream(spark: SparkSession, folder: str, table: str, max_files_per_trigger: int | None = None) -> DataFrame:
     schema = TABLE_SCHEMAS[table]
-    reader = spark.readStream.schema(_as_text(schema)).options(**CSV_READ_OPTIONS)
+    reader = spark.readStream.schema(text_schema(schema)).options(**CSV_READ_OPTIONS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.csv(folder)
 
 
 def _append_batch(table: str, path: str):
-    from pyspark.sql import functions as F
-
     schema = TABLE_SCHEMAS[table]
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        text = batch.select(
-            *[
-                F.when(F.col(f.name) == F.lit(_EMPTY_MARKER), F.lit("")).otherwise(F.col(f.name)).alias(f.name)
-                for f in schema.fields
-            ]
-        )
-        append_table(cast_to_schema(text, schema), path, table)
+        append_table(cast_to_schema(restore_empty_strings(batch, schema), schema), path, table)
 
     return handle
 
