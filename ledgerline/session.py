@@ -2,13 +2,14 @@
 
 On a cluster the session comes from ``spark-submit``; nothing here overrides
 settings that are already present.  ``checkpoint_dir`` reads the shared
-folder the cluster names in ``spark.checkpoint.dir`` and only invents a
-local one when none is configured (tests).
+folder the cluster names in ``spark.checkpoint.dir``; where none is set it
+makes a local one for a ``local`` master (tests) and fails on a cluster.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -39,14 +40,19 @@ def local_session(master: str | None = None, app_name: str = "ledgerline", conf=
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The reliable checkpoint folder; set from ``spark.checkpoint.dir`` if needed."""
+    """The reliable checkpoint folder; set from ``spark.checkpoint.dir`` if needed.
+
+    A machine-local folder is used for a ``local`` master only: executors on
+    other machines could not read it.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached when nothing is configured (local tests): a fresh folder.
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
