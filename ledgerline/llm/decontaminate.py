@@ -24,6 +24,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import ahocorasick
 import numpy as np
@@ -48,6 +49,13 @@ def benchmark_words(text: str) -> list[bytes]:
     return text.encode().translate(_WORD_BYTES).split()
 
 
+class Windows:
+    """The automaton of a shard and the length of its shortest window."""
+
+    def __init__(self, words, shortest: int):
+        self.words, self.shortest = words, shortest
+
+
 @lru_cache(maxsize=4)
 def _automaton(items: tuple[tuple[str, str], ...], window: int):
     """(word numbers, automaton, item ids of each window number) of one shard."""
@@ -59,11 +67,11 @@ def _automaton(items: tuple[tuple[str, str], ...], window: int):
             owners.setdefault(tuple(words[i : i + window]), set()).add(item_id)
     if not owners:
         return numbers, None
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+    words = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
     for window_words, ids in owners.items():
-        automaton.add_word(window_words, (len(window_words), tuple(sorted(ids))))
-    automaton.make_automaton()
-    return numbers, automaton
+        words.add_word(window_words, (len(window_words), tuple(sorted(ids))))
+    words.make_automaton()
+    return numbers, Windows(words, min(map(len, owners)))
 
 
 def merge_runs(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -78,18 +86,25 @@ def merge_runs(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def scan_words(words: list[bytes], numbers: dict[bytes, int], automaton) -> tuple[list[tuple[int, int]], set[str]]:
+    """Hit word ranges and the items hit.
+
+    A word of no item (number 0) sends the automaton back to its start, so it is run on the
+    stretches between such words, and only on those as long as the shortest window.
+    """
+    if automaton is None or not words:
+        return [], set()
+    ids = np.zeros(len(words) + 2, dtype=np.int64)
+    ids[1:-1] = np.fromiter(map(numbers.get, words, repeat(0)), dtype=np.int64, count=len(words))
+    turns = np.flatnonzero(np.diff(ids != 0))
+    starts, ends = turns[::2], turns[1::2]
+    long = ends - starts >= automaton.shortest
     runs, items = [], set()
-    if automaton is not None and words:
-        get = numbers.get
-        last = -1
-        for end, (length, ids) in automaton.iter(tuple([get(w, 0) for w in words])):
-            items.update(ids)
-            lo = end - length + 1
-            if runs and lo <= last + 1 and lo >= runs[-1][0]:
-                runs[-1] = (runs[-1][0], max(last, end))
-            else:
-                runs.append((lo, end))
-            last = runs[-1][1]
+    for start, end in zip(starts[long].tolist(), ends[long].tolist()):
+        for last, (length, owners) in automaton.words.iter(tuple(ids[start + 1 : end + 1].tolist())):
+            items.update(owners)
+            runs.append((start + last - length + 1, start + last))
+            if len(runs) > 4096:
+                runs = merge_runs(runs)
     return merge_runs(runs), items
 
 

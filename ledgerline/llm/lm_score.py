@@ -55,17 +55,25 @@ def pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+class _Numbers(dict):
+    """Numbers words as they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 class Block:
     """Texts of one block as word numbers, with their distinct n-grams."""
 
     def __init__(self, texts, training):
-        numbers: dict[bytes, int] = {START: 0}
+        numbers = _Numbers({START: 0})
         self.lengths = np.zeros(len(texts), dtype=np.int64)
         parts = []
         for i, text in enumerate(texts):
             words = tokens(text)
             self.lengths[i] = len(words)
-            parts.append(np.fromiter([numbers.setdefault(w, len(numbers)) for w in words], dtype=np.int64, count=len(words)))
+            parts.append(np.fromiter(map(numbers.__getitem__, words), dtype=np.int64, count=len(words)))
         self.words = np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64)
         self.keys = np.fromiter(map(xxhash.xxh64_intdigest, numbers), dtype=np.uint64, count=len(numbers))
         self.starts = np.cumsum(self.lengths) - self.lengths

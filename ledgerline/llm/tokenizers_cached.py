@@ -16,10 +16,10 @@ from functools import lru_cache
 
 import numpy as np
 
-MEMO = 300_000
+MEMO = 500_000
 
 # A space with a non-space on both sides always starts a pre-token of the byte-level BPE.
-_SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+_SAFE_SPACE = re.compile(r"(?<=\S)(?= \S)")
 
 
 def public_path(name: str) -> str:
@@ -37,24 +37,52 @@ def load_tokenizer(path: str):
 
 
 class ChunkCounter:
-    """Token counts of texts for a tokenizer that drops white space before encoding."""
+    """Token counts of texts for a tokenizer that drops white space before encoding.
+
+    Chunks that are new are encoded together, with a bar between them: alone between
+    spaces it is one pre-token and one token, so it marks the borders.
+    """
+
+    BAR = "|"
 
     def __init__(self, path: str):
         self.tokenizer = load_tokenizer(path)
         self.memo: dict[bytes, int] = {}
+        bar = self._encode(self.BAR)
+        self.bar = bar[0] if len(bar) == 1 else None
+
+    def _encode(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def _learn(self, chunks: set[bytes]) -> dict[bytes, int]:
+        new: dict[bytes, int] = {}
+        plain = [c for c in chunks if b"|" not in c] if self.bar is not None else []
+        for at in range(0, len(plain), 5_000):
+            part = plain[at : at + 5_000]
+            ids = np.asarray(self._encode(f" {self.BAR} ".join([c.decode() for c in part])))
+            borders = np.flatnonzero(ids == self.bar)
+            if len(borders) == len(part) - 1:
+                new.update(zip(part, (np.diff(borders, prepend=-1, append=len(ids)) - 1).tolist()))
+        for c in chunks:
+            if c not in new:
+                new[c] = len(self._encode(c.decode()))
+        return new
 
     def counts(self, texts: list[str]) -> list[int]:
         split = [t.encode().split() for t in texts]
         memo = self.memo
-        missing = list({c for chunks in split for c in chunks if c not in memo})
-        if len(memo) + len(missing) > MEMO:
+        if len(memo) > MEMO:
             memo.clear()
-            missing = list({c for chunks in split for c in chunks})
-        for at in range(0, len(missing), 10_000):
-            part = missing[at : at + 10_000]
-            encoded = self.tokenizer.encode_batch_fast([c.decode() for c in part], add_special_tokens=False)
-            memo.update(zip(part, map(len, encoded)))
-        return [sum(map(memo.__getitem__, chunks)) for chunks in split]
+        found = [list(map(memo.get, chunks)) for chunks in split]
+        missing = {c for chunks, counts in zip(split, found) if None in counts for c, n in zip(chunks, counts) if n is None}
+        if not missing:
+            return list(map(sum, found))
+        new = self._learn(missing)
+        memo.update(new)
+        return [
+            sum([new[c] if n is None else n for c, n in zip(chunks, counts)]) if None in counts else sum(counts)
+            for chunks, counts in zip(split, found)
+        ]
 
 
 @lru_cache(maxsize=2)
@@ -91,35 +119,63 @@ class ChunkEncoder:
         self.encoding = tiktoken.Encoding(
             "byte-level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special
         )
-        self.memo: dict[str, bytes | None] = {}
+        # Chunk -> ids; False: white space at a border, so the borders of this chunk are not safe.
+        self.memo: dict[str, bytes | bool] = {}
+        self.line_break = ranks[b"\n"]
+        self.break_bytes = np.asarray([self.line_break], dtype="<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         return np.asarray(self.encoding.encode(text, allowed_special=self.special), dtype="<u4").tobytes()
 
+    def _learn(self, chunks: set[str]) -> dict[str, bytes | bool]:
+        """Encodes new chunks together, a line break between them."""
+        new: dict[str, bytes | bool] = {}
+        plain = []
+        for c in chunks:
+            word = c[1:] if c[:1] == "\n" else c
+            if not word or word != word.strip() or "\n" in word:
+                new[c] = False
+            else:
+                plain.append(c)
+        if not plain:
+            return new
+        ids = np.asarray(
+            self.encoding.encode_ordinary("\n".join([c[1:] if c[0] == "\n" else " " + c for c in plain])), dtype="<u4"
+        )
+        borders = np.flatnonzero(ids == self.line_break)
+        if len(borders) != len(plain) - 1:
+            for c in plain:
+                new[c] = self.encode(c if c[0] == "\n" else " " + c)
+            return new
+        # A line break's own id precedes each chunk but the first: those that begin with one take it.
+        data = b"".join([self.break_bytes, ids.tobytes()])
+        starts = [0, *(4 * (borders + 1)).tolist()]
+        ends = [*(4 * (borders + 1)).tolist(), len(data)]
+        new.update((c, data[a:b] if c[0] == "\n" else data[a + 4 : b]) for c, a, b in zip(plain, starts, ends))
+        return new
+
     def ids(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
         if any(s in text for s in self.special):
             return self.encode(text)
-        first, *rest = text.split(" ")
+        # A chunk is a space and a word or a line break and a word.  Its borders are safe if
+        # the words have no white space at their ends and none is empty.
+        first, *rest = text.replace("\n", " \n").split(" ")
+        if first != first.strip():
+            return self.encode(text)
         memo = self.memo
-        if len(memo) + len(rest) > MEMO:
+        if len(memo) > MEMO:
             memo.clear()
-        try:
-            found = [self._first(first), *map(memo.__getitem__, rest)]
-        except KeyError:
-            for chunk in rest:
-                if chunk not in memo:
-                    # None: white space at a border, so the borders of this chunk are not safe.
-                    unsafe = not chunk or chunk[0].isspace() or chunk[-1].isspace()
-                    memo[chunk] = None if unsafe else self.encode(" " + chunk)
-            found = [self._first(first), *map(memo.__getitem__, rest)]
-        if None not in found:
+        found = list(map(memo.get, rest))
+        if None in found:
+            # A small table of the new chunks: faster to read than the memo.
+            new = self._learn({c for c, x in zip(rest, found) if x is None})
+            memo.update(new)
+            found = [new[c] if x is None else x for c, x in zip(rest, found)]
+        if False not in found and first:
+            found.insert(0, self.encode(first))
             return b"".join(found)
-        head, *tail = _SAFE_SPACE.split(text)
-        return b"".join([self.encode(head), *(self.encode(" " + x) for x in tail)])
-
-    def _first(self, chunk: str) -> bytes | None:
-        return None if chunk and chunk[-1].isspace() else self.encode(chunk)
+        return b"".join([self.encode(x) for x in _SAFE_SPACE.split(text)])
 
 
 @lru_cache(maxsize=2)

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import fold
+from ledgerline.llm.common import cut, fold
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(chr(c) for c in range(0xDF, 0x100) if c != 0xF7)
 SIZE = 64  # symbols of the character model: 0 border, letters, 63 any other letter
@@ -57,6 +57,7 @@ _SYMBOL = {ch: i + 1 for i, ch in enumerate(LETTERS)}
 _DISGUISED = re.compile(r"(?=.*[^\W\d_])(?:.*[\W\d_]|.*([^\W\d_])\1\1)", re.S)
 _EDGE = re.compile(r"^[^\w@$!|+€£¡*]+|([.,;:!?)\]}\"'»&%#*=_/\\-]|(.)\2\2+)+$", re.S)
 _SPACED = re.compile(r"(?<!\S)(?:\S[ ._*-]){3,}\S(?!\S)")
+_TRIPLE = re.compile(r"(.)\1\1")
 _FILLER = re.compile(r"[ ._*-]")
 _REPEATED_TAIL = re.compile(r"([^\w])\1\1+$")
 
@@ -74,11 +75,25 @@ def trigram_counts(texts) -> np.ndarray:
     """Counts of symbol trigrams, borders included, as a flat array."""
     table = _table()
     counts = np.zeros(SIZE**3, dtype=np.int64)
+    held: list[str] = []
+    size = 0
+
+    def add() -> None:
+        # Two borders before each text and one after it; the borders between texts are counted, too.
+        joined = "\n\n" + "\n\n".join(held) + "\n"
+        s = table[np.minimum(np.frombuffer(joined.lower().encode("utf-32-le"), dtype=np.uint32), 0xFFFF)].astype(np.int32)
+        np.add(counts, np.bincount((s[:-2] * SIZE + s[1:-1]) * SIZE + s[2:], minlength=SIZE**3), out=counts)
+        held.clear()
+
     for t in texts:
         if t:
-            s = table[np.minimum(np.frombuffer(t.lower().encode("utf-32-le"), dtype=np.uint32), 0xFFFF)].astype(np.int32)
-            s = np.concatenate(([0, 0], s, [0]))
-            counts += np.bincount((s[:-2] * SIZE + s[1:-1]) * SIZE + s[2:], minlength=SIZE**3)
+            held.append(t)
+            size += len(t)
+            if size > 2_000_000:
+                add()
+                size = 0
+    if held:
+        add()
     return counts
 
 
@@ -144,6 +159,9 @@ def viterbi(token: str, model: CharModel) -> str:
 
 def restore(token: str, model: CharModel) -> str:
     """A lower-case token as the word that it most likely stands for."""
+    plain = token.rstrip(".,;:?)")
+    if plain.isalpha() and not _TRIPLE.search(plain):
+        return plain
     token = _REPEATED_TAIL.sub("", token)
     bare = _EDGE.sub("", token)
     if bare.isalpha() and not _DISGUISED.match(bare):
@@ -154,12 +172,15 @@ def restore(token: str, model: CharModel) -> str:
     return viterbi(bare, model)
 
 
-def feature_hashes(word: str) -> tuple[int, ...]:
-    """Hashes of a restored word and its beginnings."""
-    if len(word) < 3:
-        return ()
+def prefix_hash(word: str) -> int:
+    return xxhash.xxh32_intdigest(word[:4].encode())
+
+
+def feature_hashes(word: str, prefix: int) -> tuple[int, ...]:
+    """Hashes of a restored word and its beginnings; the high half is that of the first four letters."""
     names = {f"w{word}"} | {f"p{word[:n]}" for n in (4, 5, 6) if len(word) >= n}
-    return tuple(xxhash.xxh64_intdigest(x.encode()) - 2**63 for x in names)
+    high = (prefix - 2**31) << 32
+    return tuple(high + xxhash.xxh32_intdigest(x.encode()) for x in names)
 
 
 class Features:
@@ -167,9 +188,14 @@ class Features:
 
     def __init__(self, model: CharModel, known: frozenset[int] | None = None):
         self.model, self.known, self.memo = model, known, {}
+        self.prefixes = None if known is None else {(h >> 32) + 2**31 for h in known}
 
     def of_token(self, token: str) -> tuple[int, ...]:
-        found = feature_hashes(restore(token, self.model))
+        word = restore(token, self.model)
+        prefix = prefix_hash(word)
+        if len(word) < 3 or self.prefixes is not None and prefix not in self.prefixes:
+            return ()
+        found = feature_hashes(word, prefix)
         return found if self.known is None else tuple(h for h in found if h in self.known)
 
     def of_text(self, text: str | None) -> set[int]:
@@ -181,17 +207,13 @@ class Features:
         memo = self.memo
         if len(memo) > MEMO:
             memo.clear()
-        found: set[int] = set()
-        for token in tokens:
-            hashes = memo.get(token)
-            if hashes is None:
-                # Very long tokens are no words; they are read without the memo.
-                hashes = self.of_token(token)
-                if len(token) <= 64:
-                    memo[token] = hashes
-            if hashes:
-                found.update(hashes)
-        return found
+        listed = list(tokens)
+        found = list(map(memo.get, listed))
+        if None in found:
+            new = {token: self.of_token(token) for token, known in zip(listed, found) if known is None}
+            memo.update(new)
+            found += new.values()
+        return {h for hashes in found if hashes for h in hashes}
 
 
 def fit_char_model(texts: DataFrame) -> CharModel:
@@ -272,9 +294,6 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, is_training: Column) -> Tox
     chars = fit_char_model(training)
     shared = docs.sparkSession.sparkContext.broadcast(chars)
     marks = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1)")
-    # A checkpointed count is not needed: the sums are read twice, so they are written once.
-    from ledgerline.llm.common import cut
-
     counts = cut(_feature_counts(training.join(marks, "doc_id"), shared))
     every = counts.where("feature is null").first()
     if every is None:
