@@ -139,13 +139,18 @@ def _keys_column(sig: Column) -> Column:
     return F.pandas_udf(keys, "array<bigint>")(sig)
 
 
-def _shingles_column(text: Column) -> Column:
-    def all_shingles(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
+def _shingles_column(text: Column, digest: Column) -> Column:
+    """The sorted shingles of a text whose set has this digest, else NULL."""
+
+    def all_shingles(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for texts, digests in batches:
             data = [shingles(x).astype("<u8").tobytes() for x in texts]
-            yield pd.DataFrame({"of": [xxhash.xxh128_digest(d) for d in data], "shingles": data}, dtype=object)
+            yield pd.Series(
+                [d if xxhash.xxh128_digest(d) == bytes(of) else None for d, of in zip(data, digests)], dtype=object
+            )
 
-    return F.pandas_udf(all_shingles, "struct<of:binary,shingles:binary>")(text)
+    # It reads both sides of the join, so it runs after it, on the joined rows only.
+    return F.pandas_udf(all_shingles, "binary")(text, digest)
 
 
 def block_links(ids, blocks, signatures: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -238,9 +243,9 @@ def near_duplicates(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
     # The set itself is rebuilt from the text, for members of families only.
     full = (
         plain.join(members.select(F.col("node").alias("doc_id"), "family", "sig", "digest"), "doc_id")
-        .withColumn("made", _shingles_column(F.col("text")))
-        .where("made.of = digest")  # else another row with the same id
-        .select(F.col("doc_id").alias("node"), "family", "sig", "made.shingles")
+        .withColumn("shingles", _shingles_column(F.col("text"), F.col("digest")))
+        .where("shingles is not null")  # else another row with the same id
+        .select(F.col("doc_id").alias("node"), "family", "sig", "shingles")
     )
     tasks = (
         full.join(blocks, "family")
