@@ -15,7 +15,7 @@ each block needs only the states and arcs that its own texts can follow.
 
 1. Each block counts its distinct n-grams (64-bit keys, training counts) and sends them,
    sorted, to parts by key: a frequent n-gram is one entry for each block, however often it occurs.
-2. Each part adds up its keys and returns to a block the totals that differ from the
+2. Each part adds up its keys and returns to a block the totals (by place) that differ from the
    block's own counts (an n-gram that only this block has needs no answer).
 3. Each block builds its slice of the automaton and walks its texts through it.
 
@@ -98,28 +98,46 @@ class Block:
         return distinct // len(self.keys), distinct % len(self.keys), counts, place
 
 
+def packed(counts: np.ndarray) -> bytes:
+    """Counts as one byte each; from 255 on the value follows behind them, eight bytes each."""
+    large = counts[counts >= 255]
+    return np.minimum(counts, 255).astype(np.uint8).tobytes() + large.astype("<u8").tobytes()
+
+
+def unpacked(data: bytes, n: int) -> np.ndarray:
+    counts = np.frombuffer(data, np.uint8, n).astype(np.int64)
+    counts[counts == 255] = np.frombuffer(data, "<u8", offset=n)
+    return counts
+
+
+def part_borders(sorted_keys: np.ndarray, parts: int) -> np.ndarray:
+    step = np.uint64(2**64 // parts + 1)
+    return np.searchsorted(sorted_keys // step, np.arange(parts + 1, dtype=np.uint64))
+
+
 def to_parts(order: int, keys: np.ndarray, counts: np.ndarray, parts: int) -> Iterator[tuple]:
     """(part, order, keys, counts) as bytes, keys sorted, for the parts that get any."""
     at = np.argsort(keys, kind="stable")
     keys, counts = keys[at], counts[at]
-    step = np.uint64(2**64 // parts + 1)
-    edges = np.searchsorted(keys // step, np.arange(parts + 1, dtype=np.uint64))
+    edges = part_borders(keys, parts)
     for p in np.flatnonzero(np.diff(edges)):
         lo, hi = edges[p], edges[p + 1]
-        yield int(p), order, keys[lo:hi].astype("<u8").tobytes(), counts[lo:hi].astype("<u4").tobytes()
+        yield int(p), order, keys[lo:hi].astype("<u8").tobytes(), packed(counts[lo:hi])
 
 
 def add_up(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], list[np.ndarray]]:
     """Distinct keys and totals of one part and order; each row's places and own counts."""
     each = [np.frombuffer(k, dtype="<u8") for k in rows["keys"]]
-    own = [np.frombuffer(c, dtype="<u4").astype(np.int64) for c in rows["counts"]]
+    own = [unpacked(c, len(k)) for c, k in zip(rows["counts"], each)]
     keys, place = np.unique(np.concatenate(each), return_inverse=True)
-    totals = np.bincount(place, weights=np.concatenate(own), minlength=len(keys)).astype(np.int64)
+    totals = np.zeros(len(keys), dtype=np.int64)
+    np.add.at(totals, place, np.concatenate(own))
     places = np.split(place, np.cumsum([len(k) for k in each])[:-1])
     return keys, totals, places, own
 
 
 _OUT = "block bigint, part int, n int, keys binary, counts binary"
+_ANSWERS = "block bigint, part int, n int, steps binary, counts binary, size int"
 
 
 def _count_blocks(parts: int, orders: tuple[int, ...]):
@@ -144,33 +162,33 @@ def _add_parts(rows: pd.DataFrame) -> pd.DataFrame:
     for block, place, mine in zip(rows["block"], places, own):
         differs = np.flatnonzero(totals[place] != mine)
         if len(differs):
-            at = place[differs]
-            out.append((block, rows["n"].iloc[0], keys[at].astype("<u8").tobytes(), totals[at].astype("<i8").tobytes()))
-    return pd.DataFrame(out, columns=["block", "n", "keys", "counts"])
+            # Where they stand among the block's keys of this part, and their totals.
+            steps = np.diff(differs, prepend=0)
+            out.append((block, rows["part"].iloc[0], rows["n"].iloc[0], packed(steps), packed(totals[place[differs]]), len(differs)))
+    return pd.DataFrame(out, columns=["block", "part", "n", "steps", "counts", "size"])
 
 
-def _corrected(keys: np.ndarray, counts: np.ndarray, answers: pd.DataFrame) -> np.ndarray:
+def _corrected(keys: np.ndarray, counts: np.ndarray, answers: pd.DataFrame, parts: int) -> np.ndarray:
     """``counts`` with the totals that came back for the keys that other blocks have as well."""
-    if not len(answers):
-        return counts
-    theirs = np.concatenate([np.frombuffer(k, dtype="<u8") for k in answers["keys"]])
-    totals = np.concatenate([np.frombuffer(c, dtype="<i8") for c in answers["counts"]])
-    order = np.argsort(keys, kind="stable")
     counts = counts.copy()
-    counts[order[np.searchsorted(keys[order], theirs)]] = totals
+    if len(answers):
+        order = np.argsort(keys, kind="stable")
+        edges = part_borders(keys[order], parts)
+        for part, steps, totals, size in zip(answers["part"], answers["steps"], answers["counts"], answers["size"]):
+            counts[order[edges[part] + np.cumsum(unpacked(steps, size))]] = unpacked(totals, size)
     return counts
 
 
 class Automaton:
     """A block's slice of the backoff automaton: arcs by (state, word), failure weights by state."""
 
-    def __init__(self, block: Block, answers: pd.DataFrame, n: int, v: int, prior: float):
+    def __init__(self, block: Block, answers: pd.DataFrame, parts: int, n: int, v: int, prior: float):
         self.block = block
         one = answers[answers["n"] == 1] if len(answers) else answers
         two = answers[answers["n"] == 2] if len(answers) else answers
-        self.counts = _corrected(block.keys, block.word_counts(), one)
+        self.counts = _corrected(block.keys, block.word_counts(), one, parts)
         states, words, counts, self.arc_of_token = block.pairs()
-        counts = _corrected(pair_key(block.keys[states], block.keys[words]), counts, two)
+        counts = _corrected(pair_key(block.keys[states], block.keys[words]), counts, two, parts)
         root = (self.counts + 1.0) / (n + v + 1.0)
         self.root = np.log10(root)
         leaving = self.counts.astype(np.float64)
@@ -190,12 +208,12 @@ class Automaton:
 _SCORES = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
 
 
-def _score_blocks(n: int, v: int, prior: float):
+def _score_blocks(parts: int, n: int, v: int, prior: float):
     def score(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         if not len(rows):
             return pd.DataFrame({c.split()[0]: [] for c in _SCORES.split(", ")})
         block = Block(rows["text"], rows["training"])
-        known, base, score = Automaton(block, answers, n, v, prior).walk()
+        known, base, score = Automaton(block, answers, parts, n, v, prior).walk()
         return pd.DataFrame(
             {
                 "doc_id": rows["doc_id"].array,
@@ -239,8 +257,8 @@ def score_texts(docs: DataFrame, *, folds: int = 7, held_out_fold: int = 2, prio
         .first()
     )
     n, v = int(sums[0] or 0), int(sums[1] or 0)
-    answers = counted((1, 2), dealt).groupBy("part", "n").applyInPandas(_add_parts, "block bigint, n int, keys binary, counts binary")
-    scored = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(_score_blocks(n, v, prior), _SCORES)
+    answers = counted((1, 2), dealt).groupBy("part", "n").applyInPandas(_add_parts, _ANSWERS)
+    scored = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(_score_blocks(parts, n, v, prior), _SCORES)
     return scored.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score"
     )
