@@ -13,8 +13,10 @@ length.  EDITS edits leave one segment intact in any line within that distance,
 only few starts can hold it there (the shift is limited by the lengths and by the
 segment's number).  So each line is indexed once for each segment, under (its
 length, segment number, segment), and probes the indexes of lines up to EDITS
-shorter with the substrings at those starts.  Lines that meet in an index are
-verified by ``levenshtein(a, b, EDITS)``, which computes the diagonal band only.
+shorter with the substrings at those starts.  Index entries and probes without a partner of another line go
+(two semi-joins); the rest get their lines' texts, and the join on the key
+returns the pairs that ``levenshtein(a, b, EDITS)``, which computes the diagonal band
+only, verifies: pairs that merely share a segment are never made.
 
 Defined results: NULL and empty texts have no lines and stay as they are; blank lines are
 kept; rows with NULL id are left alone; rows that share an id are one document, so
@@ -27,22 +29,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import cut
+from ledgerline.llm.common import written
 
 MIN_CHARS = 24
 EDITS = 2
 
 
-def normal_form(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(line), "[ \\t-\\r]+", " "))
+def normal_form(text: Column) -> Column:
+    """A text with its lines in normal form, but for spaces at their ends."""
+    lower = F.lower(text)
+    # Most texts have no white space but single spaces and line breaks.
+    odd = lower.rlike("[\\t\\x0B\\f\\r]|  ")
+    return F.when(odd, F.regexp_replace(lower, "[ \\t\\x0B\\f\\r]+", " ")).otherwise(lower)
 
 
 def long_lines(docs: DataFrame, min_chars: int) -> DataFrame:
     """``doc_id, pos, line`` (normal form) of the lines that take part."""
     lines = docs.where("doc_id is not null and text is not null").select(
-        "doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "raw")
+        "doc_id", F.posexplode(F.split(normal_form(F.col("text")), "\n")).alias("pos", "raw")
     )
-    return lines.select("doc_id", "pos", normal_form(F.col("raw")).alias("line")).where(F.length("line") >= min_chars)
+    return lines.select("doc_id", "pos", F.trim("raw").alias("line")).where(F.length("line") >= min_chars)
 
 
 def _place(doc_id: Column, pos: Column) -> Column:
@@ -85,36 +91,57 @@ def probe_keys(line: Column, n: Column, edits: int) -> Column:
     return F.array(*keys)
 
 
-def near_links(lines: DataFrame, edits: int) -> DataFrame:
-    """``a, b``: line numbers of distinct lines (``id, line, n``) within ``edits``, each pair once."""
-    line, n = F.col("line"), F.col("n")
+def near_links(lines: DataFrame, texts_of, edits: int) -> DataFrame:
+    """``a, b``: pairs of lines (``id, line``) within ``edits`` of each other, each pair once.
+
+    ``texts_of(ids)`` gives ``id, line`` for a table of ids.
+    """
+    line, n = F.col("line"), F.length("line")
     index = lines.select("id", F.explode(index_keys(line, n, edits)).alias("key"))
-    probes = lines.select(F.col("id").alias("probe"), F.explode(probe_keys(line, n, edits)).alias("key"))
-    met = (
-        probes.join(index, "key")
-        .where("probe != id")
-        .select(F.least("probe", "id").alias("a"), F.greatest("probe", "id").alias("b"))
+    probes = lines.select("id", F.explode(probe_keys(line, n, edits)).alias("key"))
+    i, p = index.alias("i"), probes.alias("p")
+    met = (F.col("i.key") == F.col("p.key")) & (F.col("i.id") != F.col("p.id"))
+    # One row for each line and key: the texts of a line may stand in several documents.
+    found = p.join(i, met, "left_semi").distinct()
+    holders = i.join(p, met, "left_semi").distinct()
+    texts = texts_of(found.select("id").union(holders.select("id")).distinct())
+    left = found.join(texts, "id").select("key", F.col("id").alias("a"), F.col("line").alias("line_a"))
+    texts = texts.toDF("b", "line_b")
+    right = holders.withColumnRenamed("id", "b").join(texts, "b").select("key", "b", "line_b")
+    close = (F.col("a") != F.col("b")) & (F.levenshtein("line_a", "line_b", edits) >= 0)
+    return (
+        left.join(right, "key")
+        .where(close)
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
     )
-    first = lines.select(F.col("id").alias("a"), F.col("line").alias("line_a"))
-    second = lines.select(F.col("id").alias("b"), F.col("line").alias("line_b"))
-    return met.join(first, "a").join(second, "b").where(F.levenshtein("line_a", "line_b", edits) >= 0).select("a", "b")
 
 
 def repeated_lines(docs: DataFrame, *, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """``doc_id, pos, exact, near, links`` of every line that takes part."""
     if min_chars <= 2 * edits:
         raise ValueError("lines must be longer than twice the edits")
-    rows = long_lines(docs, min_chars).select(
-        "doc_id", "pos", F.xxhash64("line").alias("id"), _place(F.col("doc_id"), F.col("pos")).alias("place"), "line"
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
+    lines = long_lines(plain, min_chars).withColumn("id", F.xxhash64("line"))
+    # Places and line numbers, without texts, are read several times.
+    rows = written(lines.select("doc_id", "pos", "id"), "lines").withColumn(
+        "place", _place(F.col("doc_id"), F.col("pos"))
     )
-    lines = cut(
-        rows.groupBy("id", "line")
-        .agg(F.min("place").alias("first"))
-        .select("id", "line", "first", F.length("line").alias("n"))
-    )
-    firsts = lines.select("id", "first")
-    links = near_links(lines, edits)
+    firsts = rows.groupBy("id").agg(F.min("place").alias("first"))
+
+    def texts_of(ids: DataFrame) -> DataFrame:
+        """From the document and position where a line stands first."""
+        base = F.lit(2**32).cast("decimal(11,0)")
+        doc = F.floor(F.col("first") / base)
+        at = ids.join(firsts, "id").select(
+            "id", doc.cast("long").alias("doc_id"), (F.col("first") - doc * base).cast("int").alias("pos")
+        )
+        line = F.trim(F.get(F.split(normal_form(F.col("text")), "\n"), F.col("pos")))
+        found = plain.join(at, "doc_id").select("id", line.alias("line"))
+        # Rows that share an id may hold other lines there.
+        return found.where(F.xxhash64("line") == F.col("id")).distinct()
+
+    links = near_links(lines.select("id", "line"), texts_of, edits)
     both = (
         links.join(firsts.select(F.col("id").alias("a"), F.col("first").alias("first_a")), "a")
         .join(firsts.select(F.col("id").alias("b"), F.col("first").alias("first_b")), "b")
@@ -129,16 +156,12 @@ def repeated_lines(docs: DataFrame, *, edits: int = EDITS, min_chars: int = MIN_
     )
     near = both.groupBy("id").agg(F.max("later").alias("near"), F.count(F.lit(1)).alias("links"))
     marked = firsts.join(near, "id", "left")
-    return (
-        rows.drop("line")
-        .join(marked, "id")
-        .select(
-            "doc_id",
-            "pos",
-            (F.col("place") != F.col("first")).alias("exact"),
-            F.coalesce("near", F.lit(False)).alias("near"),
-            F.coalesce("links", F.lit(0)).alias("links"),
-        )
+    return rows.join(marked, "id").select(
+        "doc_id",
+        "pos",
+        (F.col("place") != F.col("first")).alias("exact"),
+        F.coalesce("near", F.lit(False)).alias("near"),
+        F.coalesce("links", F.lit(0)).alias("links"),
     )
 
 
@@ -173,7 +196,9 @@ def dedup_lines(docs: DataFrame, *, edits: int = EDITS, min_chars: int = MIN_CHA
         .join(found, "doc_id", "left")
         .select(
             "doc_id",
-            F.coalesce(F.size(F.filter(F.split("text", "\n"), lambda x: normal_form(x) != "")), F.lit(0)).cast("long").alias("n_lines"),
+            F.coalesce(F.size(F.filter(F.split(normal_form(F.col("text")), "\n"), lambda x: F.trim(x) != "")), F.lit(0))
+            .cast("long")
+            .alias("n_lines"),
             *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_exact", "n_near", "n_links")],
             text.alias("text"),
         )
