@@ -29,26 +29,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import written
+from ledgerline.llm.common import cut, written
 
 MIN_CHARS = 24
 EDITS = 2
 
 
-def normal_form(text: Column) -> Column:
-    """A text with its lines in normal form, but for spaces at their ends."""
-    lower = F.lower(text)
-    # Most texts have no white space but single spaces and line breaks.
-    odd = lower.rlike("[\\t\\x0B\\f\\r]|  ")
-    return F.when(odd, F.regexp_replace(lower, "[ \\t\\x0B\\f\\r]+", " ")).otherwise(lower)
+def with_normal_form(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``normal``: the text with its lines in normal form."""
+    lower = F.col("lower_text")
+    # Most texts have no white space but single spaces inside lines and line breaks.
+    odd = lower.startswith(" ") | lower.endswith(" ")
+    for spaces in ("\t", "\x0b", "\f", "\r", "  ", " \n", "\n "):
+        odd = odd | lower.contains(spaces)
+    squeezed = F.regexp_replace(lower, "[ \\t\\x0B\\f\\r]+", " ")
+    normal = F.when(odd, F.trim(F.regexp_replace(squeezed, " ?\n ?", "\n"))).otherwise(lower)
+    # A column of its own: generators and lambdas would compute it again for each use.
+    return docs.withColumn("lower_text", F.lower("text")).withColumn("normal", normal).drop("lower_text")
 
 
 def long_lines(docs: DataFrame, min_chars: int) -> DataFrame:
-    """``doc_id, pos, line`` (normal form) of the lines that take part."""
-    lines = docs.where("doc_id is not null and text is not null").select(
-        "doc_id", F.posexplode(F.split(normal_form(F.col("text")), "\n")).alias("pos", "raw")
+    """``doc_id, pos, line`` (normal form) and its length ``n``, of the lines that take part."""
+    lines = with_normal_form(docs.select("doc_id", "text").where("doc_id is not null and text is not null")).select(
+        "doc_id", F.posexplode(F.split("normal", "\n")).alias("pos", "line")
     )
-    return lines.select("doc_id", "pos", F.trim("raw").alias("line")).where(F.length("line") >= min_chars)
+    return lines.withColumn("n", F.length("line")).where(F.col("n") >= min_chars)
 
 
 def _place(doc_id: Column, pos: Column) -> Column:
@@ -56,58 +61,59 @@ def _place(doc_id: Column, pos: Column) -> Column:
     return (doc_id.cast("decimal(20,0)") * F.lit(2**32).cast("decimal(11,0)") + pos).cast("decimal(38,0)")
 
 
-def _segment(n: Column, i: int, edits: int) -> tuple[Column, Column]:
+def _segment(n: Column, i: Column, edits: int) -> tuple[Column, Column]:
     """Start (from 0) and length of segment ``i`` of a line of ``n`` characters."""
     parts = edits + 1
-    base, longer = F.floor(n / parts).cast("int"), (n % parts).cast("int")
+    longer = n % parts
+    base = ((n - longer) / parts).cast("int")
     # The last `longer` segments have one character more.
-    extra = F.greatest(F.lit(0), F.lit(i) - (F.lit(parts) - longer))
-    size = base + F.when(F.lit(i) >= F.lit(parts) - longer, 1).otherwise(0)
-    return base * i + extra, size
+    over = i - (parts - longer)
+    return base * i + F.greatest(F.lit(0), over), base + F.when(over >= 0, 1).otherwise(0)
 
 
-def _key(n: Column, i: int, piece: Column) -> Column:
-    return F.xxhash64(n.cast("int"), F.lit(i), piece)
+def _keys(lines: DataFrame, places: list[tuple[int, int, int]], edits: int) -> DataFrame:
+    """``id, key`` of each line's pieces at ``places``: (characters shorter, segment, shift).
+
+    One generated row for each place and one expression for all, which stays small
+    enough to be compiled.
+    """
+    at = F.array(*[F.struct(*[F.lit(x).alias(c) for x, c in zip(place, ("less", "i", "shift"))]) for place in places])
+    m, i = F.col("n") - F.col("less"), F.col("i")
+    start, size = _segment(m, i, edits)
+    piece = F.substring(F.col("line"), start + F.col("shift") + 1, size)
+    return lines.select("id", "line", "n", F.inline(at)).select("id", F.xxhash64(m, i, piece).alias("key"))
 
 
-def index_keys(line: Column, n: Column, edits: int) -> Column:
-    keys = []
-    for i in range(edits + 1):
-        start, size = _segment(n, i, edits)
-        keys.append(_key(n, i, F.substring(line, start + 1, size)))
-    return F.array(*keys)
+def index_keys(lines: DataFrame, edits: int) -> DataFrame:
+    return _keys(lines, [(0, i, 0) for i in range(edits + 1)], edits)
 
 
-def probe_keys(line: Column, n: Column, edits: int) -> Column:
+def probe_keys(lines: DataFrame, edits: int) -> DataFrame:
     """Keys of the substrings that an intact segment of a line at most ``edits`` shorter can be."""
-    keys = []
-    for shorter in range(edits + 1):
-        m = n - shorter
-        for i in range(edits + 1):
-            start, size = _segment(m, i, edits)
-            first = max(-i, shorter - (edits - i))
-            last = min(i, shorter + (edits - i))
-            keys += [_key(m, i, F.substring(line, start + shift + 1, size)) for shift in range(first, last + 1)]
-    return F.array(*keys)
+    places = [
+        (less, i, shift)
+        for less in range(edits + 1)
+        for i in range(edits + 1)
+        for shift in range(max(-i, less - (edits - i)), min(i, less + (edits - i)) + 1)
+    ]
+    return _keys(lines, places, edits)
 
 
 def near_links(lines: DataFrame, texts_of, edits: int) -> DataFrame:
-    """``a, b``: pairs of lines (``id, line``) within ``edits`` of each other, each pair once.
+    """``a, b``: pairs of lines (``id, line, n``) within ``edits`` of each other, each pair once.
 
     ``texts_of(ids)`` gives ``id, line`` for a table of ids.
     """
-    line, n = F.col("line"), F.length("line")
-    index = lines.select("id", F.explode(index_keys(line, n, edits)).alias("key"))
-    probes = lines.select("id", F.explode(probe_keys(line, n, edits)).alias("key"))
-    i, p = index.alias("i"), probes.alias("p")
+    i, p = index_keys(lines, edits).alias("i"), probe_keys(lines, edits).alias("p")
     met = (F.col("i.key") == F.col("p.key")) & (F.col("i.id") != F.col("p.id"))
     # One row for each line and key: the texts of a line may stand in several documents.
-    found = p.join(i, met, "left_semi").distinct()
-    holders = i.join(p, met, "left_semi").distinct()
-    texts = texts_of(found.select("id").union(holders.select("id")).distinct())
-    left = found.join(texts, "id").select("key", F.col("id").alias("a"), F.col("line").alias("line_a"))
-    texts = texts.toDF("b", "line_b")
-    right = holders.withColumnRenamed("id", "b").join(texts, "b").select("key", "b", "line_b")
+    partnered = cut(
+        p.join(i, met, "left_semi").distinct().withColumn("probes", F.lit(True))
+        .union(i.join(p, met, "left_semi").distinct().withColumn("probes", F.lit(False)))
+    )
+    named = partnered.join(texts_of(partnered.select("id").distinct()), "id")
+    left = named.where("probes").select("key", F.col("id").alias("a"), F.col("line").alias("line_a"))
+    right = named.where("not probes").select("key", F.col("id").alias("b"), F.col("line").alias("line_b"))
     close = (F.col("a") != F.col("b")) & (F.levenshtein("line_a", "line_b", edits) >= 0)
     return (
         left.join(right, "key")
@@ -121,7 +127,7 @@ def repeated_lines(docs: DataFrame, *, edits: int = EDITS, min_chars: int = MIN_
     """``doc_id, pos, exact, near, links`` of every line that takes part."""
     if min_chars <= 2 * edits:
         raise ValueError("lines must be longer than twice the edits")
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
+    plain = docs.select("doc_id", "text").where("doc_id is not null")
     lines = long_lines(plain, min_chars).withColumn("id", F.xxhash64("line"))
     # Places and line numbers, without texts, are read several times.
     rows = written(lines.select("doc_id", "pos", "id"), "lines").withColumn(
@@ -136,12 +142,22 @@ def repeated_lines(docs: DataFrame, *, edits: int = EDITS, min_chars: int = MIN_
         at = ids.join(firsts, "id").select(
             "id", doc.cast("long").alias("doc_id"), (F.col("first") - doc * base).cast("int").alias("pos")
         )
-        line = F.trim(F.get(F.split(normal_form(F.col("text")), "\n"), F.col("pos")))
-        found = plain.join(at, "doc_id").select("id", line.alias("line"))
+        # One row for each document, so that its text is split once.
+        wanted = at.groupBy("doc_id").agg(F.collect_list(F.struct("id", "pos")).alias("wanted"))
+        held = with_normal_form(plain.join(wanted, "doc_id")).select(
+            F.inline(
+                _with(
+                    F.split("normal", "\n"),
+                    lambda lines: F.transform(
+                        "wanted", lambda w: F.struct(w["id"].alias("id"), F.get(lines, w["pos"]).alias("line"))
+                    ),
+                )
+            )
+        )
         # Rows that share an id may hold other lines there.
-        return found.where(F.xxhash64("line") == F.col("id")).distinct()
+        return held.where(F.xxhash64("line") == F.col("id")).distinct()
 
-    links = near_links(lines.select("id", "line"), texts_of, edits)
+    links = near_links(lines.select("id", "line", "n"), texts_of, edits)
     both = (
         links.join(firsts.select(F.col("id").alias("a"), F.col("first").alias("first_a")), "a")
         .join(firsts.select(F.col("id").alias("b"), F.col("first").alias("first_b")), "b")
@@ -181,27 +197,33 @@ def _by_document(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
     )
 
 
+def _with(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, also inside higher-order functions."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def _kept_text(text: Column, gone: Column) -> Column:
-    lines = F.split(text, "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
-    return F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+    def rest(lines: Column) -> Column:
+        kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
+        return F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+
+    return _with(F.split(text, "\n"), rest)
 
 
 def dedup_lines(docs: DataFrame, *, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """Per row: ``doc_id, n_lines, n_exact, n_near, n_links, text`` (without the repeated lines)."""
     found = _by_document(docs, edits, min_chars)
     text = F.when(F.size("gone") > 0, _kept_text(F.col("text"), F.col("gone"))).otherwise(F.col("text"))
-    return (
-        docs.select("doc_id", "text")
-        .join(found, "doc_id", "left")
-        .select(
-            "doc_id",
-            F.coalesce(F.size(F.filter(F.split(normal_form(F.col("text")), "\n"), lambda x: F.trim(x) != "")), F.lit(0))
-            .cast("long")
-            .alias("n_lines"),
-            *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_exact", "n_near", "n_links")],
-            text.alias("text"),
-        )
+    n_lines = F.size(F.array_remove(F.split("normal", "\n"), ""))
+    plain = docs.select("doc_id", "text")
+    # Rows with an id meet the findings in the same order in which the lines' texts were fetched.
+    met = plain.where("doc_id is not null").join(found, "doc_id", "left")
+    every = met.unionByName(plain.where("doc_id is null"), allowMissingColumns=True)
+    return with_normal_form(every).select(
+        "doc_id",
+        F.coalesce(n_lines, F.lit(0)).cast("long").alias("n_lines"),
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_exact", "n_near", "n_links")],
+        text.alias("text"),
     )
 
 
