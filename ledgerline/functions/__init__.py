@@ -7,6 +7,7 @@ from ledgerline.functions.money import (
     MONEY,
     as_double,
     mean_of,
+    money_count,
     money_sum,
     signed_amount,
     to_money,
@@ -22,6 +23,7 @@ __all__ = [
     "is_blank",
     "mean_of",
     "missing_list",
+    "money_count",
     "money_sum",
     "months_before",
     "signed_amount",

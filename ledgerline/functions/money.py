@@ -6,9 +6,10 @@ retries.  Every sum is therefore taken in ``DECIMAL(28,6)`` (Spark widens the
 aggregate to ``DECIMAL(38,6)``) and only the final value is cast back to
 double.  Averages are ``double(exact sum) / double(count)`` so they round once.
 
-Limits: amounts finer than 1e-6 are rounded to 6 places; NaN/Infinity cannot
-be represented (the cast fails under ANSI mode); sums above 32 integer digits
-overflow.
+Limits: amounts finer than 1e-6 are rounded to 6 places; NaN, Infinity and
+amounts of more than 22 integer digits have no exact value: they count as
+missing (NULL), in sums and in the counts that averages divide by; sums above
+32 integer digits overflow.
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ def _col(c) -> Column:
 
 
 def to_money(c) -> Column:
-    """A money column as an exact decimal."""
-    return _col(c).cast(MONEY)
+    """A money column as an exact decimal; NULL where there is none."""
+    return _col(c).try_cast(MONEY)
 
 
 def money_sum(c) -> Column:
@@ -36,6 +37,11 @@ def money_sum(c) -> Column:
     return F.sum(to_money(c))
 
 
+def money_count(c) -> Column:
+    """How many values ``money_sum`` adds up."""
+    return F.count(to_money(c))
+
+
 def as_double(c) -> Column:
     return _col(c).cast("double")
 

@@ -9,9 +9,6 @@ from ledgerline.operators.checks import check_constraints
 from ledgerline.operators.envelope import latest_rows, unpack_q1a, unpack_rows
 from ledgerline.operators.movements import (
     deposits_per_customer,
-    hot_account_candidates,
-    hot_account_counts,
-    hot_account_ids,
     large_withdrawals,
     running_balances,
 )
@@ -48,9 +45,6 @@ __all__ = [
     "check_constraints",
     "deposits_per_customer",
     "duplicate_account_types",
-    "hot_account_candidates",
-    "hot_account_counts",
-    "hot_account_ids",
     "invalid_transaction_types",
     "large_withdrawals",
     "latest_rows",

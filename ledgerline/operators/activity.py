@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions import mean_of, money_sum, months_before, years_before
+from ledgerline.functions import mean_of, money_count, money_sum, months_before, years_before
 from ledgerline.tables import BankTables
 
 
@@ -24,7 +24,7 @@ def average_transaction_and_balance(t: BankTables, as_of=None) -> DataFrame:
     account balance; 0.0 where the customer has none."""
     recent = t.transactions.where(F.col("transaction_date") >= years_before(as_of, 1))
     per_account = recent.groupBy("account_id").agg(
-        money_sum("amount").alias("tx_sum"), F.count("amount").alias("tx_n")
+        money_sum("amount").alias("tx_sum"), money_count("amount").alias("tx_n")
     )
     per_customer_tx = (
         per_account.join(_owner(t), "account_id")
@@ -32,7 +32,7 @@ def average_transaction_and_balance(t: BankTables, as_of=None) -> DataFrame:
         .agg(F.sum("tx_sum").alias("tx_sum"), F.sum("tx_n").alias("tx_n"))
     )
     per_customer_bal = t.accounts.groupBy("customer_id").agg(
-        money_sum("balance").alias("bal_sum"), F.count("balance").alias("bal_n")
+        money_sum("balance").alias("bal_sum"), money_count("balance").alias("bal_n")
     )
     return (
         t.customers.select("customer_id")

@@ -14,16 +14,10 @@ from ledgerline.functions import (
     to_money,
 )
 from ledgerline.functions.domain import DEPOSIT, LARGE_WITHDRAWAL, WITHDRAWAL
-from ledgerline.session import checkpoint_dir
 from ledgerline.tables import BankTables
 
-# An account with more transactions than this is "hot": its running balance is
-# computed over range-split chunks instead of one window partition.
-HOT_ACCOUNT_ROWS = 1_000_000
-# Upper bound on the hot-account list brought to the driver (ids and counts).
-MAX_HOT_ACCOUNTS = 10_000
-# Target rows per chunk of a hot account's range split.
-HOT_CHUNK_ROWS = 2_000_000
+# Transaction ids of one span share a chunk of an account's day (running_balances).
+ID_SPAN = 1 << 20
 
 
 def large_withdrawals(t: BankTables, as_of=None, days: int = 30) -> DataFrame:
@@ -77,201 +71,69 @@ def deposits_per_customer(t: BankTables, as_of=None, months: int = 6) -> DataFra
 # i.e. the balance minus everything that happened after r.  A NULL date counts
 # as the oldest.
 #
-# Ordinary accounts use one window partition per account; the account rows
-# are co-grouped into the same range exchange instead of joined, so one
-# shuffle serves the window, the balance and the final ORDER BY.  An account can hold a
-# large share of all rows; a window would put all of it in one task.  Such hot
-# accounts (found first by a frequent-items sketch plus exact counts of its
-# candidates; at most MAX_HOT_ACCOUNTS ids are collected and broadcast back as
-# a one-column frame) take a chunked path:
-#   1. range-partition their rows on (account, date, id): Spark samples the
-#      keys, so a hot account is cut into contiguous, similar-sized chunks;
-#      the chunk number is the partition id, frozen by a reliable checkpoint
-#      so every later use (and every retry) sees the same chunks;
-#   2. per (account, chunk) sum -> at most (#hot accounts + #chunks) rows;
-#      the carry of a chunk is the sum of the later chunks of its account
-#      (a window over that small table), joined by broadcast;
-#   3. inside a chunk, a window over (account, chunk) adds the later rows of
-#      the same chunk.  No window partition exceeds one chunk.
+# One path for all accounts, with no look at the data beforehand.  A row's chunk is
+# (account, date, id // ID_SPAN), a function of the row alone, and chunks follow one another
+# in the order of the rows:
+#   1. the sum of each chunk (partial aggregation inside each task);
+#   2. the carry of a chunk is the sum of the later chunks of its account, a window over
+#      the chunk sums, where the account's balance joins as well;
+#   3. inside a chunk, a window adds the later rows.
+# However many rows an account has, a window over rows holds one chunk: at most ID_SPAN
+# rows of one day.  The window over chunk sums holds three columns for each chunk of an
+# account; with ids from a sequence these are few (with ids strewn over the whole 64-bit
+# range they can be as many as its rows, and that window then sorts and spills them).
+# Rows without an account id belong to no account, on either side.
 # --------------------------------------------------------------------------
 
-def _later_first():
-    """Window order in which rows that happened later come first."""
-    return (F.desc_nulls_last("transaction_date"), F.desc_nulls_last("transaction_id"))
-
-
 _TX_COLUMNS = ("account_id", "transaction_id", "transaction_date", "transaction_type", "amount")
 
 
-def _signed(transactions: DataFrame) -> DataFrame:
-    return transactions.select(*_TX_COLUMNS, signed_amount().alias("signed"))
-
-
-def _running(balance_col, later_col) -> F.Column:
-    return as_double(to_money(balance_col) - F.coalesce(later_col, F.lit(0)))
-
-
-def _running_plain(signed: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Per-account window, with the balance co-grouped instead of joined.
+def running_balances(t: BankTables, as_of=None, id_span: int = ID_SPAN) -> DataFrame:
+    """q2c -- the balance right after each transaction, rebuilt backwards.
 
-    Account rows (carrying ``struct(balance)``) are unioned with the
-    transaction rows and both are range-partitioned on ``account_id`` -- one
-    exchange.  Inside an account's window the transactions see the running
-    sum of later rows, and the list of its account rows (normally one; a
-    duplicated key yields one output row per account row, as an inner join
-    would; none drops the transaction, as an inner join would).  Because the
-    partitioning is a range on ``account_id``, the final ORDER BY (account,
-    date, id) needs only a sort within partitions, not a second shuffle.
+    ``id_span`` is the number of consecutive ids in a chunk; it changes the plan's
+    grain, never the result.
     """
-    tx_rows = signed.select(*_TX_COLUMNS, "signed", F.lit(None).cast("struct<balance:double>").alias("owner"))
-    account_rows = accounts.select(
-        "account_id",
-        *[F.lit(None).cast(t).alias(c) for c, t in (
-            ("transaction_id", "bigint"), ("transaction_date", "date"),
-            ("transaction_type", "string"), ("amount", "double"),
-        )],
-        F.lit(None).cast(signed.schema["signed"].dataType).alias("signed"),
-        F.struct("balance").alias("owner"),
-    )
-    order = Window.partitionBy("account_id").orderBy(*_later_first())
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return (
-        tx_rows.unionByName(account_rows)
-        .repartitionByRange(F.asc_nulls_first("account_id"))
-        .select(
-            "*",
-            F.sum("signed").over(before).alias("later"),
-            F.collect_list("owner").over(whole).alias("owners"),
-        )
-        .where(F.col("owner").isNull())
-        .select(*_TX_COLUMNS, "later", F.explode("owners").alias("o"))
-        .select(*_TX_COLUMNS, _running("o.balance", "later").alias("running_balance"))
+    rows = t.transactions.where(F.col("account_id").isNotNull()).select(
+        *_TX_COLUMNS,
+        signed_amount().alias("signed"),
+        F.floor(F.col("transaction_id") / F.lit(id_span).cast("decimal(20,0)")).cast("long").alias("chunk"),
     )
-
-
-def _running_chunked(signed: DataFrame, accounts: DataFrame, hot_frame: DataFrame, partitions: int) -> DataFrame:
-    spark = signed.sparkSession
-    checkpoint_dir(spark)
-    chunked = (
-        signed.repartitionByRange(
-            partitions,
-            F.asc_nulls_first("account_id"),
-            F.asc_nulls_first("transaction_date"),
-            F.asc_nulls_first("transaction_id"),
-        )
-        .withColumn("chunk", F.spark_partition_id())
-        .checkpoint(eager=True)
+    later_chunks = (
+        Window.partitionBy("account_id")
+        .orderBy(F.desc_nulls_last("transaction_date"), F.desc_nulls_last("chunk"))
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    chunk_sums = chunked.groupBy("account_id", "chunk").agg(F.sum("signed").alias("chunk_sum"))
-    later_chunks = Window.partitionBy("account_id").orderBy(F.desc("chunk")).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    balances = accounts.join(hot_frame, "account_id", "left_semi").select("account_id", "balance")
-    # At most (#hot accounts + #chunks) rows: safe to broadcast.
+    owners = t.accounts.where(F.col("account_id").isNotNull()).select("account_id", "balance")
     carries = (
-        chunk_sums.withColumn("carry", F.coalesce(F.sum("chunk_sum").over(later_chunks), F.lit(0)))
-        .join(balances, "account_id")
-        .select("account_id", "chunk", "carry", "balance")
-    )
-    within = Window.partitionBy("account_id", "chunk").orderBy(*_later_first()).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    return (
-        chunked.withColumn("later_in_chunk", F.sum("signed").over(within))
-        .join(F.broadcast(carries), ["account_id", "chunk"])
+        rows.groupBy("account_id", "transaction_date", "chunk")
+        .agg(F.sum("signed").alias("chunk_sum"))
+        .withColumn("carry", F.coalesce(F.sum("chunk_sum").over(later_chunks), F.lit(0)))
+        .join(owners, "account_id")
         .select(
-            *_TX_COLUMNS,
-            _running("balance", F.col("carry") + F.coalesce("later_in_chunk", F.lit(0))).alias(
-                "running_balance"
-            ),
+            F.col("account_id").alias("c_account"),
+            F.col("transaction_date").alias("c_date"),
+            F.col("chunk").alias("c_chunk"),
+            (to_money("balance") - F.col("carry")).alias("after_chunk"),
         )
     )
-
-
-def _id_frame(spark, ids: list) -> DataFrame:
-    """A one-column frame of at most MAX_HOT_ACCOUNTS ids (safe to broadcast)."""
-    return spark.createDataFrame([(int(i),) for i in ids], "account_id bigint")
-
-
-def hot_account_candidates(transactions: DataFrame, limit: int = MAX_HOT_ACCOUNTS) -> list:
-    """Accounts that may hold at least 1/``limit`` of all transactions.
-
-    ``freqItems`` (the frequent-element algorithm of Karp, Schenker and
-    Papadimitriou) keeps at most ``limit`` counters per task and merges them:
-    one pass over ``account_id``, no shuffle of per-account rows, and every
-    account above the support is guaranteed to be returned (false positives
-    are possible, hence the exact check in ``hot_account_counts``).  The list
-    is bounded by ``limit`` ids.
-    """
-    support = max(1.0 / limit, 1e-4)
-    row = transactions.select("account_id").freqItems(["account_id"], support).first()
-    return [a for a in (row[0] or []) if a is not None][:limit]
-
-
-def hot_account_counts(
-    transactions: DataFrame, threshold: int = HOT_ACCOUNT_ROWS, limit: int = MAX_HOT_ACCOUNTS
-) -> list[tuple[int, int]]:
-    """Hot accounts (more than ``threshold`` rows) with their exact row counts.
-
-    The candidates come from ``hot_account_candidates``; their exact counts
-    are taken over the candidate rows only (an IN-set filter, then a partial
-    aggregate of at most ``limit`` groups).  At most ``limit`` (id, count)
-    pairs reach the driver, never rows.  An account the sketch can miss holds
-    less than 1/``limit`` of the table -- no more than one task's share of a
-    ``limit``-partition shuffle -- and is answered exactly by the
-    per-account window.
-    """
-    if limit <= 0:
-        return []
-    candidates = hot_account_candidates(transactions, limit)
-    if not candidates:
-        return []
-    counts = (
-        transactions.join(F.broadcast(_id_frame(transactions.sparkSession, candidates)), "account_id", "left_semi")
-        .groupBy("account_id")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > threshold)
-        .collect()
+    later_in_chunk = (
+        Window.partitionBy("account_id", "transaction_date", "chunk")
+        .orderBy(F.desc_nulls_last("transaction_id"))
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    return sorted(((r[0], r[1]) for r in counts), key=lambda p: (-p[1], p[0]))
-
-
-def hot_account_ids(transactions: DataFrame, threshold: int = HOT_ACCOUNT_ROWS, limit: int = MAX_HOT_ACCOUNTS) -> list:
-    return [account for account, _ in hot_account_counts(transactions, threshold, limit)]
-
-
-def running_balances(
-    t: BankTables,
-    as_of=None,
-    hot_threshold: int = HOT_ACCOUNT_ROWS,
-    max_hot_accounts: int = MAX_HOT_ACCOUNTS,
-    hot_partitions: int | None = None,
-) -> DataFrame:
-    """q2c -- the balance right after each transaction, rebuilt backwards.
-
-    Two small jobs first find hot accounts (a frequent-items sketch, then
-    exact counts of its candidates).  With none, the plan is one range
-    exchange that co-groups transactions and account rows, a window per
-    account, and the final ORDER BY without another shuffle.
-    """
-    signed = _signed(t.transactions)
-    hot = hot_account_counts(t.transactions, hot_threshold, max_hot_accounts)
-    hot_ids = [account for account, _ in hot]
-    if not hot_ids:
-        result = _running_plain(signed, t.accounts)
-    else:
-        # Chunks sized by the data: about HOT_CHUNK_ROWS rows each.
-        hot_rows = sum(n for _, n in hot)
-        partitions = hot_partitions or max(1, -(-hot_rows // HOT_CHUNK_ROWS))
-        hot_frame = F.broadcast(_id_frame(signed.sparkSession, hot_ids))
-        ordinary = signed.join(hot_frame, "account_id", "left_anti")
-        hot_rows_df = signed.join(hot_frame, "account_id", "left_semi")
-        result = _running_plain(ordinary, t.accounts).unionByName(
-            _running_chunked(hot_rows_df, t.accounts, hot_frame, partitions)
+    same_chunk = (
+        (F.col("account_id") == F.col("c_account"))
+        & F.col("transaction_date").eqNullSafe(F.col("c_date"))
+        & F.col("chunk").eqNullSafe(F.col("c_chunk"))
+    )
+    return (
+        rows.withColumn("later", F.coalesce(F.sum("signed").over(later_in_chunk), F.lit(0)))
+        .join(carries, same_chunk)
+        .select(*_TX_COLUMNS, as_double(F.col("after_chunk") - F.col("later")).alias("running_balance"))
+        .orderBy(
+            F.asc_nulls_first("account_id"),
+            F.asc_nulls_first("transaction_date"),
+            F.asc_nulls_first("transaction_id"),
         )
-    return result.orderBy(
-        F.asc_nulls_first("account_id"),
-        F.asc_nulls_first("transaction_date"),
-        F.asc_nulls_first("transaction_id"),
     )

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.operators import BANKING_QUERIES, check_constraints, latest_rows, unpack_q1a, word_count
 from ledgerline.operators.basic import total_balance_by_type
+from ledgerline.operators.movements import running_balances
 from ledgerline.schemas import CUSTOMERS, TRANSACTIONS
 from ledgerline.session import scratch_path
 from ledgerline.sinks.csv import write_csv_table
@@ -49,6 +50,11 @@ def _banking_sql(key: str) -> QueryFn:
     return run
 
 
+def q2c_small_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """q2c with chunks of one thousand ids: many chunks for each account."""
+    return running_balances(bank_tables_from_testdata(spark, sf_dir), TESTDATA_AS_OF, id_span=1000)
+
+
 def word_count_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E10 over every document text."""
     return word_count(documents_text(spark, sf_dir))
@@ -93,6 +99,7 @@ def registered_queries() -> dict[str, QueryFn]:
     queries.update({f"sql_{key}": _banking_sql(key) for key in BANKING_QUERIES})
     queries.update(
         {
+            "q2c_small_chunks": q2c_small_chunks,
             "word_count": word_count_query,
             "check_constraints": check_constraints_query,
             "envelope_latest": envelope_latest_query,

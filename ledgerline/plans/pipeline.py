@@ -33,6 +33,8 @@ CONSTRAINTS_RESULT = "_constraints"
 def resolve_as_of(spark: SparkSession, as_of=None) -> _dt.date:
     """One date for the run: given, or today in the session time zone."""
     if as_of is not None:
+        if isinstance(as_of, _dt.datetime):
+            return as_of.date()
         return as_of if isinstance(as_of, _dt.date) else _dt.date.fromisoformat(str(as_of))
     tz = spark.conf.get("spark.sql.session.timeZone", "UTC")
     return _dt.datetime.now(ZoneInfo(tz)).date()
@@ -58,7 +60,7 @@ def run_pipeline(
         tables = read_csv_tables(spark, source)
         raw = read_csv_tables(spark, source, raw=True)
     as_of = resolve_as_of(spark, as_of)
-    run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc)
 
     written = {
         CONSTRAINTS_RESULT: write_result_parquet(check_constraints(tables, raw), out, CONSTRAINTS_RESULT, mode)

@@ -13,6 +13,8 @@ CSV_WRITE_OPTIONS = {
     "header": "true",
     "nullValue": "",
     "emptyValue": '""',
+    "quote": '"',
+    "escape": '"',
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
     "dateFormat": "yyyy-MM-dd",

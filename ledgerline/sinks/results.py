@@ -31,14 +31,16 @@ def to_envelope(df: DataFrame, query_id: str, run_ts=None) -> DataFrame:
 
     ``to_json`` leaves out NULL fields, so their keys are absent from the JSON
     and read back as NULL.  ``run_ts`` is one timestamp for the whole run
-    (``current_timestamp()`` when not given).
+    (``current_timestamp()`` when not given).  An aware datetime is that
+    instant; text or a naive datetime is read in the session time zone, never
+    in the driver's.
     """
     if run_ts is None:
         ts = F.current_timestamp()
-    elif isinstance(run_ts, str):
-        ts = F.lit(_dt.datetime.fromisoformat(run_ts))
-    else:
+    elif isinstance(run_ts, _dt.datetime) and run_ts.tzinfo is not None:
         ts = F.lit(run_ts)
+    else:
+        ts = F.lit(str(run_ts))
     return df.select(
         F.lit(query_id).alias("query_id"),
         ts.cast("timestamp").alias("run_ts"),

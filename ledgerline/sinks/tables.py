@@ -2,10 +2,16 @@
 
 Parquet has no primary key, so a second run of the same input would append
 the same rows again.  Each table is anti-joined on its primary key with the
-keys already stored (NULL-safe, so a NULL key is not re-appended either)
-before the append.  Only the key column of the store is read (column
-pruning), and the anti join is a shuffle join: the store side is never
-broadcast.  Rows that repeat a key *within* one input are kept and reported
+keys already stored before the append.  No row is dropped unseen:
+
+* a row equal to a stored one is a repeat and is skipped;
+* a row whose key is stored with other values is appended to
+  ``{path}_conflicts`` instead (the store keeps the first version), and
+  ``append_table`` returns how many there were;
+* a row with a NULL key has nothing to be compared with and is appended; the
+  ``primary_key_null`` check reports it.
+
+The joins are shuffle joins: the store side is never broadcast.  Rows that repeat a key *within* one input are kept and reported
 by the ``primary_key_duplicate`` check.  Two concurrent writers are not
 isolated from each other.
 
@@ -38,18 +44,30 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-def append_table(df: DataFrame, path: str, table: str) -> None:
+def append_table(df: DataFrame, path: str, table: str) -> int:
+    """Appends what is new; returns the number of rows that conflict with stored ones."""
     spark = df.sparkSession
     pk = PRIMARY_KEYS[table]
-    new_rows = df
+    new_rows, conflicts = df, 0
     if path_exists(spark, path):
-        stored = spark.read.schema(TABLE_SCHEMAS[table]).parquet(path).select(pk)
-        new_rows = df.join(stored, df[pk].eqNullSafe(stored[pk]), "left_anti")
+        stored = spark.read.schema(TABLE_SCHEMAS[table]).parquet(path)
+        keys_stored = stored.select(F.col(pk).alias("stored_key"))
+        new_rows = df.join(keys_stored, F.col(pk) == F.col("stored_key"), "left_anti")
+        old = stored.select(pk, F.struct(*stored.columns).alias("stored_row"))
+        again = df.join(old, pk, "left").groupBy(*[F.col(c) for c in df.columns]).agg(
+            F.count("stored_row").alias("n"),
+            F.count_if(F.col("stored_row") == F.struct(*[F.col(c) for c in stored.columns])).alias("equal"),
+        )
+        changed = again.where("n > 0 and equal = 0").select(*df.columns)
+        conflicts = changed.count()
+        if conflicts:
+            changed.write.mode("append").parquet(f"{path}_conflicts")
     keys = CLUSTER_KEYS.get(table)
     if keys:
         order = [F.asc_nulls_first(k) for k in keys]
         new_rows = new_rows.repartitionByRange(*order).sortWithinPartitions(*order)
     new_rows.write.mode("append").parquet(path)
+    return conflicts
 
 
 def append_tables(tables: BankTables, store: str) -> dict[str, str]:

@@ -1,13 +1,16 @@
 """Headed CSV files -> typed tables.
 
-Every field is read as text under the declared column names and then cast
-with ``try_cast`` (``ledgerline.functions.casting``).  So a zip such as
+Columns are bound by their names in the header, in any order; a missing
+column fails, and so does a file whose header differs from the first one's.
+Quoted text follows the usual form: a quote inside is doubled, a backslash is
+an ordinary character.  Every field is read as text and then cast with ``try_cast`` (``ledgerline.functions.casting``).  So a zip such as
 ``01234`` stays text, an empty field is NULL, and a malformed date becomes
 NULL and is counted by the ``cast_loss`` check instead of failing the job.
 Only empty fields are NULL: tokens like ``NA`` or ``N/A`` are kept as text.
 
 Files are read line by line (``multiLine`` off), so large uncompressed or
-splittable-compressed files are split across tasks.
+splittable-compressed files are split across tasks.  Files with line breaks
+inside quotes need ``multiLine=True``, at the price of one task for each file.
 """
 
 from __future__ import annotations
@@ -28,6 +31,9 @@ CSV_READ_OPTIONS = {
     "header": "true",
     "multiLine": "false",
     "mode": "PERMISSIVE",
+    "quote": '"',
+    "escape": '"',
+    "enforceSchema": "false",
     "nullValue": "",
     "emptyValue": _EMPTY_MARKER,
     "ignoreLeadingWhiteSpace": "false",
@@ -51,11 +57,15 @@ def restore_empty_strings(raw: DataFrame, schema: StructType) -> DataFrame:
 
 
 def read_csv_raw(spark: SparkSession, path: str, schema: StructType, **options) -> DataFrame:
-    """The CSV with every declared column as text (header names are not trusted:
-    columns are taken by position, as declared)."""
+    """The CSV with every declared column as text, taken by its name in the header."""
     opts = dict(CSV_READ_OPTIONS)
     opts.update({k: str(v) for k, v in options.items()})
-    return restore_empty_strings(spark.read.schema(text_schema(schema)).options(**opts).csv(path), schema)
+    header = spark.read.options(**(opts | {"inferSchema": "false"})).csv(path).columns
+    missing = [f.name for f in schema.fields if f.name not in header]
+    if missing:
+        raise ValueError(f"{path}: the header lacks {', '.join(missing)}")
+    as_text = StructType([StructField(name, StringType(), True) for name in header])
+    return restore_empty_strings(spark.read.schema(as_text).options(**opts).csv(path), schema)
 
 
 def read_csv_table(spark: SparkSession, path: str, schema: StructType, **options) -> DataFrame:

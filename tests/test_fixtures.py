@@ -7,6 +7,7 @@ import datetime as dt
 from conftest import D, account, customer, make_tables, rows, tx
 
 from ledgerline.operators import (
+    BANKING_QUERIES,
     average_transaction_and_balance,
     balance_mismatches,
     deposits_per_customer,
@@ -21,6 +22,7 @@ from ledgerline.operators import (
     top_customers_by_balance,
     total_balance_by_type,
 )
+from ledgerline.tables import BankTables
 
 AS_OF = D("2024-08-31")
 
@@ -279,3 +281,33 @@ def test_as_of_defaults_to_today(spark):
         accounts=[account(1, 1, opened=today), account(2, 1, opened=today - dt.timedelta(days=400))],
     )
     assert [r[3] for r in rows(recent_accounts(t))] == [1]
+
+
+def test_q2c_null_account_ids_match_nothing(spark):
+    accounts = spark.createDataFrame(
+        [(1, 1, "Loan", None, 10.0), (None, 1, "Loan", None, 50.0)],
+        "account_id bigint, customer_id bigint, account_type string, opening_date date, balance double",
+    )
+    transactions = spark.createDataFrame(
+        [(1, 1, None, "Deposit", None, 1.0), (2, None, None, "Deposit", None, 1.0), (3, None, None, "Deposit", None, 1.0)],
+        "transaction_id bigint, account_id bigint, transaction_date date, transaction_type string, "
+        "description string, amount double",
+    )
+    t = BankTables(make_tables(spark).customers, accounts, transactions)
+    assert [r[1] for r in rows(running_balances(t))] == [1]
+    from ledgerline.plans.sql import run_sql
+
+    assert [r[1] for r in rows(run_sql(spark, t, "q2c", D("2024-02-01")))] == [1]
+
+
+def test_money_without_exact_value_counts_as_missing(spark):
+    t = make_tables(
+        spark,
+        customers=[customer(1)],
+        accounts=[account(1, 1, balance=10.0)],
+        transactions=[tx(i, 1, date="2024-01-01", amount=a) for i, a in enumerate((float("nan"), 5.0, 4.0, float("inf"), 1e23))],
+    )
+    assert rows(BANKING_QUERIES["q3a"](t, D("2024-02-01")))[0][1] == 4.5
+    from ledgerline.plans.sql import run_sql
+
+    assert rows(run_sql(spark, t, "q3a", D("2024-02-01")))[0][1] == 4.5

@@ -165,3 +165,51 @@ def test_e2_transactions_clustered_by_date(spark, scratch):
     # Files cover consecutive, non-overlapping date ranges (a shared boundary day at most).
     for (lo1, hi1), (lo2, hi2) in zip(ranges, ranges[1:]):
         assert hi1 <= lo2
+
+
+def test_csv_binds_by_header_name_and_reads_quotes(spark, scratch):
+    path = f"{scratch}/accounts.csv"
+    with open(path, "w") as f:
+        f.write('customer_id,account_id,balance,account_type,opening_date,extra\n100,7,1.5,"Al ""Ace"" \\",2020-01-01,x\n')
+    from ledgerline.schemas import ACCOUNTS
+    from ledgerline.sources.csv import read_csv_table
+
+    row = read_csv_table(spark, path, ACCOUNTS).first()
+    assert (row.account_id, row.customer_id, row.balance, row.account_type) == (7, 100, 1.5, 'Al "Ace" \\')
+
+
+def test_append_reports_conflicts_and_keeps_null_keys(spark, scratch):
+    from ledgerline.schemas import ACCOUNTS
+    from ledgerline.sinks.tables import append_table
+
+    def frame(*rows):
+        return spark.createDataFrame(
+            list(rows), "account_id bigint, customer_id bigint, account_type string, opening_date date, balance double"
+        )
+
+    path = f"{scratch}/store/accounts"
+    first = (1, 1, "Loan", None, 5.0)
+    assert append_table(frame(first, (None, 1, "Loan", None, 1.0)), path, "accounts") == 0
+    changed = (1, 1, "Loan", None, 6.0)
+    assert append_table(frame(first, changed, (None, 2, "Loan", None, 2.0), (2, 1, "Loan", None, 7.0)), path, "accounts") == 1
+    stored = sorted((r.account_id or 0, r.balance) for r in spark.read.schema(ACCOUNTS).parquet(path).collect())
+    assert stored == [(0, 1.0), (0, 2.0), (1, 5.0), (2, 7.0)]
+    assert [r.balance for r in spark.read.schema(ACCOUNTS).parquet(path + "_conflicts").collect()] == [6.0]
+
+
+def test_run_ts_does_not_depend_on_the_drivers_time_zone(spark, monkeypatch):
+    import datetime
+    import time
+
+    from ledgerline.sinks.results import to_envelope
+
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        moment = datetime.datetime(2024, 1, 2, 14, 35)
+        for ts in (moment, "2024-01-02 14:35:00", moment.replace(tzinfo=datetime.timezone.utc)):
+            got = to_envelope(spark.range(1), "q", ts).selectExpr("cast(run_ts as string) as s").first().s
+            assert got == "2024-01-02 14:35:00"
+    finally:
+        monkeypatch.undo()
+        time.tzset()

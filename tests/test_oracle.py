@@ -12,6 +12,8 @@ import pytest
 from conftest import SF_ORACLE
 
 import __spark_entry__ as entry_module
+from ledgerline.plans.catalog import registered_queries
+from ledgerline.plans.oracle import ORACLE_SQL
 
 EXPECTED_ROWS_SF001 = {
     # FIXTURES.md section 2, measured row counts at sf0.01.
@@ -48,7 +50,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_matches_oracle(spark, duck, name):
     df = entry_module.queries()[name](spark, SF_ORACLE)
     got = [tuple(r) for r in df.collect()]
@@ -63,7 +65,8 @@ def test_matches_oracle(spark, duck, name):
 
 
 def test_every_query_has_an_oracle_or_is_rows_only():
-    assert set(entry_module.queries()) - set(entry_module.oracle_sql()) == {"envelope_latest"}
+    assert set(registered_queries()) - set(ORACLE_SQL) == {"envelope_latest"}
+    assert set(registered_queries()) <= set(entry_module.queries())
     assert {f"sql_{k}" for k in EXPECTED_ROWS_SF001 if k.startswith("q")} <= set(entry_module.queries())
 
 

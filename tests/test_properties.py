@@ -45,14 +45,9 @@ def test_q2c_newest_keeps_balance_and_steps_by_signed_amount(spark):
                 assert abs((newer[5] - older[5]) - step) < 1e-6
 
 
-def test_q2c_hot_path_equals_plain_path_on_testdata(spark):
+def test_q2c_chunk_size_does_not_matter_on_testdata(spark):
     t = bank_tables_from_testdata(spark, SF_SMALL)
-    plain = rows(running_balances(t, TESTDATA_AS_OF))
-    forced = rows(running_balances(t, TESTDATA_AS_OF, hot_threshold=3, max_hot_accounts=200, hot_partitions=7))
-    assert plain == forced
-    # Chunk count from the hot row counts (here one chunk).
-    sized = rows(running_balances(t, TESTDATA_AS_OF, hot_threshold=3, max_hot_accounts=200))
-    assert plain == sized
+    assert rows(running_balances(t, TESTDATA_AS_OF)) == rows(running_balances(t, TESTDATA_AS_OF, id_span=7))
 
 
 _dates = st.one_of(st.none(), st.dates(min_value=dt.date(2024, 1, 1), max_value=dt.date(2024, 1, 10)))
@@ -63,15 +58,13 @@ _amounts = st.one_of(st.none(), st.integers(min_value=0, max_value=10_000).map(l
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     data=st.lists(st.tuples(st.integers(1, 3), _dates, _kinds, _amounts), min_size=1, max_size=60),
-    partitions=st.integers(1, 9),
+    id_span=st.integers(1, 9),
 )
-def test_q2c_chunked_matches_plain_random(spark, data, partitions):
+def test_q2c_chunk_size_does_not_matter(spark, data, id_span):
     accounts = [account(1, 1, balance=100.0), account(2, 1, balance=None), account(3, 1, balance=-7.5)]
     txs = [tx(i + 1, a, d, k, amt) for i, (a, d, k, amt) in enumerate(data)]
     t = make_tables(spark, customers=[customer(1)], accounts=accounts, transactions=txs)
-    plain = rows(running_balances(t, max_hot_accounts=0))
-    chunked = rows(running_balances(t, hot_threshold=0, max_hot_accounts=10, hot_partitions=partitions))
-    assert plain == chunked
+    assert rows(running_balances(t)) == rows(running_balances(t, id_span=id_span))
 
 
 def test_q4d_and_valid_cover_all_transactions(spark):
