@@ -49,7 +49,7 @@ RADIUS = 23
 CHUNKS = 12
 BLOCK_SETS = 256
 BLOCK_SHINGLES = 500_000
-WORD_MEMO = 400_000
+WORD_MEMO = 250_000
 
 _ODD = (np.random.default_rng(20_011).integers(1, 2**63, size=HASHES, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 _ADD = np.random.default_rng(20_012).integers(0, 2**63, size=HASHES, dtype=np.uint64)

@@ -16,7 +16,7 @@ from functools import lru_cache
 
 import numpy as np
 
-MEMO = 500_000
+MEMO = 400_000
 
 # A space with a non-space on both sides always starts a pre-token of the byte-level BPE.
 _SAFE_SPACE = re.compile(r"(?<=\S)(?= \S)")
