@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import cut
-from ledgerline.llm.tokenizers_cached import chunk_encoder, public_path
+from ledgerline.llm.tokenizers_cached import byte_level_encoder, public_path
 
 TOKENIZER = "byte_bpe_50k.json"
 CAPACITY = 2048
@@ -52,7 +52,7 @@ def _pieces(text: Column, path: str, capacity: int, end_id: int) -> Column:
     end = np.asarray([end_id], dtype="<u4").tobytes()
 
     def pieces(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = chunk_encoder(path)
+        encoder = byte_level_encoder(path)
         for texts in batches:
             rows = []
             for x in texts:

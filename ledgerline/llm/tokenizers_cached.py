@@ -1,26 +1,22 @@
-"""Public tokenizers with a bounded memo of text chunks, for use inside tasks.
+"""Public tokenizers for use inside tasks: counts with a memo of chunks, and ids.
 
 A byte-pair tokenizer first cuts a text into pre-tokens and encodes each alone,
-so the encoding of a text is the concatenation over chunks whose borders are
-always pre-token borders.  Words repeat far more often than texts, so each
-Python worker remembers the chunks that it has encoded; the memo is emptied
-when it reaches ``MEMO`` entries.
+so the token count of a text is the sum over chunks whose borders are always
+pre-token borders.  Words repeat far more often than texts, so each Python
+worker remembers the counts of chunks that it has met; the memo is emptied when
+it reaches ``MEMO`` entries.
 """
 
 from __future__ import annotations
 
 import json
 import os
-import re
 from functools import lru_cache
 
 import numpy as np
 
 MEMO = 400_000
 
-# A space with a non-space on both sides always starts a pre-token of the byte-level BPE.
-_SAFE_SPACE = re.compile(r"(?<=\S)(?= \S)")
-
 
 def public_path(name: str) -> str:
     import public_tokenizers
@@ -98,12 +94,14 @@ def _byte_alphabet() -> dict[str, int]:
     return stand_in | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class ChunkEncoder:
+class ByteLevelEncoder:
     """Ids of texts for a byte-level BPE file without a normalizer.
 
-    The ranks are read from the ``tokenizers`` file; ``tiktoken`` merges by the
-    same ranks and is the faster library for single words.  Added special
-    strings inside a text become their ids, as the file's library does by default.
+    The ranks are read from the ``tokenizers`` file; ``tiktoken`` splits and merges
+    whole texts by the same pattern and ranks, which is faster than to look up
+    remembered chunks.  Added special strings inside a text become their ids, as the
+    file's library does by default.  White space of a few hundred thousand characters
+    on end exceeds the pattern's stack: such a text goes through ``tokenizers``.
     """
 
     def __init__(self, path: str):
@@ -115,69 +113,21 @@ class ChunkEncoder:
         alphabet = _byte_alphabet()
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         ranks = {bytes(alphabet[ch] for ch in w): i for w, i in spec["model"]["vocab"].items() if w not in special}
+        self.path = path
         self.special = set(special)
         self.encoding = tiktoken.Encoding(
             "byte-level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special
         )
-        # Chunk -> ids; False: white space at a border, so the borders of this chunk are not safe.
-        self.memo: dict[str, bytes | bool] = {}
-        self.line_break = ranks[b"\n"]
-        self.break_bytes = np.asarray([self.line_break], dtype="<u4").tobytes()
-
-    def encode(self, text: str) -> bytes:
-        return np.asarray(self.encoding.encode(text, allowed_special=self.special), dtype="<u4").tobytes()
-
-    def _learn(self, chunks: set[str]) -> dict[str, bytes | bool]:
-        """Encodes new chunks together, a line break between them."""
-        new: dict[str, bytes | bool] = {}
-        plain = []
-        for c in chunks:
-            word = c[1:] if c[:1] == "\n" else c
-            if not word or word != word.strip() or "\n" in word:
-                new[c] = False
-            else:
-                plain.append(c)
-        if not plain:
-            return new
-        ids = np.asarray(
-            self.encoding.encode_ordinary("\n".join([c[1:] if c[0] == "\n" else " " + c for c in plain])), dtype="<u4"
-        )
-        borders = np.flatnonzero(ids == self.line_break)
-        if len(borders) != len(plain) - 1:
-            for c in plain:
-                new[c] = self.encode(c if c[0] == "\n" else " " + c)
-            return new
-        # A line break's own id precedes each chunk but the first: those that begin with one take it.
-        data = b"".join([self.break_bytes, ids.tobytes()])
-        starts = [0, *(4 * (borders + 1)).tolist()]
-        ends = [*(4 * (borders + 1)).tolist(), len(data)]
-        new.update((c, data[a:b] if c[0] == "\n" else data[a + 4 : b]) for c, a, b in zip(plain, starts, ends))
-        return new
 
     def ids(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        if any(s in text for s in self.special):
-            return self.encode(text)
-        # A chunk is a space and a word or a line break and a word.  Its borders are safe if
-        # the words have no white space at their ends and none is empty.
-        first, *rest = text.replace("\n", " \n").split(" ")
-        if first != first.strip():
-            return self.encode(text)
-        memo = self.memo
-        if len(memo) > MEMO:
-            memo.clear()
-        found = list(map(memo.get, rest))
-        if None in found:
-            # A small table of the new chunks: faster to read than the memo.
-            new = self._learn({c for c, x in zip(rest, found) if x is None})
-            memo.update(new)
-            found = [new[c] if x is None else x for c, x in zip(rest, found)]
-        if False not in found and first:
-            found.insert(0, self.encode(first))
-            return b"".join(found)
-        return b"".join([self.encode(x) for x in _SAFE_SPACE.split(text)])
+        try:
+            ids = self.encoding.encode_to_numpy(text, allowed_special=self.special)
+        except ValueError:
+            ids = load_tokenizer(self.path).encode_batch_fast([text], add_special_tokens=False)[0].ids
+        return np.asarray(ids, dtype="<u4").tobytes()
 
 
 @lru_cache(maxsize=2)
-def chunk_encoder(path: str) -> ChunkEncoder:
-    return ChunkEncoder(path)
+def byte_level_encoder(path: str) -> ByteLevelEncoder:
+    return ByteLevelEncoder(path)

@@ -19,7 +19,7 @@ from ledgerline.llm.near_dedup import chunk_keys, near_duplicates, shingles, sig
 from ledgerline.llm.packing import pack_documents, plan_bins
 from ledgerline.llm.pii import mask_personal_data, personal_data_digest
 from ledgerline.llm.token_counts import token_counts
-from ledgerline.llm.tokenizers_cached import chunk_counter, chunk_encoder, load_tokenizer, public_path
+from ledgerline.llm.tokenizers_cached import byte_level_encoder, chunk_counter, load_tokenizer, public_path
 from ledgerline.llm.topk import top_k
 from ledgerline.llm.toxicity import CharModel, restore, score_toxicity, trigram_counts
 from ledgerline.session import scratch_path
@@ -156,7 +156,7 @@ def test_chunk_memo_equals_the_library():
     odd = [" ", "  ", "\n", "\n\n", " \n", "\n ", "\t", "a", "B", "é", "é", "'s", "'ll", "foo", "bar.", "|", "!!!", "12", "\xa0",
            "\x1c", "\x85", "<|endoftext|>", "<|ENDOFTEXT|>", "H̱", "İ", "ΑΣ", "中文", "🙂", "\r\n", "\x00"]
     texts = ["".join(rng.choices(odd, k=rng.randint(0, 12))) for _ in range(3000)]
-    encoder, counter = chunk_encoder(public_path("byte_bpe_50k.json")), chunk_counter(public_path("word_bpe_49k.json"))
+    encoder, counter = byte_level_encoder(public_path("byte_bpe_50k.json")), chunk_counter(public_path("word_bpe_49k.json"))
     ids, words = load_tokenizer(public_path("byte_bpe_50k.json")), load_tokenizer(public_path("word_bpe_49k.json"))
     counts = counter.counts(texts)
     for t, n in zip(texts, counts):
@@ -164,6 +164,13 @@ def test_chunk_memo_equals_the_library():
         assert n == len(words.encode(t, add_special_tokens=False).ids)
 
 
+def test_very_long_white_space_equals_the_library():
+    path = public_path("byte_bpe_50k.json")
+    for t in (" " * 600_000, "a" + " " * 600_000 + "b", "x" * 300_000):
+        want = np.asarray(load_tokenizer(path).encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        assert byte_level_encoder(path).ids(t) == want
+
+
 def test_token_cache_is_used(spark, make_docs):
     path = scratch_path(spark, "cache")
     texts = [prose(1), prose(1).upper(), prose(2).replace(" ", "\n"), None, "<|endoftext|>", "<|ENDOFTEXT|>"]
