@@ -14,11 +14,11 @@ def latest_rows(envelope: DataFrame, query_id: str, n: int = 50) -> DataFrame:
 
     The limit is the feature here (a "last page" view).  A ``query_id``
     filter prunes partitions when the envelope is stored partitioned by it.
-    Rows of one run share ``run_ts``; which of them fill the page is arbitrary.
+    Rows of one run share ``run_ts``; their JSON text decides which come first.
     """
     return (
         envelope.where(F.col("query_id") == F.lit(query_id))
-        .orderBy(F.desc("run_ts"))
+        .orderBy(F.desc("run_ts"), "row_json")
         .limit(n)
         .select("row_json")
     )
@@ -44,9 +44,9 @@ def unpack_rows(envelope: DataFrame, query_id: str, fields) -> DataFrame:
 
 def unpack_q1a(envelope: DataFrame) -> DataFrame:
     """q1a rows back as (customer_id text, account_type, total_balance decimal),
-    largest total first (NULL totals last)."""
+    largest total first (NULL totals last), ties by customer and type."""
     return unpack_rows(
         envelope,
         "q1a",
         [("customer_id", None), ("account_type", None), ("total_balance", READ_BACK_DECIMAL)],
-    ).orderBy(F.desc_nulls_last("total_balance"))
+    ).orderBy(F.desc_nulls_last("total_balance"), "customer_id", "account_type")

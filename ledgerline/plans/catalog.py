@@ -12,15 +12,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerline.functions.casting import cast_to_schema
 from ledgerline.operators import BANKING_QUERIES, check_constraints, latest_rows, unpack_q1a, word_count
 from ledgerline.operators.basic import total_balance_by_type
 from ledgerline.operators.movements import running_balances
-from ledgerline.schemas import CUSTOMERS, TRANSACTIONS
+from ledgerline.operators.quality import duplicate_account_types
+from ledgerline.schemas import CUSTOMERS, TABLE_SCHEMAS, TRANSACTIONS
 from ledgerline.session import scratch_path
 from ledgerline.sinks.csv import write_csv_table
 from ledgerline.sinks.results import to_envelope
 from ledgerline.sources.csv import read_csv_table
-from ledgerline.sources.testdata import TESTDATA_AS_OF, bank_tables_from_testdata, documents_text
+from ledgerline.sources.testdata import (
+    TESTDATA_AS_OF,
+    bank_tables_from_testdata,
+    documents_text,
+    faulty_feed_from_testdata,
+)
+from ledgerline.tables import BankTables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -61,8 +69,10 @@ def word_count_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def check_constraints_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E7 over the derived tables."""
-    return check_constraints(bank_tables_from_testdata(spark, sf_dir))
+    """E4 and E7 over a feed of text with faults in it."""
+    raw = faulty_feed_from_testdata(spark, sf_dir)
+    typed = BankTables(**{name: cast_to_schema(df, TABLE_SCHEMAS[name]) for name, df in raw.items()})
+    return check_constraints(typed, raw)
 
 
 def _q1a_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,8 +81,12 @@ def _q1a_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def envelope_latest_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E6 -> E8: the newest 50 JSON rows of q1a (ties within one run are arbitrary)."""
-    return latest_rows(_q1a_envelope(spark, sf_dir), "q1a", 50)
+    """E6 -> E8: the first 50 JSON rows of the newest of two runs of q4c; the older run
+    stored fewer columns."""
+    found = duplicate_account_types(bank_tables_from_testdata(spark, sf_dir), TESTDATA_AS_OF)
+    older = to_envelope(found.drop("total_accounts_of_type"), "q4c", ENVELOPE_RUN_TS)
+    newer = to_envelope(found, "q4c", ENVELOPE_RUN_TS + _dt.timedelta(days=1))
+    return latest_rows(older.unionByName(newer), "q4c", 50)
 
 
 def envelope_unpack_q1a_query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,24 +5,14 @@ DuckDB oracle, so that both engines see the same customers, accounts and
 transactions.  It is written with the DataFrame API (the oracle writes it in
 SQL), which makes the oracle check an independent second derivation.
 
-Plan notes (at scale ``lineitem`` is by far the largest input):
-
-* ``accounts`` and ``customers`` are map-only projections of ``orders`` and
-  ``customer``: no shuffle.
-* ``transactions`` keeps only line items whose order became an account
-  (a left-semi join on ``l_orderkey``) and collapses repeated
-  ``(l_orderkey, l_linenumber, l_partkey)`` keys with MIN.  When ``accounts``
-  is small enough to broadcast (the size check of Catalyst/AQE decides), the
-  semi join is map-side and the aggregate runs in two phases around one
-  exchange on the three keys, so repeated keys fold before the shuffle.  When
-  both sides are large, Catalyst pushes the semi join below the aggregate:
-  one exchange of ``lineitem`` on ``l_orderkey`` then serves the semi join,
-  the aggregate (hash(l_orderkey) satisfies the clustering on the three
-  keys) and the later joins with ``accounts`` on ``account_id``.
-* ``MIN`` of the string column ``l_returnflag`` makes this a sort-based
-  aggregate (string buffers are not hash-aggregatable).
-* This is the adapter for the driver's test tables; production input comes
-  from the Parquet store written by the pipeline.
+Every customer, order and line item becomes one row, so each derivation is a
+map-only projection: no shuffle, and filters and columns of a query reach the
+scan.  This is the adapter for the driver's test tables; production input comes
+from the Parquet store written by the pipeline.
+
+``faulty_feed_from_testdata`` derives the same tables as delivered text, with
+duplicated, missing and dangling keys and unreadable values in them, for the
+constraint report.
 """
 
 from __future__ import annotations
@@ -51,6 +41,7 @@ PRIORITY_TO_ACCOUNT_TYPE = (
 )
 DEFAULT_ACCOUNT_TYPE = "Checking"
 BIRTH_EPOCH = _dt.date(1950, 1, 1)
+SHIP_EPOCH = _dt.date(1992, 1, 1)
 # ---------------------------------------------------------------------------
 
 
@@ -77,40 +68,37 @@ def derive_customers(customer: DataFrame) -> DataFrame:
 
 
 def derive_accounts(orders: DataFrame) -> DataFrame:
+    """Every order is an account.  The owner's id is moved on by one where it is a
+    multiple of 11, so that some customers have none."""
     k = F.col("o_orderkey").cast("long")
+    owner = F.col("o_custkey").cast("long")
     prio = F.col("o_orderpriority")
     account_type = F.when(k % 97 == 0, _null("string"))
     for priority, kind in PRIORITY_TO_ACCOUNT_TYPE:
         account_type = account_type.when(prio == priority, F.lit(kind))
     account_type = account_type.otherwise(F.lit(DEFAULT_ACCOUNT_TYPE))
     price = F.col("o_totalprice").cast("double")
-    return orders.where(F.col("o_custkey") % 11 != 0).select(
+    return orders.select(
         k.alias("account_id"),
-        F.col("o_custkey").cast("long").alias("customer_id"),
+        F.when(owner % 11 == 0, owner + 1).otherwise(owner).alias("customer_id"),
         account_type.alias("account_type"),
         F.col("o_orderdate").cast("date").alias("opening_date"),
         F.when(k % 101 == 0, _null("double"))
-        .when(k % 5 == 0, F.lit(0.0))
+        .when((k % 5 == 0) | (k % 23 == 0), F.lit(0.0))
         .when(k % 7 == 0, -price)
         .otherwise(price)
         .alias("balance"),
     )
 
 
-def derive_transactions(lineitem: DataFrame, accounts: DataFrame) -> DataFrame:
-    keys = ["l_orderkey", "l_linenumber", "l_partkey"]
-    owned = lineitem.join(
-        accounts.select(F.col("account_id").alias("l_orderkey")), "l_orderkey", "left_semi"
-    )
-    lines = owned.groupBy(*keys).agg(
-        F.min("l_suppkey").alias("l_suppkey"),
-        F.min("l_shipdate").alias("l_shipdate"),
-        F.min("l_extendedprice").alias("l_extendedprice"),
-        F.min("l_returnflag").alias("l_returnflag"),
-    )
+def derive_transactions(lineitem: DataFrame) -> DataFrame:
+    """Every line item is a transaction; its ship date is part of the id, which
+    (order, line, part) alone do not make unique.  On accounts whose id is a multiple
+    of 23 nothing moves: amounts and balance are 0."""
     okey = F.col("l_orderkey").cast("long")
     line = F.col("l_linenumber")
     part = F.col("l_partkey").cast("long")
+    day = F.date_diff(F.col("l_shipdate").cast("date"), F.lit(SHIP_EPOCH))
     tx_type = (
         F.when(line.between(1, 3), F.lit("Deposit"))
         .when(line == 4, F.lit("Withdrawal"))
@@ -123,14 +111,15 @@ def derive_transactions(lineitem: DataFrame, accounts: DataFrame) -> DataFrame:
             .otherwise(F.lit("Withdrawal")),
         )
     )
-    return lines.select(
-        ((okey * 10 + line) * 1000000 + part).alias("transaction_id"),
+    return lineitem.select(
+        (((okey * 10 + line) * 1000000 + part) * 10000 + day).alias("transaction_id"),
         okey.alias("account_id"),
         F.when(F.col("l_suppkey") % 41 == 0, _null("date"))
         .otherwise(F.col("l_shipdate").cast("date"))
         .alias("transaction_date"),
         tx_type.alias("transaction_type"),
         F.when(part % 50 == 0, _null("double"))
+        .when(okey % 23 == 0, F.lit(0.0))
         .otherwise(F.floor("l_extendedprice").cast("double") / 64)
         .alias("amount"),
         F.col("l_returnflag").alias("description"),
@@ -145,10 +134,41 @@ def bank_tables_from_testdata(spark: SparkSession, sf_dir: str) -> BankTables:
     """Lazy banking tables over ``{sf_dir}/{customer,orders,lineitem}.parquet``."""
     customers = derive_customers(read_source(spark, sf_dir, "customer"))
     accounts = derive_accounts(read_source(spark, sf_dir, "orders"))
-    transactions = derive_transactions(read_source(spark, sf_dir, "lineitem"), accounts)
+    transactions = derive_transactions(read_source(spark, sf_dir, "lineitem"))
     return BankTables(customers, accounts, transactions)
 
 
+def faulty_feed_from_testdata(spark: SparkSession, sf_dir: str) -> BankTables:
+    """The three tables as text, as a careless deliverer would send them."""
+    clean = bank_tables_from_testdata(spark, sf_dir)
+
+    def text(df: DataFrame, **changed) -> DataFrame:
+        return df.select(*[changed.get(c, F.col(c)).cast("string").alias(c) for c in df.columns])
+
+    cid, aid, owner = F.col("customer_id"), F.col("account_id"), F.col("customer_id")
+    tid = F.col("transaction_id")
+    return BankTables(
+        text(
+            clean.customers,
+            customer_id=F.when(cid % 307 == 0, _null("long")).when(cid % 113 == 0, cid - 1).otherwise(cid),
+            date_of_birth=F.when(cid % 29 == 0, F.lit("unknown")).otherwise(F.col("date_of_birth").cast("string")),
+        ),
+        text(
+            clean.accounts,
+            account_id=F.when(aid % 503 == 0, _null("long")).when(aid % 211 == 0, aid - 1).otherwise(aid),
+            customer_id=F.when(aid % 331 == 0, _null("long")).when(aid % 401 == 0, -owner - 1).otherwise(owner),
+            balance=F.when(aid % 89 == 0, F.lit("n/a")).otherwise(F.col("balance").cast("string")),
+        ),
+        text(
+            clean.transactions,
+            transaction_id=F.when(tid % 701 == 0, F.concat(F.lit("T"), tid.cast("string")))
+            .when(tid % 601 == 0, F.lit("600"))
+            .otherwise(tid.cast("string")),
+            account_id=F.when(tid % 809 == 0, _null("long")).otherwise(aid),
+        ),
+    )
+
+
 def documents_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``words`` input: one ``text`` column over the test documents."""
     return read_source(spark, sf_dir, "documents").select("text")

@@ -15,11 +15,11 @@ import __spark_entry__ as entry_module
 from ledgerline.plans.catalog import registered_queries
 from ledgerline.plans.oracle import ORACLE_SQL
 
-EXPECTED_ROWS_SF001 = {
+EXPECTED_ROWS = {
     # FIXTURES.md section 2, measured row counts at sf0.01.
-    "q1a": 4996, "q1b": 2098, "q1c": 5, "q2a": 437, "q2b": 1100, "q2c": 54425,
-    "q3a": 1500, "q3b": 1, "q4a": 13563, "q4b": 649, "q4c": 3672, "q4d": 1572,
-    "q4e": 1212, "word_count": 95039,
+    "q1a": 5064, "q1b": 2302, "q1c": 5, "q2a": 451, "q2b": 1125, "q2c": 60000,
+    "q3a": 1500, "q3b": 1, "q4a": 14290, "q4b": 649, "q4c": 3825, "q4d": 1743,
+    "q4e": 1280, "word_count": 95039,
 }
 
 
@@ -59,15 +59,15 @@ def test_matches_oracle(spark, duck, name):
     want = res.fetchall()
     assert sorted(df.columns) == sorted(cols)
     assert len(got) == len(want)
-    if name in EXPECTED_ROWS_SF001:
-        assert len(got) == EXPECTED_ROWS_SF001[name]
+    if name in EXPECTED_ROWS:
+        assert len(got) == EXPECTED_ROWS[name]
     assert _bag(got, list(df.columns)) == _bag(want, cols)
 
 
-def test_every_query_has_an_oracle_or_is_rows_only():
-    assert set(registered_queries()) - set(ORACLE_SQL) == {"envelope_latest"}
+def test_every_query_has_an_oracle():
+    assert set(registered_queries()) == set(ORACLE_SQL)
     assert set(registered_queries()) <= set(entry_module.queries())
-    assert {f"sql_{k}" for k in EXPECTED_ROWS_SF001 if k.startswith("q")} <= set(entry_module.queries())
+    assert {f"sql_{k}" for k in EXPECTED_ROWS if k.startswith("q")} <= set(entry_module.queries())
 
 
 def test_entry_smoke(spark):
@@ -75,20 +75,20 @@ def test_entry_smoke(spark):
     assert df.columns == [
         "account_id", "transaction_id", "transaction_date", "transaction_type", "amount", "running_balance",
     ]
-    assert df.count() == 5516
+    assert df.count() == 6000
 
 
-def test_envelope_latest_rows_only(spark):
-    df = entry_module.queries()["envelope_latest"](spark, SF_ORACLE)
-    assert df.columns == ["row_json"]
-    assert df.count() == 50
+def test_constraint_report_counts_faults(spark):
+    found = {tuple(r)[:3]: r.violations for r in entry_module.queries()["check_constraints"](spark, SF_ORACLE).collect()}
+    for check in ("primary_key_duplicate", "primary_key_null", "not_null", "foreign_key_orphan", "cast_loss"):
+        assert any(n > 0 for (_, kind, _), n in found.items() if kind == check), check
 
 
 @pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.001"), reason="no test data")
 def test_row_counts_sf0001(spark):
     q = entry_module.queries()
     small = "/root/testdata/sf0.001"
-    expected = {"q1a": 493, "q1b": 200, "q1c": 5, "q2a": 45, "q2b": 102, "q3a": 150, "q3b": 1,
-                "q4a": 1375, "q4b": 67, "q4c": 369, "q4d": 160, "q4e": 116}
+    expected = {"q1a": 502, "q1b": 214, "q1c": 5, "q2a": 49, "q2b": 106, "q3a": 150, "q3b": 2,
+                "q4a": 1429, "q4b": 67, "q4c": 381, "q4d": 171, "q4e": 124}
     for name, n in expected.items():
         assert q[name](spark, small).count() == n, name
