@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import cut, written
+from ledgerline.llm.common import written
 
 MIN_CHARS = 24
 EDITS = 2
@@ -107,9 +107,10 @@ def near_links(lines: DataFrame, texts_of, edits: int) -> DataFrame:
     i, p = index_keys(lines, edits).alias("i"), probe_keys(lines, edits).alias("p")
     met = (F.col("i.key") == F.col("p.key")) & (F.col("i.id") != F.col("p.id"))
     # One row for each line and key: the texts of a line may stand in several documents.
-    partnered = cut(
+    partnered = written(
         p.join(i, met, "left_semi").distinct().withColumn("probes", F.lit(True))
-        .union(i.join(p, met, "left_semi").distinct().withColumn("probes", F.lit(False)))
+        .union(i.join(p, met, "left_semi").distinct().withColumn("probes", F.lit(False))),
+        "partners",
     )
     named = partnered.join(texts_of(partnered.select("id").distinct()), "id")
     left = named.where("probes").select("key", F.col("id").alias("a"), F.col("line").alias("line_a"))
