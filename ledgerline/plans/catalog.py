@@ -9,19 +9,24 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline.functions.casting import cast_to_schema
 from ledgerline.operators import BANKING_QUERIES, check_constraints, latest_rows, unpack_q1a, word_count
 from ledgerline.operators.basic import total_balance_by_type
 from ledgerline.operators.movements import running_balances
 from ledgerline.operators.quality import duplicate_account_types
-from ledgerline.schemas import CUSTOMERS, TABLE_SCHEMAS, TRANSACTIONS
+from ledgerline.plans.pipeline import run_pipeline
+from ledgerline.schemas import ACCOUNTS, CUSTOMERS, TABLE_SCHEMAS, TRANSACTIONS
 from ledgerline.session import scratch_path
 from ledgerline.sinks.csv import write_csv_table
-from ledgerline.sinks.results import to_envelope
+from ledgerline.sinks.results import to_envelope, write_result_envelope, write_result_parquet
+from ledgerline.sinks.tables import append_table
 from ledgerline.sources.csv import read_csv_table
+from ledgerline.sources.parquet import read_envelope
 from ledgerline.sources.testdata import (
     TESTDATA_AS_OF,
     bank_tables_from_testdata,
@@ -108,6 +113,54 @@ def csv_round_trip_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv_table(spark, path, CUSTOMERS)
 
 
+def store_append_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E2: two appends of accounts to one store (the second with repeats, changes, new
+    and NULL keys); the stored rows, and the conflicts beside them."""
+    path = f"{scratch_path(spark, 'store')}/accounts"
+    accounts = bank_tables_from_testdata(spark, sf_dir).accounts
+    k = F.col("account_id")
+    key = F.when(k % 503 != 0, k)
+    append_table(accounts.where(k % 3 != 0).withColumn("account_id", key), path, "accounts")
+    changed = F.when(k % 10 == 1, F.col("balance") + 1).otherwise(F.col("balance"))
+    append_table(accounts.withColumns({"account_id": key, "balance": changed}), path, "accounts")
+    return (
+        spark.read.schema(ACCOUNTS).parquet(path).withColumn("state", F.lit("stored"))
+        .unionByName(spark.read.schema(ACCOUNTS).parquet(f"{path}_conflicts").withColumn("state", F.lit("conflict")))
+    )
+
+
+def result_sink_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E5: q4a written as a result folder without its order, and read back."""
+    found = BANKING_QUERIES["q4a"](bank_tables_from_testdata(spark, sf_dir), TESTDATA_AS_OF)
+    return spark.read.parquet(write_result_parquet(found, scratch_path(spark, "results"), "q4a", sorted_output=False))
+
+
+def envelope_sink_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E6: two runs of q4c appended to an envelope folder; the newest page of it."""
+    path = scratch_path(spark, "envelope")
+    found = duplicate_account_types(bank_tables_from_testdata(spark, sf_dir), TESTDATA_AS_OF)
+    write_result_envelope(found, "q4c", path, ENVELOPE_RUN_TS + _dt.timedelta(days=1))
+    write_result_envelope(found.drop("total_accounts_of_type"), "q4c", path, ENVELOPE_RUN_TS)
+    return latest_rows(read_envelope(spark, path), "q4c", 50)
+
+
+def daily_job_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E11: the whole job; for each written result its rows and its non-NULL values."""
+    base = scratch_path(spark, "job")
+    written = run_pipeline(
+        spark, bank_tables_from_testdata(spark, sf_dir), f"{base}/store", f"{base}/out", as_of=TESTDATA_AS_OF
+    )
+
+    def extent(name: str) -> DataFrame:
+        result = spark.read.parquet(written[name])
+        values = sum((F.count(F.col(c)) for c in result.columns), F.lit(0))
+        return result.agg(F.count(F.lit(1)).alias("n_rows"), values.cast("long").alias("n_values")).select(
+            F.lit(name).alias("result"), "n_rows", "n_values"
+        )
+
+    return reduce(DataFrame.unionByName, [extent(name) for name in BANKING_QUERIES])
+
+
 def registered_queries() -> dict[str, QueryFn]:
     queries: dict[str, QueryFn] = {key: _banking(key) for key in BANKING_QUERIES}
     queries.update({f"sql_{key}": _banking_sql(key) for key in BANKING_QUERIES})
@@ -120,6 +173,10 @@ def registered_queries() -> dict[str, QueryFn]:
             "envelope_unpack_q1a": envelope_unpack_q1a_query,
             "parquet_round_trip": parquet_round_trip_query,
             "csv_round_trip": csv_round_trip_query,
+            "store_append": store_append_query,
+            "result_sink": result_sink_query,
+            "envelope_sink": envelope_sink_query,
+            "daily_job": daily_job_query,
         }
     )
     return queries

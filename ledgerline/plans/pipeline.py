@@ -1,6 +1,7 @@
 """E11 -- the daily job: ingest, check, stage, run the 13 queries, write results.
 
-Order: load (CSV or given tables) -> constraint report -> idempotent append to
+Order: land (CSV or given tables, read once and kept as Parquet until staged) -> cast
+to the declared layout -> constraint report -> idempotent append to
 the Parquet store -> read the store back -> each query -> one Parquet folder
 per query (E5) and, optionally, the JSON-row envelope (E6), built from the
 written result folder rather than by running the query a second time.
@@ -20,9 +21,12 @@ from zoneinfo import ZoneInfo
 
 from pyspark.sql import SparkSession
 
+from ledgerline.functions.casting import cast_to_schema
 from ledgerline.operators import BANKING_QUERIES, check_constraints
-from ledgerline.sinks.results import write_result_envelope, write_result_parquet
-from ledgerline.sinks.tables import append_tables
+from ledgerline.schemas import TABLE_SCHEMAS
+from ledgerline.sinks.results import append_jdbc, to_envelope, write_result_envelope, write_result_parquet
+from ledgerline.session import scratch_path
+from ledgerline.sinks.tables import append_tables, remove_path
 from ledgerline.sources.csv import read_csv_tables
 from ledgerline.sources.parquet import read_parquet_tables
 from ledgerline.tables import BankTables
@@ -33,13 +37,22 @@ CONSTRAINTS_RESULT = "_constraints"
 def resolve_as_of(spark: SparkSession, as_of=None) -> _dt.date:
     """One date for the run: given, or today in the session time zone."""
     if as_of is not None:
-        if isinstance(as_of, _dt.datetime):
+        if isinstance(as_of, _dt.datetime):  # a datetime is a date, too
             return as_of.date()
         return as_of if isinstance(as_of, _dt.date) else _dt.date.fromisoformat(str(as_of))
     tz = spark.conf.get("spark.sql.session.timeZone", "UTC")
     return _dt.datetime.now(ZoneInfo(tz)).date()
 
 
+def _landed(spark: SparkSession, raw: BankTables, landing: str) -> BankTables:
+    """The delivered rows as Parquet: the source is read once, however many passes follow."""
+    frames = {}
+    for name, df in raw.items():
+        df.write.parquet(f"{landing}/{name}")
+        frames[name] = spark.read.schema(df.schema).parquet(f"{landing}/{name}")
+    return BankTables(**frames)
+
+
 def run_pipeline(
     spark: SparkSession,
     source,
@@ -52,13 +65,16 @@ def run_pipeline(
     mode: str = "overwrite",
     parallel_jobs: int = 1,
     single_file: bool = False,
+    envelope_jdbc: tuple[str, str, dict] | None = None,
+    sorted_output: bool = True,
 ) -> dict[str, str]:
-    """Run the job.  ``source`` is a CSV base folder or ``BankTables``."""
-    if isinstance(source, BankTables):
-        tables, raw = source, None
-    else:
-        tables = read_csv_tables(spark, source)
-        raw = read_csv_tables(spark, source, raw=True)
+    """Run the job.  ``source`` is a CSV base folder or ``BankTables`` in any types
+    (such as ``read_jdbc_tables`` gives); both are cast and checked alike.
+    ``envelope_jdbc`` (url, table, properties) appends the JSON rows to a database."""
+    raw = source if isinstance(source, BankTables) else read_csv_tables(spark, source, raw=True)
+    landing = scratch_path(spark, "landing")
+    raw = _landed(spark, raw, landing)
+    tables = BankTables(**{name: cast_to_schema(df, TABLE_SCHEMAS[name]) for name, df in raw.items()})
     as_of = resolve_as_of(spark, as_of)
     run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc)
 
@@ -66,18 +82,22 @@ def run_pipeline(
         CONSTRAINTS_RESULT: write_result_parquet(check_constraints(tables, raw), out, CONSTRAINTS_RESULT, mode)
     }
     append_tables(tables, store)
+    remove_path(spark, landing)
     staged = read_parquet_tables(spark, store)
 
     selected = {k: BANKING_QUERIES[k] for k in (queries or BANKING_QUERIES)}
 
     def run_one(key):
         df = selected[key](staged, as_of)
-        path = write_result_parquet(df, out, key, mode, single_file)
+        path = write_result_parquet(df, out, key, mode, single_file, sorted_output)
         if envelope_path:
             # From the written result, so the query is not computed twice
             # (an appended folder also holds earlier runs: recompute then).
             source_df = spark.read.parquet(path) if mode == "overwrite" else df
             write_result_envelope(source_df, key, envelope_path, run_ts)
+        if envelope_jdbc:
+            url, table, properties = envelope_jdbc
+            append_jdbc(to_envelope(spark.read.parquet(path) if mode == "overwrite" else df, key, run_ts), url, table, properties)
         return key, path
 
     if parallel_jobs > 1:

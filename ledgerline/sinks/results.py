@@ -14,14 +14,19 @@ def write_result_parquet(
     name: str,
     mode: str = "overwrite",
     single_file: bool = False,
+    sorted_output: bool = True,
 ) -> str:
     """E5 -- write ``df`` to ``{base}/{name}``.
 
+    ``sorted_output=False`` drops the query's final order: no sampling pass and no
+    range exchange, but files of even size in any order (a limit keeps its order).
+
     ``single_file`` coalesces to one task (order-preserving after a global
     sort); use it only for results known to be small.
     """
     path = f"{base.rstrip('/')}/{name}"
-    out = df.coalesce(1) if single_file else df
+    out = df if sorted_output else df.hint("rebalance")
+    out = out.coalesce(1) if single_file else out
     out.write.mode(mode).parquet(path)
     return path
 
@@ -59,3 +64,21 @@ def write_result_envelope(df: DataFrame, query_id: str, path: str, run_ts=None)
     folder = f"{path.rstrip('/')}/query_id={query_id}"
     to_envelope(df, query_id, run_ts).drop("query_id").write.mode("append").parquet(folder)
     return path
+
+
+def append_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None, batch_size: int = 10_000) -> str:
+    """Append rows to a database table (the envelope, or a banking table).
+
+    Each partition is one transaction of its connection; a task that is run
+    again appends its rows again unless the table's key refuses them.
+    """
+    (
+        df.write.format("jdbc")
+        .option("url", url)
+        .options(**(properties or {}))
+        .option("dbtable", table)
+        .option("batchsize", batch_size)
+        .mode("append")
+        .save()
+    )
+    return table

@@ -11,6 +11,9 @@ keys already stored before the append.  No row is dropped unseen:
 * a row with a NULL key has nothing to be compared with and is appended; the
   ``primary_key_null`` check reports it.
 
+Stored rows are read only where their key lies in the input's range of keys (pushed
+to the scan: ids grow with time, so a day's rows meet the newest files).  A changed
+date cannot hide a known key, as it could if only the same months were compared.
 The joins are shuffle joins: the store side is never broadcast.  Rows that repeat a key *within* one input are kept and reported
 by the ``primary_key_duplicate`` check.  Two concurrent writers are not
 isolated from each other.
@@ -37,13 +40,21 @@ from ledgerline.tables import BankTables
 CLUSTER_KEYS = {"transactions": ("transaction_date", "transaction_id")}
 
 
+def _file_system(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hpath = _file_system(spark, path)
     return bool(fs.exists(hpath))
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, hpath = _file_system(spark, path)
+    fs.delete(hpath, True)
+
+
 def append_table(df: DataFrame, path: str, table: str) -> int:
     """Appends what is new; returns the number of rows that conflict with stored ones."""
     spark = df.sparkSession
@@ -51,6 +62,9 @@ def append_table(df: DataFrame, path: str, table: str) -> int:
     new_rows, conflicts = df, 0
     if path_exists(spark, path):
         stored = spark.read.schema(TABLE_SCHEMAS[table]).parquet(path)
+        # Only stored keys inside the input's range can meet it; the file statistics skip the rest.
+        low, high = df.agg(F.min(pk), F.max(pk)).first()
+        stored = stored.where(F.col(pk).between(low, high)) if low is not None else stored.limit(0)
         keys_stored = stored.select(F.col(pk).alias("stored_key"))
         new_rows = df.join(keys_stored, F.col(pk) == F.col("stored_key"), "left_anti")
         old = stored.select(pk, F.struct(*stored.columns).alias("stored_row"))

@@ -213,3 +213,31 @@ def test_run_ts_does_not_depend_on_the_drivers_time_zone(spark, monkeypatch):
     finally:
         monkeypatch.undo()
         time.tzset()
+
+
+def test_unsorted_result_has_no_sort_and_the_same_rows(spark, scratch):
+    t = make_tables(spark, customers=[customer(1)], accounts=[account(i, 1, balance=-float(i)) for i in range(1, 9)])
+    from ledgerline.operators import BANKING_QUERIES
+
+    found = BANKING_QUERIES["q4e"](t)
+    path = write_result_parquet(found, scratch, "q4e", sorted_output=False)
+    assert sorted(rows(spark.read.parquet(path))) == sorted(rows(found))
+    plan = found.hint("rebalance")._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "rangepartitioning" not in plan
+
+
+def test_append_reads_only_the_range_of_the_inputs_keys(spark, scratch):
+    from ledgerline.sinks.tables import append_table
+
+    path = f"{scratch}/store/accounts"
+    kind = "account_id bigint, customer_id bigint, account_type string, opening_date date, balance double"
+
+    def frame(*values):
+        return spark.createDataFrame(list(values), kind)
+
+    append_table(frame((1, 1, "Loan", None, 1.0), (9, 1, "Loan", None, 9.0)), path, "accounts")
+    # No key at all, then a range that holds one stored key.
+    assert append_table(frame((None, 1, "Loan", None, 3.0)), path, "accounts") == 0
+    assert append_table(frame((5, 1, "Loan", None, 5.0), (9, 1, "Loan", None, 8.0)), path, "accounts") == 1
+    stored = sorted((r[0] or 0) for r in rows(spark.read.parquet(path)))
+    assert stored == [0, 1, 5, 9]

@@ -7,7 +7,8 @@ test pins down which options it passes to Spark.
 
 from __future__ import annotations
 
-from ledgerline.sources.jdbc import read_jdbc_table
+from ledgerline.sinks.results import append_jdbc
+from ledgerline.sources.jdbc import MAX_RANGES, read_jdbc_table, read_jdbc_tables
 
 
 class _Row(dict):
@@ -66,14 +67,54 @@ def test_partitioned_read_queries_bounds_then_splits():
     assert (scan["lowerBound"], scan["upperBound"], scan["numPartitions"]) == (10, 5001, 16)
 
 
-def test_given_bounds_skip_the_bounds_query_and_default_parallelism():
+def test_given_bounds_skip_the_bounds_query_and_ranges_follow_the_width():
     s = _Session()
-    read_jdbc_table(s, "jdbc:x://h/db", "customers", partition_column="customer_id", lower_bound=1, upper_bound=99)
+    read_jdbc_table(s, "jdbc:x://h/db", "customers", partition_column="customer_id", lower_bound=1, upper_bound=99, rows_per_task=10)
     (scan,) = s.log
-    assert (scan["lowerBound"], scan["upperBound"], scan["numPartitions"]) == (1, 100, 8)
+    assert (scan["lowerBound"], scan["upperBound"], scan["numPartitions"]) == (1, 100, 10)
 
 
 def test_empty_table_falls_back_to_plain_read():
     s = _Session(bounds=(None, None))
     read_jdbc_table(s, "jdbc:x://h/db", "customers", partition_column="customer_id")
     assert "partitionColumn" not in s.log[-1]
+
+
+def test_empty_table_with_a_given_lower_bound():
+    s = _Session(bounds=(None, None))
+    read_jdbc_table(s, "jdbc:x://h/db", "customers", partition_column="customer_id", lower_bound=1)
+    assert "partitionColumn" not in s.log[-1]
+
+
+def test_sparse_ids_widen_the_ranges():
+    s = _Session(bounds=(0, 2**62))
+    read_jdbc_table(s, "jdbc:x://h/db", "customers", partition_column="customer_id")
+    assert s.log[-1]["numPartitions"] == MAX_RANGES
+
+
+def test_three_tables_split_on_their_keys():
+    s = _Session(bounds=(1, 100))
+    read_jdbc_tables(s, "jdbc:x://h/db", {"user": "u"}, rows_per_task=50)
+    scans = {o["dbtable"]: (o["partitionColumn"], o["numPartitions"]) for o in s.log if "partitionColumn" in o}
+    assert scans == {
+        "customers": ("customer_id", 2), "accounts": ("account_id", 2), "transactions": ("transaction_id", 2),
+    }
+
+
+class _Writer(_Reader):
+    def mode(self, name):
+        return self.option("mode", name)
+
+    def save(self):
+        self.load()
+
+
+def test_append_passes_its_options():
+    s = _Session()
+
+    class Frame:
+        write = _Writer(s.log, None)
+
+    assert append_jdbc(Frame(), "jdbc:x://h/db", "case_results", {"user": "u"}, batch_size=5) == "case_results"
+    assert s.log == [{"format": "jdbc", "url": "jdbc:x://h/db", "user": "u", "dbtable": "case_results",
+                      "batchsize": 5, "mode": "append"}]

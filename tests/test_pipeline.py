@@ -86,3 +86,24 @@ def test_command_line_run(spark, scratch):
                  "--as-of", "2001-08-01", "--queries", "q1c,q4e", "--single-file"]) == 0
     assert spark.read.parquet(f"{scratch}/out/q1c").count() == 5
     assert spark.read.parquet(f"{scratch}/out/q4e").count() == 124
+
+
+def test_pipeline_casts_and_checks_given_tables(spark, scratch):
+    from ledgerline.tables import BankTables
+
+    tables = bank_tables_from_testdata(spark, SF_SMALL)
+    delivered = BankTables(
+        tables.customers,
+        tables.accounts.selectExpr(
+            "cast(account_id as string) as account_id", "customer_id", "account_type", "opening_date",
+            "case when account_id % 2 = 0 then 'n/a' else cast(balance as string) end as balance",
+        ),
+        tables.transactions,
+    )
+    written = run_pipeline(
+        spark, delivered, f"{scratch}/store", f"{scratch}/out", as_of=TESTDATA_AS_OF, queries=["q1a"], sorted_output=False
+    )
+    report = {(r[0], r[1], r[2]): r[3] for r in rows(spark.read.parquet(written[CONSTRAINTS_RESULT]))}
+    assert report[("accounts", "cast_loss", "balance")] == tables.accounts.where("account_id % 2 = 0").count()
+    assert dict(read_parquet_tables(spark, f"{scratch}/store").accounts.dtypes)["account_id"] == "bigint"
+    assert spark.read.parquet(written["q1a"]).count() == 502
