@@ -7,5 +7,4 @@ VALID_TRANSACTION_TYPES = ("Deposit", "Withdrawal", "Payment", "Transfer")
 WITHDRAWAL = "Withdrawal"
 CREDIT = "Credit"
 LARGE_WITHDRAWAL = 500
-MISSING_FIELD_NAMES = ("date_of_birth", "address", "zip")
 # ---------------------------------------------------------------------------

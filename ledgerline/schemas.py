@@ -62,8 +62,6 @@ ENVELOPE = StructType(
     ]
 )
 
-WORDS = StructType([StructField("text", StringType(), True)])
-
 TABLE_SCHEMAS = {
     "customers": CUSTOMERS,
     "accounts": ACCOUNTS,
