@@ -6,7 +6,8 @@ and read again as the next stage's ``docs``.  All but the last return the column
 
 1. ``language_id``: documents without a determinable language (NULL, no letters) go;
 2. ``line_dedup``: lines that repeat earlier ones go, and documents made of nothing else;
-3. ``near_dedup``: one document of each near-duplicate group stays;
+3. ``near_dedup``: one document of each near-duplicate group (five words, Jaccard
+   similarity of 0.8 or more) stays;
 4. ``decontaminate``: documents that hold benchmark passages go;
 5. ``pack``: the rest is packed into token sequences.
 
@@ -28,6 +29,9 @@ from ledgerline.llm.near_dedup import near_duplicates
 from ledgerline.llm.packing import pack_documents
 
 
+NEAR_PERCENT = 80
+
+
 def _original(docs: DataFrame) -> list:
     return [F.col(f"`{c}`") for c in docs.columns]
 
@@ -50,7 +54,8 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the smallest id of each group; documents with NULL id are in none."""
-    gone = near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct()
+    found = near_duplicates(docs, percent=NEAR_PERCENT)
+    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
 
 

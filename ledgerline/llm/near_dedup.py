@@ -7,10 +7,11 @@ least ``percent`` / 100, and every component keeps its smallest id.
 1. One row for each different set (a digest of the sorted shingles); exact copies
    follow their representative, the smallest id, and are never paired.
 2. Each set gets ``HASHES`` MinHash values of ``BITS`` bits.  Of two sets with
-   similarity s, a value differs with probability 1 - s, so at s = 0.85 more than
-   ``RADIUS`` of 64 values differ about five times in a million pairs.
-3. Multi-index: the signature is split into ``CHUNKS`` chunks.  If at most RADIUS
-   values differ, some chunk has at most ``RADIUS // CHUNKS`` = 1 difference.  Each
+   similarity s, a value differs with probability 1 - s.  The radius is the smallest
+   number that at s = ``percent`` / 100 is exceeded by at most ``MISSED`` of the pairs:
+   23 of 64 values for 0.85, 28 for 0.80.
+3. Multi-index: the signature is split into ``radius // 2 + 1`` chunks (12 and 15).  If at
+   most ``radius`` values differ, some chunk has at most one difference.  Each
    chunk is indexed once for each place that the difference may have (that value left
    out), so two chunks within one difference share a key: all pairs within the
    radius meet.
@@ -31,6 +32,7 @@ table gives an empty result; extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -45,8 +47,8 @@ WORDS = 5
 PERCENT = 85
 HASHES = 64
 BITS = 16
-RADIUS = 23
-CHUNKS = 12
+MISSED = 1e-5
+KEY_VALUES = 3  # fewer values of a key are shared by chance
 BLOCK_SETS = 256
 BLOCK_SHINGLES = 500_000
 WORD_MEMO = 250_000
@@ -55,7 +57,22 @@ _ODD = (np.random.default_rng(20_011).integers(1, 2**63, size=HASHES, dtype=np.u
 _ADD = np.random.default_rng(20_012).integers(0, 2**63, size=HASHES, dtype=np.uint64)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _PLACE = np.random.default_rng(20_013).integers(1, 2**63, size=64, dtype=np.uint64) | np.uint64(1)
-_CHUNK_OF = np.arange(HASHES) * CHUNKS // HASHES
+
+
+def radius_of(percent: int) -> int:
+    """Differing values that at most ``MISSED`` of the pairs with this similarity exceed."""
+    differs = 1 - percent / 100
+    beyond = 1.0
+    for radius in range(HASHES):
+        beyond -= comb(HASHES, radius) * differs**radius * (1 - differs) ** (HASHES - radius)
+        if beyond <= MISSED:
+            return radius
+    return HASHES
+
+
+def chunks_of(percent: int) -> int:
+    """So many chunks that one of them has at most one of ``radius_of(percent)`` differences."""
+    return radius_of(percent) // 2 + 1
 
 
 class _WordHashes(dict):
@@ -99,12 +116,14 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     return (mix(low) >> np.uint64(64 - BITS)).astype(np.uint16)
 
 
-def chunk_keys(signatures: np.ndarray) -> np.ndarray:
+def chunk_keys(signatures: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """One key for each (chunk, place left out): rows of signatures to rows of HASHES keys."""
     values = mix(signatures.astype(np.uint64) * _PLACE[:HASHES] + _ADD)
     keys = np.empty_like(values)
-    for c in range(CHUNKS):
-        mine = np.flatnonzero(_CHUNK_OF == c)
+    chunks = chunks_of(percent)
+    chunk_of = np.arange(HASHES) * chunks // HASHES
+    for c in range(chunks):
+        mine = np.flatnonzero(chunk_of == c)
         whole = values[:, mine].sum(axis=1, dtype=np.uint64)
         for place in mine:
             keys[:, place] = mix(whole - values[:, place] + _PLACE[place])
@@ -127,12 +146,12 @@ def _signature_column(text: Column) -> Column:
     return F.pandas_udf(sign, "struct<n_shingles:bigint,digest:binary,sig:binary>")(text)
 
 
-def _keys_column(sig: Column) -> Column:
+def _keys_column(sig: Column, percent: int) -> Column:
     def keys(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for sigs in batches:
             if len(sigs):
                 matrix = np.frombuffer(b"".join(sigs), dtype="<u2").reshape(len(sigs), HASHES)
-                yield pd.Series(list(chunk_keys(matrix)))
+                yield pd.Series(list(chunk_keys(matrix, percent)))
             else:
                 yield pd.Series([], dtype=object)
 
@@ -165,6 +184,7 @@ def block_links(ids, blocks, signatures: np.ndarray, sets: list[np.ndarray], per
     sets = [sets[i] for i in order]
     sizes = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
     across = len(np.unique(blocks)) > 1
+    radius = radius_of(percent)
     root = np.arange(len(ids))  # flattened after each link
     links = []
 
@@ -180,7 +200,7 @@ def block_links(ids, blocks, signatures: np.ndarray, sets: list[np.ndarray], per
     for i in range(len(ids) - 1):
         rest = slice(i + 1, None)
         fits = 100 * np.minimum(sizes[rest], sizes[i]) >= percent * np.maximum(sizes[rest], sizes[i])
-        near = fits & ((signatures[rest] != signatures[i]).sum(axis=1) <= RADIUS)
+        near = fits & ((signatures[rest] != signatures[i]).sum(axis=1) <= radius)
         if across and i:  # the first ties to all, so that most pairs are connected already
             near &= blocks[rest] != blocks[i]
         for j in np.flatnonzero(near) + i + 1:
@@ -220,8 +240,8 @@ def _compare(percent: int):
 
 def near_duplicates(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_shingles, component_id, kept``."""
-    if not 85 <= percent <= 100:
-        raise ValueError("RADIUS is chosen for similarities of 0.85 or more")
+    if percent > 100 or HASHES // chunks_of(percent) - 1 < KEY_VALUES:
+        raise ValueError(f"at {percent} percent keys would have fewer than {KEY_VALUES} values")
     spark = docs.sparkSession
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
     signed = cut(plain.select("doc_id", _signature_column(F.col("text")).alias("s")).select("doc_id", "s.*"))
@@ -230,7 +250,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
         .groupBy("digest")
         .agg(F.min("doc_id").alias("node"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles"))
     )
-    keyed = sets.select("node", F.explode(_keys_column(F.col("sig"))).alias("key"))
+    keyed = sets.select("node", F.explode(_keys_column(F.col("sig"), percent)).alias("key"))
     pivots = keyed.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot != last")
     ties = keyed.join(pivots.drop("last"), "key").where("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
     families = cut(connected_components(ties).withColumnRenamed("component", "family"))

@@ -15,7 +15,7 @@ from ledgerline.llm.decontaminate import benchmark_hits, decontaminate
 from ledgerline.llm.language_id import identify_languages
 from ledgerline.llm.line_dedup import dedup_lines, without_repeated_lines
 from ledgerline.llm.lm_score import score_texts
-from ledgerline.llm.near_dedup import chunk_keys, near_duplicates, shingles, signature
+from ledgerline.llm.near_dedup import chunk_keys, chunks_of, near_duplicates, radius_of, shingles, signature
 from ledgerline.llm.packing import pack_documents, plan_bins
 from ledgerline.llm.pii import mask_personal_data, personal_data_digest
 from ledgerline.llm.token_counts import token_counts
@@ -139,6 +139,42 @@ def test_near_duplicates_hot_group(spark, make_docs):
     assert (got.n_shingles == pd.Series(map(len, sets))).all()
 
 
+@pytest.mark.parametrize("percent", [80, 85, 90, 95, 100])
+def test_signatures_meet_within_each_radius(percent):
+    rng = np.random.default_rng(2)
+    base = signature(shingles(prose(4, 500)))
+    for _ in range(200):
+        other = base.copy()
+        other[rng.choice(64, size=radius_of(percent), replace=False)] ^= 1
+        a, b = chunk_keys(np.stack([base, other]), percent)
+        assert set(a) & set(b)
+
+
+def test_radius_and_chunks():
+    assert [(radius_of(p), chunks_of(p)) for p in (80, 85, 100)] == [(28, 15), (23, 12), (0, 1)]
+
+
+def test_near_dedup_stage_against_brute_force(spark, make_docs):
+    """Pairs on both sides of 0.80; the stage drops all that brute force over all pairs drops."""
+    rng = random.Random(12)
+    texts = []
+    for i in range(150):
+        words = prose(2000 + i, 140).split()
+        texts.append(" ".join(words))
+        for at in rng.sample(range(4, 136, 5), rng.randint(1, 4)):
+            words[at] = "changed"
+        texts.append(" ".join(words))
+    sets = [set(shingles(t).tolist()) for t in texts]
+    similarity = [len(a & b) / len(a | b) for a, b in zip(sets[::2], sets[1::2])]
+    assert sum(0.80 <= s < 0.85 for s in similarity) >= 20 and sum(s < 0.80 for s in similarity) >= 20
+    want = set()
+    for j in range(len(texts)):
+        if any(100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]) for i in range(j)):
+            want.add(j)
+    stage = dict(corpus_pipeline.STAGES)["near_dedup"]
+    assert {r.doc_id for r in stage(spark, make_docs(texts), SF).collect()} == set(range(len(texts))) - want
+
+
 def test_components(spark):
     rng = random.Random(2)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000 + i, 1001 + i) for i in range(64)] + [(None, 3), (5, 5)]
