@@ -8,8 +8,9 @@ code point offsets.
   up to 255; 12 to 19 digits and Luhn; 9 to 15 digits) is always reported.
 * ``iban`` (mod-97) and ``ssn`` are added.  Their score starts from the pattern, rises
   with a valid checksum and with a context word in the ``CONTEXT`` characters before the match,
-  and they are reported from ``MIN_SCORE`` on: a valid account number always, a bare
-  ``ddd-dd-dddd`` only near a word that announces it.
+  and they are reported from ``MIN_SCORE`` on: a valid account number of a country in
+  ``IBAN_LENGTHS`` and of that length always, a bare ``ddd-dd-dddd`` only near a word that
+  announces it.
 
 Every reported span carries its score; context raises the base kinds' scores too.
 
@@ -34,13 +35,30 @@ BASE_KINDS = KINDS[:4]
 CONTEXT = 40
 MIN_SCORE = 0.5
 
+# The registered length of the account numbers of each country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban() -> str:
+    """One alternative for each length, so that text after a number is never part of it."""
+    numbers = "|".join(
+        rf"(?:{'|'.join(codes.split())})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}+" for n, codes in IBAN_LENGTHS.items()
+    )
+    return rf"(?<![A-Za-z0-9])(?:{numbers})(?![A-Za-z0-9])"
+
+
 _LOCAL = "[A-Za-z0-9._%+-]"
 PATTERNS = {
     "email": rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]++)",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+    "iban": _iban(),
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
 }
 # What a text must contain to be searched; cheap to test.

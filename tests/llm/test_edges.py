@@ -278,6 +278,20 @@ def test_personal_data(spark, make_docs):
     assert masked.text == "mail <email> now"
 
 
+NUMBERS = ["DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947", "MT84MALT011000012345MTLCAST001S"]
+AFTER = [" Please pay", " I paid", " PAY 12", " 4711", " A1", ", X", "", "\nDE", " 0532 0130 00"]
+NO_NUMBERS = ["DE8937040044053201300", "DE893704004405320130001", "DE88370400440532013000", "ZZ89370400440532013000", "xDE89370400440532013000"]
+
+
+def test_account_numbers_before_capitals_and_digits(spark, make_docs):
+    cases = [(n, f"IBAN {n}{after}") for n in NUMBERS for after in AFTER]
+    docs = make_docs([t for _, t in cases] + NO_NUMBERS)
+    spans = {r.doc_id: r.spans.split(",") for r in personal_data_digest(docs).collect()}
+    for i, (number, text) in enumerate(cases):
+        assert f"iban:5:{5 + len(number)}" in spans[i], text
+    assert not any("iban" in s for i in range(len(cases), len(spans)) for s in spans[i])
+
+
 def test_pipeline_on_odd_rows(spark, make_docs, tmp_path):
     docs = make_docs(TEXTS + [prose(1)], langs=["en"] * (len(TEXTS) + 1), ids=[*range(len(TEXTS)), None])
     for name, stage in corpus_pipeline.STAGES:
