@@ -5,8 +5,9 @@
 *Channel.*  A token that holds digits or symbols beside letters, or a letter three
 times in a row, may be a disguised word.  Its characters become a lattice: a symbol
 reads as one of the letters that it imitates or as nothing (punctuation between
-letters); of a run of equal letters one or two may be meant.  Single characters in a
-row, four or more ("i d i o t"), are read as one spaced-out token.  Viterbi decoding
+letters); of a run of equal letters one or two may be meant.  Three or more single
+characters in a row ("i d i o t!") are one lattice, too: each gap between them reads as
+a border or as nothing, so that the stretch becomes one word or several.  Viterbi decoding
 finds the path with the lowest cost, the sum of channel costs and of the trigram
 model's negative log-probabilities.  A plain token has one path only, itself.
 
@@ -45,6 +46,7 @@ MAX_FEATURES = 20_000
 MEMO = 300_000
 CHANNEL_COST = 1.5  # of reading a symbol as a letter
 DROP_COST = 1.0  # of reading a symbol as nothing
+BORDER_COST = 1.0  # of reading a gap between single characters as a border
 REPEAT_COST = 0.7  # of reading a run of letters as shorter than it is
 
 # Letters that digits and symbols commonly stand for.
@@ -56,9 +58,10 @@ LOOKS_LIKE = {
 _SYMBOL = {ch: i + 1 for i, ch in enumerate(LETTERS)}
 _DISGUISED = re.compile(r"(?=.*[^\W\d_])(?:.*[\W\d_]|.*([^\W\d_])\1\1)", re.S)
 _EDGE = re.compile(r"^[^\w@$!|+€£¡*]+|([.,;:!?)\]}\"'»&%#*=_/\\-]|(.)\2\2+)+$", re.S)
-_SPACED = re.compile(r"(?<!\S)(?:\S[ ._*-]){3,}\S(?!\S)")
+_ONE = r"[^\W_]|[@$!|+€£¡(]"
+_SPACED = re.compile(rf"(?<![^\s(\[{{\"'])(?:(?:{_ONE})(?:\s+|[._*-])){{2,}}(?:{_ONE})(?=[.,;:!?)\]}}\"'…]*(?:\s|$))")
 _TRIPLE = re.compile(r"(.)\1\1")
-_FILLER = re.compile(r"[ ._*-]")
+_FILLER = re.compile(r"\s+|[._*-]")
 _REPEATED_TAIL = re.compile(r"([^\w])\1\1+$")
 
 
@@ -136,25 +139,49 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
     return places
 
 
-def viterbi(token: str, model: CharModel) -> str:
-    """The letters with the lowest channel plus language model cost."""
+def spaced_lattice(stretch: str) -> list[list[tuple[str, float]]]:
+    """Places of single characters and of the gaps between them; " " is a border."""
+    places: list[list[tuple[str, float]]] = []
+    for ch in _FILLER.split(stretch):
+        if places:
+            places.append([("", 0.0), (" ", BORDER_COST)])
+        places += lattice(ch)
+    return places
+
+
+def viterbi(places: list[list[tuple[str, float]]], model: CharModel) -> str:
+    """The letters and borders with the lowest channel plus language model cost."""
     cost = model.cost
-    # State: the last two symbols. Value: cost so far and the letters read.
-    states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-    for reads in lattice(token):
-        after: dict[tuple[int, int], tuple[float, str]] = {}
+    # State: the last two symbols. Value: cost so far and what was read, last first.
+    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
+    for reads in places:
+        after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
         for (a, b), (so_far, text) in states.items():
             for letters, channel in reads:
                 x, y, total = a, b, so_far + channel
                 for ch in letters:
-                    z = _SYMBOL.get(ch, SIZE - 1)
+                    z = 0 if ch == " " else _SYMBOL.get(ch, SIZE - 1)
                     total += float(cost[x, y, z])
                     x, y = y, z
                 old = after.get((x, y))
                 if old is None or total < old[0]:
-                    after[x, y] = (total, text + letters)
+                    after[x, y] = (total, (letters, text))
         states = after
-    return min((total + float(cost[a, b, 0]), text) for (a, b), (total, text) in states.items())[1]
+    return min((total + float(cost[a, b, 0]), _read(text)) for (a, b), (total, text) in states.items())[1]
+
+
+def _read(text: tuple | None) -> str:
+    parts = []
+    while text is not None:
+        letters, text = text
+        parts.append(letters)
+    return "".join(reversed(parts))
+
+
+def spaced_words(stretch: str, model: CharModel) -> list[str]:
+    """A stretch of single characters as the words that it most likely stands for."""
+    bare = _FILLER.sub("", stretch)
+    return [bare] if bare.isdigit() else viterbi(spaced_lattice(stretch), model).split()
 
 
 def restore(token: str, model: CharModel) -> str:
@@ -169,7 +196,7 @@ def restore(token: str, model: CharModel) -> str:
         return bare
     if not any(ch.isalpha() for ch in bare) and sum(ch in LOOKS_LIKE for ch in bare) < len(bare) or bare.isdigit():
         return bare
-    return viterbi(bare, model)
+    return viterbi(lattice(bare), model)
 
 
 def prefix_hash(word: str) -> int:
@@ -190,8 +217,13 @@ class Features:
         self.model, self.known, self.memo = model, known, {}
         self.prefixes = None if known is None else {(h >> 32) + 2**31 for h in known}
 
+    def of_stretch(self, stretch: str) -> tuple[int, ...]:
+        return tuple(h for word in spaced_words(stretch, self.model) for h in self.of_word(word))
+
     def of_token(self, token: str) -> tuple[int, ...]:
-        word = restore(token, self.model)
+        return self.of_word(restore(token, self.model))
+
+    def of_word(self, word: str) -> tuple[int, ...]:
         prefix = prefix_hash(word)
         if len(word) < 3 or self.prefixes is not None and prefix not in self.prefixes:
             return ()
@@ -203,7 +235,7 @@ class Features:
             return set()
         text = text.lower()
         tokens = set(text.split())
-        tokens.update(_FILLER.sub("", m) for m in _SPACED.findall(text))
+        stretches = {h for m in set(_SPACED.findall(text)) for h in self.of_stretch(m)}
         memo = self.memo
         if len(memo) > MEMO:
             memo.clear()
@@ -213,7 +245,7 @@ class Features:
             new = {token: self.of_token(token) for token, known in zip(listed, found) if known is None}
             memo.update(new)
             found += new.values()
-        return {h for hashes in found if hashes for h in hashes}
+        return stretches.union(*filter(None, found))
 
 
 def fit_char_model(texts: DataFrame) -> CharModel:

@@ -21,7 +21,7 @@ from ledgerline.llm.pii import mask_personal_data, personal_data_digest
 from ledgerline.llm.token_counts import token_counts
 from ledgerline.llm.tokenizers_cached import byte_level_encoder, chunk_counter, load_tokenizer, public_path
 from ledgerline.llm.topk import top_k
-from ledgerline.llm.toxicity import CharModel, restore, score_toxicity, trigram_counts
+from ledgerline.llm.toxicity import CharModel, Features, feature_hashes, prefix_hash, restore, score_toxicity, spaced_words, trigram_counts
 from ledgerline.session import scratch_path
 from tests.llm.conftest import SF
 from tests.llm.test_queries import check_spans
@@ -242,6 +242,21 @@ def test_restored_words():
             assert restore(token, model) == word
 
 
+def test_spaced_out_words():
+    model = CharModel(trigram_counts(["you are an idiot and a scum, kys. you are a stupid idiot, the scum of a town. " * 50]))
+    features = Features(model)
+    cases = {
+        "s c u m.": "scum", "s c u m,": "scum", "i d i o t!": "idiot", "k y s": "kys", "i  d  i  o  t": "idiot", "(i d i o t)": "idiot",
+        "1 d 1 0 t": "idiot", "i.d.i.o.t": "idiot", "you are a i d i o t": "idiot", "y o u a r e a n i d i o t": "idiot",
+        "y o u  a r e  a n  i d i o t!!": "idiot", "s c u m you": "scum", "a\ts c u m": "scum",
+    }
+    for text, word in cases.items():
+        assert set(feature_hashes(word, prefix_hash(word))) <= features.of_text(text), text
+    assert spaced_words("y o u a r e a n i d i o t", model) == ["you", "are", "an", "idiot"]
+    assert features.of_text("1 2 3 4") == set(feature_hashes("1234", prefix_hash("1234")))
+    assert features.of_text("a " * 100_000) is not None
+
+
 def test_lines(spark, make_docs):
     line = "the quick brown fox jumps over the lazy dog"
     texts = [f"{line}\nshort", f"x\n{line.upper()}  \n{line}s", f"{line} and more of it follows here\n{line.replace('fox', 'fix')}", "short\nshort"]
