@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import sha256_of_joined, table
 from ledgerline.llm.decontaminate import benchmark_hits
+from ledgerline.llm.exact_dedup import exact_duplicates
 from ledgerline.llm.language_id import identify_languages
 from ledgerline.llm.line_dedup import dedup_lines
 from ledgerline.llm.lm_score import score_texts
@@ -84,6 +85,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -97,5 +102,6 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_pii,
         op9_packing,
         op10_decontaminate,
+        op13_exact_dedup,
     )
 }

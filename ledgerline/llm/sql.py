@@ -125,9 +125,19 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+_OP13 = """
+WITH texts AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS body FROM documents
+)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = min(doc_id) OVER same AS kept, sha256(body) AS text_sha256
+FROM texts WINDOW same AS (PARTITION BY body)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_topk": _OP1,
     "op2_minhash": _OP2,
     "op5_line_dedup": _OP5,
     "op10_decontaminate": _OP10,
+    "op13_exact_dedup": _OP13,
 }
