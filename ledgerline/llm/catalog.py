@@ -19,6 +19,7 @@ from ledgerline.llm.lm_score import score_texts
 from ledgerline.llm.near_dedup import near_duplicates
 from ledgerline.llm.packing import pack_documents
 from ledgerline.llm.pii import personal_data_digest
+from ledgerline.llm.prefix_trie import trie_nodes, turn_sequences, with_shared_heads
 from ledgerline.llm.sql import ORACLE_SQL
 from ledgerline.llm.token_counts import token_counts
 from ledgerline.llm.topk import top_k
@@ -85,6 +86,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_nodes(with_shared_heads(turn_sequences(table(spark, sf_dir, "conversations"))))
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -102,6 +107,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_pii,
         op9_packing,
         op10_decontaminate,
+        op12_prefix_trie,
         op13_exact_dedup,
     )
 }

@@ -125,6 +125,50 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+# op12: prefixes as joined turn digests; crc32 bit by bit (a byte, then seven times 0, for eight steps).
+_OP12 = """
+WITH one AS (
+  SELECT conv_id, turn, length(coalesce(text, '')) AS n,
+         md5(CAST(strlen(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+own AS (
+  SELECT conv_id, list({'digest': digest, 'n': n} ORDER BY turn NULLS FIRST, digest) AS t FROM one GROUP BY conv_id
+),
+heads AS (
+  SELECT conv_id, t, xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+           lambda ch: [CAST(ascii(ch) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+           lambda c, e: xor(xor(c, e) // 2, (xor(c, e) % 2) * 3988292384)), 4294967295) % 6 AS h
+  FROM own
+),
+rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(list_slice(b.t, 1, c.h), []), coalesce(list_slice(c.t, c.h + 1, len(c.t)), [])) AS t
+  FROM heads c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 100
+),
+prefixes AS (
+  SELECT conv_id, d, len(t) AS size, t[d].n AS n,
+         array_to_string(list_transform(list_slice(t, 1, d), lambda x: x.digest), '') AS key
+  FROM (SELECT conv_id, t, unnest(range(len(t) + 1)) AS d FROM rebuilt)
+),
+nodes AS (
+  SELECT key, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(n) AS n,
+         coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (size = d), '') AS ends
+  FROM prefixes GROUP BY key, d
+),
+children AS (SELECT left(key, 32 * (d - 1)) AS key, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
+weighed AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children c ON n.key = c.key
+),
+subtrees AS (
+  SELECT left(key, 32 * up) AS key, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves,
+         sum(CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * n END) AS saved_tokens
+  FROM (SELECT *, unnest(range(d + 1)) AS up FROM weighed) GROUP BY 1
+)
+SELECT w.conv_id, w.d AS depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(w.ends) AS ends_sha256
+FROM weighed w JOIN subtrees s ON w.key = s.key LEFT JOIN nodes p ON w.d > 0 AND p.key = left(w.key, 32 * (w.d - 1))
+"""
+
 _OP13 = """
 WITH texts AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS body FROM documents
@@ -139,5 +183,6 @@ ORACLE_SQL: dict[str, str] = {
     "op2_minhash": _OP2,
     "op5_line_dedup": _OP5,
     "op10_decontaminate": _OP10,
+    "op12_prefix_trie": _OP12,
     "op13_exact_dedup": _OP13,
 }
