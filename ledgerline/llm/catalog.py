@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import sha256_of_joined, table
 from ledgerline.llm.decontaminate import benchmark_hits
 from ledgerline.llm.exact_dedup import exact_duplicates
+from ledgerline.llm.hard_negatives import mine_hard_negatives
 from ledgerline.llm.language_id import identify_languages
 from ledgerline.llm.line_dedup import dedup_lines
 from ledgerline.llm.lm_score import score_texts
@@ -86,6 +87,14 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh id carries the next label."""
+    label, vec_id = F.col("label"), F.col("vec_id")
+    return mine_hard_negatives(
+        table(spark, sf_dir, "embeddings"), vec_id % 100 == 0, label=F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    )
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_nodes(with_shared_heads(turn_sequences(table(spark, sf_dir, "conversations"))))
 
@@ -107,6 +116,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_pii,
         op9_packing,
         op10_decontaminate,
+        op11_hard_negatives,
         op12_prefix_trie,
         op13_exact_dedup,
     )

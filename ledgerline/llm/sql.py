@@ -125,6 +125,32 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+_OP11 = """
+WITH valid AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+         CAST(list_sum(list_transform(list_zip(a.v, r.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM valid a JOIN valid r ON a.vec_id <> r.vec_id AND len(a.v) = len(r.v)
+  WHERE a.vec_id % 100 = 0
+),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER found AS INTEGER) AS rank, vec_id AS negative_id,
+       positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW found AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER found <= 10
+"""
+
 # op12: prefixes as joined turn digests; crc32 bit by bit (a byte, then seven times 0, for eight steps).
 _OP12 = """
 WITH one AS (
@@ -183,6 +209,7 @@ ORACLE_SQL: dict[str, str] = {
     "op2_minhash": _OP2,
     "op5_line_dedup": _OP5,
     "op10_decontaminate": _OP10,
+    "op11_hard_negatives": _OP11,
     "op12_prefix_trie": _OP12,
     "op13_exact_dedup": _OP13,
 }
