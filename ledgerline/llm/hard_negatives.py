@@ -9,8 +9,8 @@ exact inner-product searches with a lower bound, done alike:
   buckets, which are cut by a hash of the row into parts of about ``PART_ROWS`` rows (a bucket,
   label or vector that a third of all rows share is many parts);
 * an anchor q with lower bound t needs nothing from a bucket whose longest vector is
-  shorter than t / |q|.  Anchors are range-partitioned into blocks by that
-  length, and only (part, block) pairs that some anchor of the block needs are formed: both
+  shorter than t / |q|.  Anchors are dealt into blocks by that
+  length (one quantile for each block comes to the driver), and only (part, block) pairs that some anchor of the block needs are formed: both
   sides are matched with the list of these pairs *before* any vector is copied;
 * inside a part, unit vectors are indexed by a sorted list for each coordinate.  With the local
   threshold c = t / (|q| * longest), a unit vector within cosine c of q has on each
@@ -190,6 +190,8 @@ def _negatives_in(k: int):
                 if not len(at):
                     continue
                 scores = exact_products(q[None, :], v[at])[0]
+                inside = (scores >= bound) & (scores <= max(highs))
+                at, scores = at[inside], scores[inside]
                 order = np.lexsort((ids[at], -scores))
                 falling, by_score = -scores[order], ids[at][order]
                 for slot, (low, high, floor) in enumerate(zip(lows, highs, floors)):
@@ -249,17 +251,24 @@ def _band_floors(seeds, k: int):
     return F.pandas_udf(floors, "array<bigint>")
 
 
+def _blocks(anchors: DataFrame) -> Column:
+    """Blocks of about ``BLOCK_ROWS`` anchors with like needs: anchors that need long vectors only
+    share blocks, which then open few buckets.  Equal needs are spread by a tiny share of the row's hash."""
+    n_blocks = -(-anchors.count() // BLOCK_ROWS)
+    if n_blocks < 2:
+        return F.lit(0)
+    spread = F.pmod(F.xxhash64("row"), F.lit(1 << 20)) / F.lit(1e12)
+    place = F.col("need") * (1 + spread) + spread
+    shares = [i / n_blocks for i in range(1, n_blocks)]
+    cuts = anchors.agg(F.percentile_approx(place, shares, 100_000).alias("cuts")).first()["cuts"]
+    return F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < place))
+
+
 def _searched(rows: DataFrame, sizes: DataFrame, anchors: DataFrame, search, schema: str) -> DataFrame:
     """``search(part, anchors)`` over the pairs of part and anchor block that can hold a result."""
-    n_blocks = max(1, -(-anchors.count() // BLOCK_ROWS))
-    # Anchors that need long vectors only share blocks, which then open few buckets.
     need = F.when(F.col("bound") > 0, F.col("bound") / F.greatest(F.col("norm"), F.lit(1e-300))).otherwise(0.0)
-    blocked = written(
-        anchors.drop("bucket").withColumn("need", F.coalesce(need, F.lit(0.0)))
-        .repartitionByRange(n_blocks, "need", "row")
-        .withColumn("block", F.spark_partition_id()),
-        "anchor-blocks",
-    )
+    needing = written(anchors.drop("bucket").withColumn("need", F.coalesce(need, F.lit(0.0))), "anchors")
+    blocked = needing.withColumn("block", _blocks(needing))
     live = (
         blocked.groupBy("block", "dim").agg(F.min("need").alias("need"))
         .join(sizes, "dim")

@@ -37,12 +37,12 @@ def _fold(doc_id, n):
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_sql(result, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "benchmark"):
+    for t in ("documents", "embeddings", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     want = con.execute(ORACLE_SQL[name]).df()
     got = result(name)[list(want.columns)]
     assert sorted(got.columns) == sorted(result(name).columns)
-    keys = ["query_id", "rank"] if "rank" in want else ["doc_id"]
+    keys = [c for c in ("query_id", "anchor_id", "positive_id", "rank", "conv_id", "depth", "doc_id") if c in want]
     pd.testing.assert_frame_equal(
         got.sort_values(keys).reset_index(drop=True),
         want.sort_values(keys).reset_index(drop=True),
