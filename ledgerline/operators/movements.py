@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,9 +19,6 @@ from ledgerline.functions import (
 from ledgerline.functions.domain import DEPOSIT, LARGE_WITHDRAWAL, WITHDRAWAL
 from ledgerline.tables import BankTables
 
-# Transaction ids of one span share a chunk of an account's day (running_balances).
-ID_SPAN = 1 << 20
-
 
 def large_withdrawals(t: BankTables, as_of=None, days: int = 30) -> DataFrame:
     """q2a -- withdrawals above 500 dated on or after ``as_of - days``.
@@ -69,68 +69,100 @@ def deposits_per_customer(t: BankTables, as_of=None, months: int = 6) -> DataFra
 # For a transaction r of account a, ordered by (date DESC NULLS LAST, id DESC):
 #     running_balance(r) = balance(a) - sum(signed amounts of rows before r)
 # i.e. the balance minus everything that happened after r.  A NULL date counts
-# as the oldest.
+# as the oldest.  Rows without an account id belong to no account, on either side.
 #
-# One path for all accounts, with no look at the data beforehand.  A row's chunk is
-# (account, date, id // ID_SPAN), a function of the row alone, and chunks follow one another
-# in the order of the rows:
-#   1. the sum of each chunk (partial aggregation inside each task);
-#   2. the carry of a chunk is the sum of the later chunks of its account, a window over
-#      the chunk sums, where the account's balance joins as well;
-#   3. inside a chunk, a window adds the later rows.
-# However many rows an account has, a window over rows holds one chunk: at most ID_SPAN
-# rows of one day.  The window over chunk sums holds three columns for each chunk of an
-# account; with ids from a sequence these are few (with ids strewn over the whole 64-bit
-# range they can be as many as its rows, and that window then sorts and spills them).
-# Rows without an account id belong to no account, on either side.
+# No window of the job holds more than a stated number of rows:
+#   * an account of at most WINDOW_ROWS rows (or MOST_HOT-th part of all rows, if
+#     that is more) is one window.  One exchange by account serves window and join;
+#   * the others are *hot*: fewer than MOST_HOT accounts by that definition, so their
+#     ids are a broadcast of a proven size.  Their rows never share a window or a task by
+#     account.  A row's place is written as digits that depend on the row alone --
+#     day, id >> 42, id >> 21, id -- and the later sum of a row is the sum of the later
+#     digits on each level:
+#         later days of the account        (at most 3.7 million days in a date's range)
+#       + later id >> 42 of the day        (at most 2^22)
+#       + later id >> 21 inside those      (at most 2^21)
+#       + later ids inside those           (at most 2^21, ids being unique)
+#     Each level is a window over the sums of the level below, which come from
+#     partial aggregates; no level looks at the data to choose its grain.
+# Which accounts are hot is part of the lazy plan: no job runs while it is built,
+# and where there is none the adaptive plan drops the levels.
 # --------------------------------------------------------------------------
 
+WINDOW_ROWS = 1 << 16
+MOST_HOT = 100_000
+ID_SHIFTS = (42, 21)
+
 _TX_COLUMNS = ("account_id", "transaction_id", "transaction_date", "transaction_type", "amount")
 
 
-def running_balances(t: BankTables, as_of=None, id_span: int = ID_SPAN) -> DataFrame:
+def _later(sums: str, within: list[str], order: str):
+    """The sum of ``sums`` over what comes before in descending ``order``."""
+    earlier = (
+        Window.partitionBy(*within).orderBy(F.desc_nulls_last(order)).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    return F.coalesce(F.sum(sums).over(earlier), F.lit(0))
+
+
+def hot_accounts(transactions: DataFrame, window_rows: int = WINDOW_ROWS) -> DataFrame:
+    """The ids of accounts with too many rows for one window: fewer than ``MOST_HOT``."""
+    total = transactions.agg(F.count(F.lit(1)).alias("n")).scalar()
+    per_account = transactions.groupBy("account_id").agg(F.count(F.lit(1)).alias("n"))
+    return per_account.where((F.col("n") > window_rows) & (F.col("n") > total / MOST_HOT)).select("account_id")
+
+
+def _later_by_digits(rows: DataFrame, shifts: tuple[int, ...] = ID_SHIFTS) -> DataFrame:
+    """``rows`` with ``later``, without a window over more rows than a digit has values."""
+    names = [f"digit_{s}" for s in shifts]
+    rows = rows.withColumns({n: F.shiftright("transaction_id", s) for n, s in zip(names, shifts)})
+    keys = ["account_id", "transaction_date", *names]
+    # From the finest level up: sums of each prefix of the keys, and the later siblings' sum.
+    levels, sums = [], rows.groupBy(*keys).agg(F.sum("signed").alias("s"))
+    for depth in range(len(keys), 1, -1):
+        if depth < len(keys):
+            sums = sums.groupBy(*keys[:depth]).agg(F.sum("s").alias("s"))
+        levels.append(sums.withColumn("after", _later("s", keys[: depth - 1], keys[depth - 1])))
+    # From the coarsest down: what is later on this level and on those above.
+    carry = levels[-1].select(*keys[:2], F.col("after").alias("carry"))
+    for depth, level in zip(range(3, len(keys) + 1), reversed(levels[:-1])):
+        below = level.select(*keys[:depth], "after")
+        carry = _same_keys(below, carry, keys[: depth - 1]).select(
+            *[below[k] for k in keys[:depth]], (F.col("after") + F.col("carry")).alias("carry")
+        )
+    inside = rows.withColumn("inside", _later("signed", keys, "transaction_id"))
+    return _same_keys(inside, carry, keys).select(
+        *[inside[c] for c in (*_TX_COLUMNS, "signed")], (F.col("inside") + F.col("carry")).alias("later")
+    )
+
+
+def _same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join where NULL dates and ids equal each other."""
+    return left.join(right, reduce(and_, [left[k].eqNullSafe(right[k]) for k in keys]))
+
+
+def running_balances(t: BankTables, as_of=None, window_rows: int = WINDOW_ROWS) -> DataFrame:
     """q2c -- the balance right after each transaction, rebuilt backwards.
 
-    ``id_span`` is the number of consecutive ids in a chunk; it changes the plan's
-    grain, never the result.
+    Accounts with more than ``window_rows`` rows are worked through by digits; that
+    changes the plan's grain, never the result.
     """
-    rows = t.transactions.where(F.col("account_id").isNotNull()).select(
-        *_TX_COLUMNS,
-        signed_amount().alias("signed"),
-        F.floor(F.col("transaction_id") / F.lit(id_span).cast("decimal(20,0)")).cast("long").alias("chunk"),
-    )
-    later_chunks = (
+    rows = t.transactions.where(F.col("account_id").isNotNull()).select(*_TX_COLUMNS, signed_amount().alias("signed"))
+    hot = F.broadcast(hot_accounts(t.transactions.where(F.col("account_id").isNotNull()), window_rows))
+    in_account = (
         Window.partitionBy("account_id")
-        .orderBy(F.desc_nulls_last("transaction_date"), F.desc_nulls_last("chunk"))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    owners = t.accounts.where(F.col("account_id").isNotNull()).select("account_id", "balance")
-    carries = (
-        rows.groupBy("account_id", "transaction_date", "chunk")
-        .agg(F.sum("signed").alias("chunk_sum"))
-        .withColumn("carry", F.coalesce(F.sum("chunk_sum").over(later_chunks), F.lit(0)))
-        .join(owners, "account_id")
-        .select(
-            F.col("account_id").alias("c_account"),
-            F.col("transaction_date").alias("c_date"),
-            F.col("chunk").alias("c_chunk"),
-            (to_money("balance") - F.col("carry")).alias("after_chunk"),
-        )
-    )
-    later_in_chunk = (
-        Window.partitionBy("account_id", "transaction_date", "chunk")
-        .orderBy(F.desc_nulls_last("transaction_id"))
+        .orderBy(F.desc_nulls_last("transaction_date"), F.desc_nulls_last("transaction_id"))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    same_chunk = (
-        (F.col("account_id") == F.col("c_account"))
-        & F.col("transaction_date").eqNullSafe(F.col("c_date"))
-        & F.col("chunk").eqNullSafe(F.col("c_chunk"))
+    plain = rows.join(hot, "account_id", "left_anti").withColumn(
+        "later", F.coalesce(F.sum("signed").over(in_account), F.lit(0))
     )
+    levelled = _later_by_digits(rows.join(hot, "account_id", "left_semi"))
+    owners = t.accounts.where(F.col("account_id").isNotNull()).select("account_id", "balance")
+    balance = as_double(to_money("balance") - F.col("later")).alias("running_balance")
     return (
-        rows.withColumn("later", F.coalesce(F.sum("signed").over(later_in_chunk), F.lit(0)))
-        .join(carries, same_chunk)
-        .select(*_TX_COLUMNS, as_double(F.col("after_chunk") - F.col("later")).alias("running_balance"))
+        plain.join(owners, "account_id")
+        .select(*_TX_COLUMNS, balance)
+        .unionByName(levelled.join(owners, "account_id").select(*_TX_COLUMNS, balance))
         .orderBy(
             F.asc_nulls_first("account_id"),
             F.asc_nulls_first("transaction_date"),

@@ -64,8 +64,8 @@ def _banking_sql(key: str) -> QueryFn:
 
 
 def q2c_small_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """q2c with chunks of one thousand ids: many chunks for each account."""
-    return running_balances(bank_tables_from_testdata(spark, sf_dir), TESTDATA_AS_OF, id_span=1000)
+    """q2c with windows of at most eight rows: most accounts go by digits."""
+    return running_balances(bank_tables_from_testdata(spark, sf_dir), TESTDATA_AS_OF, window_rows=8)
 
 
 def word_count_query(spark: SparkSession, sf_dir: str) -> DataFrame:

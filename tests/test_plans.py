@@ -8,6 +8,7 @@ import contextlib
 import pytest
 from conftest import SF_SMALL
 
+from ledgerline.operators import movements
 from ledgerline.operators import BANKING_QUERIES, running_balances
 from ledgerline.sinks.tables import append_tables
 from ledgerline.sources.parquet import read_parquet_tables
@@ -51,11 +52,16 @@ def test_q2a_filters_pushed_and_columns_pruned(spark, staged):
     assert "description" not in plan
 
 
-def test_q2c_is_lazy_and_windows_hold_one_chunk(spark, staged):
+def test_q2c_is_lazy_and_broadcasts_hot_ids_only(spark, staged):
     with large_table_planning(spark):
         plan = plan_of(running_balances(staged, TESTDATA_AS_OF))
-    assert "ExistingRDD" not in plan and "Broadcast" not in plan
-    assert "windowspecdefinition(account_id" in plan and "chunk" in plan
+    assert "ExistingRDD" not in plan
+    # The only hinted broadcast holds one id for each hot account, after the count's filter.
+    sides = [line for line in plan.splitlines() if "BroadcastHashJoin" in line]
+    assert sides and all("account_id" in line and ("LeftAnti" in line or "LeftSemi" in line) for line in sides)
+    assert f"> {movements.WINDOW_ROWS})" in plan
+    # A hot account's rows are windowed by day and both leading parts of the id.
+    assert "windowspecdefinition(account_id" in plan and "digit_42" in plan and "digit_21" in plan
 
 
 def test_q1c_is_top_k(spark, staged):
