@@ -5,10 +5,10 @@
         [--queries q1a,q2c] [--parallel-jobs 4] [--mode overwrite|append] [--single-file]
     spark-submit ledgerline/__main__.py ingest --landing s3a://bucket/landing/ --store s3a://bucket/store/
 
-``run`` is the daily job (ingest CSV or a database, constraint report, idempotent staging,
-the 13 results, optional JSON envelope).  ``ingest`` drains newly landed CSV
-files into the store with Structured Streaming (a replayed batch adds nothing
-twice; two writers at a time are not isolated).  The session
+``run`` is the daily job (ingest CSV or a database, constraint report, staging as one batch,
+the 13 results, optional JSON envelope); run again after a failure, it leaves what one run leaves.
+``ingest`` drains newly landed CSV files into the store with Structured Streaming (a replayed batch adds nothing
+twice).  Of two writers at a time one fails and can be run again.  The session
 takes its settings from the cluster; nothing is overridden here.
 """
 
@@ -32,7 +32,7 @@ def _parser() -> argparse.ArgumentParser:
     run.add_argument("--jdbc-option", action="append", default=[], metavar="KEY=VALUE", help="driver, user, ...")
     run.add_argument("--jdbc-envelope", default=None, metavar="TABLE", help="append the JSON rows to this table, too")
     run.add_argument("--multi-line", action="store_true", help="CSV with line breaks inside quotes (one task a file)")
-    run.add_argument("--store", required=True, help="Parquet table store (appended idempotently)")
+    run.add_argument("--store", required=True, help="Parquet table store; the input becomes one published batch of it")
     run.add_argument("--out", required=True, help="one folder per result is written under it")
     run.add_argument("--envelope", default=None, help="also append JSON rows (query_id, run_ts, row_json) here")
     run.add_argument("--as-of", default=None, help="ISO date; default: today in the session time zone")
@@ -63,7 +63,7 @@ def main(argv=None) -> int:
         if args.jdbc_url:
             source = read_jdbc_tables(spark, args.jdbc_url, options)
         else:
-            source = read_csv_tables(spark, args.source, raw=True, multiLine=str(args.multi_line).lower())
+            source = read_csv_tables(spark, args.source, with_rejects=True, multiLine=str(args.multi_line).lower())
         if args.jdbc_envelope and not args.jdbc_url:
             raise SystemExit("--jdbc-envelope needs --jdbc-url")
 

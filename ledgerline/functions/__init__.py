@@ -2,7 +2,7 @@
 
 from ledgerline.functions.casting import cast_losses, cast_to_schema
 from ledgerline.functions.checks import is_blank, missing_list
-from ledgerline.functions.dates import as_of_column, days_before, months_before, years_before
+from ledgerline.functions.dates import as_of_column, days_before, months_before, since, years_before
 from ledgerline.functions.money import (
     MONEY,
     as_double,
@@ -27,6 +27,7 @@ __all__ = [
     "money_sum",
     "months_before",
     "signed_amount",
+    "since",
     "to_money",
     "years_before",
 ]

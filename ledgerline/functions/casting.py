@@ -3,7 +3,7 @@ of ``withColumn``, which would grow the plan one Project per field)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -19,16 +19,11 @@ def cast_to_schema(df: DataFrame, schema: StructType) -> DataFrame:
     )
 
 
+def lost_in_cast(name: str, schema: StructType) -> Column:
+    """Whether a non-NULL raw value becomes NULL."""
+    return F.col(name).isNotNull() & F.col(name).try_cast(schema[name].dataType).isNull()
+
+
 def cast_losses(raw: DataFrame, schema: StructType) -> DataFrame:
     """One row: per declared column, how many non-NULL raw values became NULL."""
-    return raw.agg(
-        *[
-            F.count(
-                F.when(
-                    F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(),
-                    F.lit(1),
-                )
-            ).alias(f.name)
-            for f in schema.fields
-        ]
-    )
+    return raw.agg(*[F.count(F.when(lost_in_cast(name, schema), F.lit(1))).alias(name) for name in schema.names])

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -37,3 +37,15 @@ def months_before(as_of, n: int) -> Column:
 
 def years_before(as_of, n: int) -> Column:
     return months_before(as_of, 12 * n)
+
+
+def since(transactions: DataFrame, bound: Column) -> Column:
+    """Transactions dated on or after ``bound``.
+
+    A store that is partitioned by ``month`` (yyyymm) is also bounded on that column, so
+    older months' folders are neither listed nor opened.  A NULL date is not after any bound.
+    """
+    dated = F.col("transaction_date") >= bound
+    if "month" not in transactions.columns:
+        return dated
+    return dated & (F.col("month") >= F.year(bound) * 100 + F.month(bound))

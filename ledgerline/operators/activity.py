@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions import mean_of, money_count, money_sum, months_before, years_before
+from ledgerline.functions import mean_of, money_count, money_sum, months_before, since, years_before
 from ledgerline.tables import BankTables
 
 
@@ -22,7 +22,7 @@ def _owner(t: BankTables) -> DataFrame:
 def average_transaction_and_balance(t: BankTables, as_of=None) -> DataFrame:
     """q3a -- per customer: mean transaction amount over the last year and mean
     account balance; 0.0 where the customer has none."""
-    recent = t.transactions.where(F.col("transaction_date") >= years_before(as_of, 1))
+    recent = t.transactions.where(since(t.transactions, years_before(as_of, 1)))
     per_account = recent.groupBy("account_id").agg(
         money_sum("amount").alias("tx_sum"), money_count("amount").alias("tx_n")
     )
@@ -54,7 +54,7 @@ def most_active_customers(t: BankTables, as_of=None, months: int = 3) -> DataFra
     partition), the top count is a two-phase MAX -- one row by construction,
     so broadcasting it is safe -- and the winners are an equi-join on it.
     """
-    recent = t.transactions.where(F.col("transaction_date") >= months_before(as_of, months))
+    recent = t.transactions.where(since(t.transactions, months_before(as_of, months)))
     per_account = recent.groupBy("account_id").agg(F.count(F.lit(1)).alias("n"))
     per_customer = (
         per_account.join(_owner(t), "account_id")

@@ -9,7 +9,11 @@ the constraints of the table layout become a report: one row per
 * ``not_null``              -- NULLs in a NOT NULL column
 * ``foreign_key_orphan``    -- non-NULL references to a missing parent row
 * ``cast_loss``             -- non-NULL raw values that became NULL in the cast
-                               (only when the raw tables are given)
+                               (only when the raw tables, or counted losses, are given)
+
+The daily job adds what its load counted: ``malformed_record`` (records that do not fit
+their header) and ``row_new``, ``row_changed``, ``row_equal`` and ``row_without_key``
+against the stored rows.
 
 Every check pre-aggregates before it shuffles: one ``groupBy`` on the key per
 table (partial aggregation folds a repeated key, however hot, map-side) and,
@@ -22,7 +26,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.casting import cast_losses
@@ -89,14 +93,30 @@ def _cast_checks(table: str, raw: DataFrame) -> list[DataFrame]:
     return _rows(losses, table, [(("cast_loss", f.name), f.name) for f in schema.fields])
 
 
-def check_constraints(t: BankTables, raw: BankTables | None = None) -> DataFrame:
-    """The constraint report for the typed tables (and their raw inputs)."""
+def counted_rows(spark: SparkSession, counts: list[tuple[str, str, str | None, int]]) -> DataFrame:
+    """Report rows from numbers that are known already."""
+    return spark.createDataFrame(
+        counts, "table_name string, check_name string, column_name string, violations bigint"
+    )
+
+
+def check_constraints(
+    t: BankTables, raw: BankTables | None = None, losses: dict[str, dict[str, int]] | None = None
+) -> DataFrame:
+    """The constraint report for the typed tables (and their raw inputs).
+
+    ``losses`` are cast losses that were counted while the rows landed, by table and
+    column; they take the place of a pass over ``raw``.
+    """
     tables = dict(t.items())
     parts: list[DataFrame] = []
     for name in ("customers", "accounts", "transactions"):
         parts += _key_checks(name, tables[name])
         parts += _orphan_check(name, tables)
-        if raw is not None:
+        if losses is not None:
+            spark = tables[name].sparkSession
+            parts.append(counted_rows(spark, [(name, "cast_loss", c, n) for c, n in losses[name].items()]))
+        elif raw is not None:
             parts += _cast_checks(name, dict(raw.items())[name])
     report = reduce(DataFrame.unionByName, parts)
     return report.select(*REPORT_COLUMNS)

@@ -13,6 +13,7 @@ from ledgerline.functions import (
     days_before,
     money_sum,
     months_before,
+    since,
     signed_amount,
     to_money,
 )
@@ -30,7 +31,7 @@ def large_withdrawals(t: BankTables, as_of=None, days: int = 30) -> DataFrame:
     tx = t.transactions.where(
         (F.col("transaction_type") == F.lit(WITHDRAWAL))
         & (F.col("amount") > LARGE_WITHDRAWAL)
-        & (F.col("transaction_date") >= days_before(as_of, days))
+        & since(t.transactions, days_before(as_of, days))
     ).select("transaction_id", "account_id", "transaction_date", "amount")
     return (
         tx.join(t.accounts.select("account_id", "customer_id"), "account_id")
@@ -52,7 +53,7 @@ def deposits_per_customer(t: BankTables, as_of=None, months: int = 6) -> DataFra
     """
     deposits = t.transactions.where(
         (F.col("transaction_type") == F.lit(DEPOSIT))
-        & (F.col("transaction_date") >= months_before(as_of, months))
+        & since(t.transactions, months_before(as_of, months))
     )
     per_account = deposits.groupBy("account_id").agg(money_sum("amount").alias("dep"))
     return (

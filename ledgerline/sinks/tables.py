@@ -28,33 +28,15 @@ days, 3/6/12 months) read recent data, not the whole history.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.schemas import LOAD_ORDER, PRIMARY_KEYS, TABLE_SCHEMAS
+from ledgerline.files import path_exists
+from ledgerline.schemas import CLUSTER_KEYS, LOAD_ORDER, PRIMARY_KEYS, TABLE_SCHEMAS
 from ledgerline.sources.parquet import table_paths
 from ledgerline.tables import BankTables
 
 
-# Write order of each stored table (none: as it comes).
-CLUSTER_KEYS = {"transactions": ("transaction_date", "transaction_id")}
-
-
-def _file_system(spark: SparkSession, path: str):
-    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, hpath = _file_system(spark, path)
-    return bool(fs.exists(hpath))
-
-
-def remove_path(spark: SparkSession, path: str) -> None:
-    fs, hpath = _file_system(spark, path)
-    fs.delete(hpath, True)
-
-
 def append_table(df: DataFrame, path: str, table: str) -> int:
     """Appends what is new; returns the number of rows that conflict with stored ones."""
     spark = df.sparkSession

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from ledgerline.batches import is_batch_store, read_store
 from ledgerline.schemas import ENVELOPE, LOAD_ORDER, TABLE_SCHEMAS
 from ledgerline.tables import BankTables
 
@@ -20,6 +21,9 @@ def table_paths(base: str) -> dict[str, str]:
 
 
 def read_parquet_tables(spark: SparkSession, base: str) -> BankTables:
+    """The tables under ``base``: plain folders, or the current rows of a store of batches."""
+    if is_batch_store(spark, base):
+        return read_store(spark, base)
     paths = table_paths(base)
     frames = {
         name: spark.read.schema(TABLE_SCHEMAS[name]).parquet(paths[name]) for name in LOAD_ORDER

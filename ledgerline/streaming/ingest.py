@@ -8,9 +8,10 @@ landing folder (``{landing}/customers/``, ``accounts/``, ``transactions/``):
   rerun only reads files that arrived since;
 * ``trigger(availableNow=True)`` drains what is there and stops, so the job
   keeps its daily, scheduled shape;
-* each micro-batch is cast to the declared schema and appended through the
-  primary-key anti join of ``ledgerline.sinks.tables``, so a batch replayed
-  after a failure (``foreachBatch`` is at-least-once) adds nothing twice;
+* each micro-batch is published as one batch of the store (``ledgerline.batches``), named after
+  checkpoint and epoch, so a batch replayed after a failure (``foreachBatch`` is
+  at-least-once) finds its marker, or overwrites what it had begun;
+* malformed records go to the batch's quarantine with file and reason, and are counted there;
 * tables run parents first, each to completion, so accounts never land
   before their customers' batch.
 
@@ -19,29 +20,36 @@ Checkpoints live under the shared ``spark.checkpoint.dir`` unless given.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerline.batches import publish_batch
 from ledgerline.functions.casting import cast_to_schema
 from ledgerline.schemas import LOAD_ORDER, TABLE_SCHEMAS
 from ledgerline.session import checkpoint_dir
-from ledgerline.sinks.tables import append_table
-from ledgerline.sources.csv import CSV_READ_OPTIONS, restore_empty_strings, text_schema
+from ledgerline.sources.csv import CSV_READ_OPTIONS, REJECTED, reject_struct, rejects, restore_empty_strings, sound, text_schema
 from ledgerline.sources.parquet import table_paths
 
 
 def csv_stream(spark: SparkSession, folder: str, table: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The records of ``folder``: declared columns as text, and ``rejected``."""
     schema = TABLE_SCHEMAS[table]
-    reader = spark.readStream.schema(text_schema(schema)).options(**CSV_READ_OPTIONS)
+    reader = spark.readStream.schema(text_schema(schema, malformed=True)).options(**CSV_READ_OPTIONS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.csv(folder)
+    read = reader.csv(folder).withColumn(REJECTED, reject_struct(schema.names))
+    return restore_empty_strings(read, schema, REJECTED)
 
 
-def _append_batch(table: str, path: str):
-    schema = TABLE_SCHEMAS[table]
+def _publish(table: str, store: str, checkpoint: str):
+    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        append_table(cast_to_schema(restore_empty_strings(batch, schema), schema), path, table)
+        typed = cast_to_schema(sound(batch), TABLE_SCHEMAS[table])
+        publish_batch(
+            batch.sparkSession, {table: typed}, store, f"{table}-{stream}-{epoch_id:08d}", rejected={table: rejects(batch)}
+        )
 
     return handle
 
@@ -53,14 +61,14 @@ def ingest_landing(
     checkpoint_base: str | None = None,
     max_files_per_trigger: int | None = None,
 ) -> dict[str, str]:
-    """Drain new CSV files of each table into the Parquet store; returns store paths."""
+    """Drain new CSV files of each table into the store of batches; returns store paths."""
     base = (checkpoint_base or f"{checkpoint_dir(spark).rstrip('/')}/ledgerline-ingest").rstrip("/")
     landing = landing.rstrip("/")
     paths = table_paths(store)
     for table in LOAD_ORDER:
         query = (
             csv_stream(spark, f"{landing}/{table}", table, max_files_per_trigger)
-            .writeStream.foreachBatch(_append_batch(table, paths[table]))
+            .writeStream.foreachBatch(_publish(table, store, f"{base}/{table}"))
             .option("checkpointLocation", f"{base}/{table}")
             .trigger(availableNow=True)
             .start()
