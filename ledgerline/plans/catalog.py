@@ -11,9 +11,10 @@ import datetime as _dt
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.batches import publish_batch, published, read_store
 from ledgerline.functions.casting import cast_to_schema
 from ledgerline.operators import BANKING_QUERIES, check_constraints, latest_rows, unpack_q1a, word_count
 from ledgerline.operators.basic import total_balance_by_type
@@ -25,7 +26,7 @@ from ledgerline.session import scratch_path
 from ledgerline.sinks.csv import write_csv_table
 from ledgerline.sinks.results import to_envelope, write_result_envelope, write_result_parquet
 from ledgerline.sinks.tables import append_table
-from ledgerline.sources.csv import read_csv_table
+from ledgerline.sources.csv import read_csv_table, read_csv_with_rejects, rejects, sound
 from ledgerline.sources.parquet import read_envelope
 from ledgerline.sources.testdata import (
     TESTDATA_AS_OF,
@@ -144,8 +145,23 @@ def envelope_sink_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_rows(read_envelope(spark, path), "q4c", 50)
 
 
+def content_sum(df: DataFrame) -> Column:
+    """An exact sum of one 60-bit hash for each row, whatever the rows' order.
+
+    A row is hashed as its values in the order of the column names, doubles as whole
+    millionths (money and means of money), NULL as a tilde, with bars between.
+    """
+
+    def text(name: str, kind: str) -> Column:
+        value = F.floor(F.col(f"`{name}`") * 1e6) if kind == "double" else F.col(f"`{name}`")
+        return F.coalesce(value.cast("string"), F.lit("~"))
+
+    row = F.concat_ws("|", *[text(name, kind) for name, kind in sorted(df.dtypes)])
+    return F.sum(F.conv(F.substring(F.md5(row.cast("binary")), 1, 15), 16, 10).cast("decimal(20,0)")).cast("string")
+
+
 def daily_job_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E11: the whole job; for each written result its rows and its non-NULL values."""
+    """E11: the whole job; for each written result its rows, non-NULL values and content."""
     base = scratch_path(spark, "job")
     written = run_pipeline(
         spark, bank_tables_from_testdata(spark, sf_dir), f"{base}/store", f"{base}/out", as_of=TESTDATA_AS_OF
@@ -154,13 +170,97 @@ def daily_job_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     def extent(name: str) -> DataFrame:
         result = spark.read.parquet(written[name])
         values = sum((F.count(F.col(c)) for c in result.columns), F.lit(0))
-        return result.agg(F.count(F.lit(1)).alias("n_rows"), values.cast("long").alias("n_values")).select(
-            F.lit(name).alias("result"), "n_rows", "n_values"
-        )
+        return result.agg(
+            F.count(F.lit(1)).alias("n_rows"), values.cast("long").alias("n_values"), content_sum(result).alias("content")
+        ).select(F.lit(name).alias("result"), "n_rows", "n_values", "content")
 
     return reduce(DataFrame.unionByName, [extent(name) for name in BANKING_QUERIES])
 
 
+def _two_days(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Two batches: a first day with part of the rows, a second one with all of them, some changed."""
+    day2 = bank_tables_from_testdata(spark, sf_dir)
+    k, t = F.col("account_id"), F.col("transaction_id")
+    accounts = day2.accounts.withColumn("account_id", F.when(k % 503 != 0, k))
+    day1 = {
+        "customers": day2.customers.where("customer_id % 4 <> 0"),
+        "accounts": accounts.where((k % 3 != 0) | k.isNull()).where(F.col("customer_id") % 2 == 0),
+        "transactions": day2.transactions.where(t % 5 != 0),
+    }
+    publish_batch(spark, day1, path, "day1")
+    moved = F.when(k % 10 == 1, F.coalesce(F.col("balance"), F.lit(0.0)) + 1).otherwise(F.col("balance"))
+    changed = {
+        "customers": day2.customers,
+        "accounts": accounts.withColumn("balance", moved),
+        "transactions": day2.transactions.withColumn(
+            "description", F.when(t % 7 == 0, F.lit("corrected")).otherwise(F.col("description"))
+        ),
+    }
+    publish_batch(spark, changed, path, "day2")
+
+
+def store_versions_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E2 as versions: the current accounts after two batches (changed, new and key-less rows)."""
+    path = scratch_path(spark, "batches")
+    _two_days(spark, sf_dir, path)
+    return read_store(spark, path).accounts
+
+
+def store_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E2 as versions: what each of two batches brought, and the second one again, which brings nothing."""
+    path = scratch_path(spark, "batches")
+    _two_days(spark, sf_dir, path)
+    publish_batch(spark, dict(bank_tables_from_testdata(spark, sf_dir).items()), path, "day2")
+    kinds = ("delivered", "new", "changed", "equal", "no_key", "replaced")
+    rows = [
+        (m["batch"], table, *[m["tables"][table][kind] for kind in kinds])
+        for m in published(spark, path)
+        for table in m["tables"]
+    ]
+    counts = spark.createDataFrame(rows, "batch string, table_name string, " + ", ".join(f"n_{k} bigint" for k in kinds))
+    current = dict(read_store(spark, path).items())
+    sizes = reduce(
+        DataFrame.unionByName,
+        [df.agg(F.count(F.lit(1)).alias("n_current")).withColumn("table_name", F.lit(name)) for name, df in current.items()],
+    )
+    return counts.join(sizes, "table_name")
+
+
+def _on_store(key: str) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = scratch_path(spark, "batches")
+        publish_batch(spark, dict(bank_tables_from_testdata(spark, sf_dir).items()), path, "day1")
+        return BANKING_QUERIES[key](read_store(spark, path), TESTDATA_AS_OF)
+
+    run.__name__ = f"store_{key}"
+    run.__doc__ = f"{key} on a published store, whose older months are not opened."
+    return run
+
+
+def csv_quarantine_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1: customers as CSV text with faulty records, and how many were loaded or refused, and why."""
+    path = scratch_path(spark, "customers.csv")
+    customers = bank_tables_from_testdata(spark, sf_dir).customers
+    k = F.col("customer_id")
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in customers.columns]
+    line = (
+        F.when(k % 11 == 3, F.concat_ws(",", *fields, F.lit("surplus")))
+        .when(k % 13 == 5, F.concat_ws(",", *fields[:3]))
+        .when(k % 17 == 7, F.concat_ws(",", fields[0], F.concat(F.lit('"'), fields[1]), *fields[2:]))
+        .otherwise(F.concat_ws(",", *fields))
+    )
+    # One column of whole lines under the header, without quotes: text as a careless deliverer writes it.
+    customers.select(line.alias(",".join(customers.columns))).write.option("header", True).option("quote", "").option(
+        "escape", ""
+    ).option("sep", "\u0001").csv(path)
+    found = read_csv_with_rejects(spark, path, CUSTOMERS)
+    refused = rejects(found).groupBy("reason", "n_fields").agg(F.count(F.lit(1)).alias("n"))
+    loaded = cast_to_schema(sound(found), CUSTOMERS).agg(F.count("customer_id").alias("n"))
+    return refused.unionByName(
+        loaded.select(F.lit("loaded").alias("reason"), F.lit(len(CUSTOMERS.names)).cast("long").alias("n_fields"), "n")
+    )
+
+
 def registered_queries() -> dict[str, QueryFn]:
     queries: dict[str, QueryFn] = {key: _banking(key) for key in BANKING_QUERIES}
     queries.update({f"sql_{key}": _banking_sql(key) for key in BANKING_QUERIES})
@@ -177,6 +277,11 @@ def registered_queries() -> dict[str, QueryFn]:
             "result_sink": result_sink_query,
             "envelope_sink": envelope_sink_query,
             "daily_job": daily_job_query,
+            "store_versions": store_versions_query,
+            "store_counts": store_counts_query,
+            "store_q2a": _on_store("q2a"),
+            "store_q3b": _on_store("q3b"),
+            "csv_quarantine": csv_quarantine_query,
         }
     )
     return queries
