@@ -13,9 +13,12 @@ model's negative log-probabilities.  A plain token has one path only, itself.
 
 *Score.*  Features of a restored word are the word and its first 4, 5 and 6 letters
 (compounds).  Documents are counted by feature and label over all labelled
-training rows; features with significant positive evidence (likelihood ratio above
+training rows (one merge join on the id at every size, so the plan does not change with
+the input); all features with significant positive evidence (likelihood ratio above
 ``MIN_G``) get their log odds, and a document's score is the logistic of the prior
-plus the log odds of the distinct features that it has.
+plus the log odds of the distinct features that it has.  Up to ``BROADCAST_FEATURES`` weights
+are broadcast, by their counted number; a larger model stays a table that is joined with the
+documents' features.  Both ways give the same scores.
 
 Tokens recur, so each Python worker remembers their decoded features.
 
@@ -42,7 +45,7 @@ from ledgerline.llm.common import cut, fold
 LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(chr(c) for c in range(0xDF, 0x100) if c != 0xF7)
 SIZE = 64  # symbols of the character model: 0 border, letters, 63 any other letter
 MIN_G = 20.0
-MAX_FEATURES = 20_000
+BROADCAST_FEATURES = 2_000_000  # weights up to here are broadcast (some 200 MB), more are joined
 MEMO = 300_000
 CHANNEL_COST = 1.5  # of reading a symbol as a letter
 DROP_COST = 1.0  # of reading a symbol as nothing
@@ -312,8 +315,10 @@ def _likelihood_ratio(n0: Column, n1: Column, all0: int, all1: int) -> Column:
 
 
 class ToxicityModel:
-    def __init__(self, chars: CharModel, prior: float, weights: dict[int, float]):
-        self.chars, self.prior, self.weights = chars, prior, weights
+    """Prior and weights of features; a large model has them in ``table`` (``feature, weight``) instead."""
+
+    def __init__(self, chars: CharModel, prior: float, weights: dict[int, float], table: DataFrame | None = None):
+        self.chars, self.prior, self.weights, self.table = chars, prior, weights, table
 
     def score(self, found: set[int]) -> float:
         x = self.prior + sum(self.weights[h] for h in found)
@@ -326,7 +331,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, is_training: Column) -> Tox
     chars = fit_char_model(training)
     shared = docs.sparkSession.sparkContext.broadcast(chars)
     marks = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1)")
-    counts = cut(_feature_counts(training.join(marks, "doc_id"), shared))
+    counts = cut(_feature_counts(training.join(marks.hint("merge"), "doc_id"), shared))
     every = counts.where("feature is null").first()
     if every is None:
         return None
@@ -337,18 +342,20 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, is_training: Column) -> Tox
     chosen = (
         counts.where("feature is not null and n1 >= 3")
         .where(F.col("n1") * all0 > F.col("n0") * all1 * 3)
-        .withColumn("g", _likelihood_ratio(F.col("n0"), F.col("n1"), all0, all1))
-        .where(F.col("g") > MIN_G)
-        .orderBy(F.desc("g"), "feature")
-        .limit(MAX_FEATURES)
-        .collect()
+        .where(_likelihood_ratio(F.col("n0"), F.col("n1"), all0, all1) > MIN_G)
     )
-    weights = {r.feature: math.log((r.n1 + 0.5) / (all1 + 1)) - math.log((r.n0 + 0.5) / (all0 + 1)) for r in chosen}
-    return ToxicityModel(chars, math.log((all1 + 0.5) / (all0 + 0.5)), weights)
+    prior = math.log((all1 + 0.5) / (all0 + 0.5))
+    if chosen.count() > BROADCAST_FEATURES:
+        odds = F.log((F.col("n1") + 0.5) / (all1 + 1)) - F.log((F.col("n0") + 0.5) / (all0 + 1))
+        return ToxicityModel(chars, prior, {}, cut(chosen.select("feature", odds.alias("weight"))))
+    weights = {
+        r.feature: math.log((r.n1 + 0.5) / (all1 + 1)) - math.log((r.n0 + 0.5) / (all0 + 1)) for r in chosen.collect()
+    }
+    return ToxicityModel(chars, prior, weights)
 
 
 def toxicity_column(docs: DataFrame, model: ToxicityModel | None) -> Column:
-    """Score in [0, 1] of the column ``text``."""
+    """Score in [0, 1] of the column ``text``, by a model whose weights are broadcast."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -360,11 +367,30 @@ def toxicity_column(docs: DataFrame, model: ToxicityModel | None) -> Column:
     return F.pandas_udf(score, "double")(F.col("text"))
 
 
+def _joined_scores(rows: DataFrame, model: ToxicityModel) -> DataFrame:
+    """``rows`` with ``score``, their features joined with the table of weights."""
+    shared = rows.sparkSession.sparkContext.broadcast(model.chars)
+
+    def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        features = Features(shared.value)
+        for texts in batches:
+            yield pd.Series([sorted(features.of_text(x)) for x in texts])
+
+    numbered = cut(rows.withColumn("row", F.monotonically_increasing_id()))
+    owned = numbered.select("row", F.explode(F.pandas_udf(found, "array<bigint>")("text")).alias("feature"))
+    # One partial sum for each row and task before the sums meet.
+    sums = owned.join(model.table, "feature").groupBy("row").agg(F.sum("weight").alias("x"))
+    x = F.greatest(F.lit(-500.0), F.least(F.lit(500.0), F.lit(model.prior) + F.coalesce("x", F.lit(0.0))))
+    return numbered.join(sums, "row", "left").withColumn("score", 1 / (1 + F.exp(-x)))
+
+
 def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5) -> DataFrame:
     """Per row: ``doc_id, held_out, score, predicted``; learns from rows whose fold is not 0."""
     held_out = fold(F.col("doc_id"), folds) == 0
     model = fit_toxicity(docs, labels, ~held_out)
-    scored = docs.select(
-        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), toxicity_column(docs, model).alias("score")
-    )
-    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    rows = docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "text")
+    if model is not None and model.table is not None:
+        scored = _joined_scores(rows, model)
+    else:
+        scored = rows.withColumn("score", toxicity_column(rows, model))
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
