@@ -4,7 +4,7 @@ Each stage is ``fn(spark, docs, sf_dir) -> DataFrame``; its rows are written as
 and read again as the next stage's ``docs``.  All but the last return the columns of
 ``docs``:
 
-1. ``language_id``: documents without a determinable language (NULL, no letters) go;
+1. ``language_id``: documents without letters, or in none of the learned languages, go;
 2. ``line_dedup``: lines that repeat earlier ones go, and documents made of nothing else;
 3. ``near_dedup``: one document of each near-duplicate group (five words, Jaccard
    similarity of 0.8 or more) stays;
@@ -23,13 +23,15 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import fold, free_name, table, written
 from ledgerline.llm.decontaminate import decontaminate
-from ledgerline.llm.language_id import UNDETERMINED, fit_language_model, language_column
+from ledgerline.llm.language_id import UNDETERMINED, fit_language_model, language_column, unknown_text
 from ledgerline.llm.line_dedup import without_repeated_lines
-from ledgerline.llm.near_dedup import near_duplicates
+from ledgerline.llm.near_dedup import without_near_duplicates
 from ledgerline.llm.packing import pack_documents
 
 
 NEAR_PERCENT = 80
+MIN_GRAMS = 100  # n-grams from which a text is judged
+MIN_KNOWN = 10  # percent of them that the language model must have met
 
 
 def _original(docs: DataFrame) -> list:
@@ -37,14 +39,20 @@ def _original(docs: DataFrame) -> list:
 
 
 def language_id_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that language identification rejects."""
+    """Drops the documents that language identification rejects.
+
+    Those are texts without a letter, and texts of which the model knows next to nothing: of
+    their n-grams (``MIN_GRAMS`` or more) fewer than ``MIN_KNOWN`` percent occur in the texts of its
+    landmarks.  Shorter texts with a letter stay, for want of evidence.  Where no row has a
+    usable ``lang`` there is no model to reject by, and every text with a letter stays.
+    """
     model = fit_language_model(docs, fold(F.col("doc_id"), 5) != 0)
-    found = free_name(docs, "found")
-    return (
-        docs.withColumn(found, language_column(docs, model))
-        .where(F.col(found)["lang_pred"] != UNDETERMINED)
-        .select(*_original(docs))
-    )
+    if model is None:
+        return docs.where(F.col("text").rlike("\\p{L}"))
+    found, unknown = free_name(docs, "found"), free_name(docs, "unknown")
+    judged = docs.withColumns({found: language_column(docs, model), unknown: unknown_text(F.col("text"), model, MIN_GRAMS, MIN_KNOWN)})
+    stays = (F.col(found)["lang_pred"] != UNDETERMINED) & ~F.col(unknown)
+    return judged.where(stays).select(*_original(docs))
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,10 +61,13 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest id of each group; documents with NULL id are in none."""
-    found = near_duplicates(docs, percent=NEAR_PERCENT)
-    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
+    """Keeps one row of each group of near duplicates.
+
+    Rows are told apart by id and set of shingles, so a text that shares its id with a
+    duplicate is judged by itself.  Of a group the rows with its smallest id stay, of these one for each
+    set; rows with NULL id, and texts without words, are in no group and stay.
+    """
+    return without_near_duplicates(docs, percent=NEAR_PERCENT)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

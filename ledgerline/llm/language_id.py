@@ -8,8 +8,9 @@ weights fold into one matrix of n-grams by languages: a batch of texts is scored
 one sparse-times-dense matrix product.
 
 The fit uses at most ``PER_LANGUAGE`` rows of each language, chosen by a hash of the
-id among the labelled rows of up to ``FIT_CHARS`` characters (a bounded sample of
-labelled rows; both bounds are parameters).  Every text is scored whole.
+id among its labelled rows (a bounded sample of labelled rows; the bound is a parameter).
+Texts of more than ``FIT_CHARS`` characters are taken, whole, where a language has fewer
+rows than that without them, so every language with a labelled row is learned.  Every text is scored whole.
 
 Letters are lower-cased; anything else is a word border, runs of borders count once.
 
@@ -26,14 +27,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import fold
 
 PER_LANGUAGE = 300
 LANDMARKS_PER_LANGUAGE = 60
-FIT_CHARS = 20_000
+FIT_CHARS = 20_000  # longer texts are sampled where a language has too few others
+FIT_BLOCK = 256
 RIDGE = 1e-2
 SYMBOLS = 64  # 0: border, 1..62: the commonest letters of the sample, 63: any other letter
 SHARPNESS = 6.0  # of the logistic that turns the margin into a score
@@ -108,15 +110,21 @@ def fit_texts(texts: list[str], langs: list[str]) -> LanguageModel:
     column[known] = np.arange(known.sum())
     n = int(known.sum())
     flags = np.zeros(n + 1, dtype=bool)
-    x = np.zeros((len(texts), n), dtype=np.float32)
-    for i, t in enumerate(texts):
-        at = present(t, symbols, column, flags)
-        x[i, at] = 1 / np.sqrt(max(1, len(at)))
-    z = x[landmarks]
+
+    def vectors_of(part: list[str]) -> np.ndarray:
+        x = np.zeros((len(part), n), dtype=np.float32)
+        for i, t in enumerate(part):
+            at = present(t, symbols, column, flags)
+            x[i, at] = 1 / np.sqrt(max(1, len(at)))
+        return x
+
+    z = vectors_of([texts[i] for i in landmarks])
     values, vectors = np.linalg.eigh((z @ z.T).astype(np.float64))
     good = values > 1e-8 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])  # K_zz ** -1/2, up to a rotation
-    phi = (x @ z.T).astype(np.float64) @ root
+    # A block of texts at a time: only landmarks are held as whole vectors.
+    blocks = [vectors_of(texts[i : i + FIT_BLOCK]) @ z.T for i in range(0, len(texts), FIT_BLOCK)]
+    phi = np.concatenate(blocks).astype(np.float64) @ root
     y = np.where(np.asarray(langs)[:, None] == np.asarray(languages)[None, :], 1.0, -1.0)
     w = np.linalg.solve(phi.T @ phi + RIDGE * len(texts) * np.eye(phi.shape[1]) / 100, phi.T @ y)
     return LanguageModel(languages, symbols, column, (z.T @ (root @ w)).astype(np.float32))
@@ -124,19 +132,27 @@ def fit_texts(texts: list[str], langs: list[str]) -> LanguageModel:
 
 def fit_language_model(docs: DataFrame, is_training: Column, *, per_language: int = PER_LANGUAGE) -> LanguageModel | None:
     """Fits on a bounded sample of the labelled rows that ``is_training`` selects."""
-    labelled = docs.where(
-        is_training & F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}") & (F.length("text") <= FIT_CHARS)
-    ).select("doc_id", "lang", "text")
-    sizes = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    labelled = docs.where(is_training & F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}")).select(
+        "doc_id", "lang", "text", (F.length("text") > FIT_CHARS).alias("is_long")
+    )
+    sizes = {(r.lang, r.is_long): r.n for r in labelled.groupBy("lang", "is_long").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
         return None
+    # Rows wanted of each language and length class, and the share of its rows that gives them.
+    wanted = {
+        (lang, long): per_language - (min(per_language, sizes.get((lang, False), 0)) if long else 0) for lang, long in sizes
+    }
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
     share = F.create_map(
-        *[x for lang, n in sorted(sizes.items()) for x in (F.lit(lang), F.lit(int(1_000_000 * min(1.0, 1.3 * per_language / n)) + 1))]
+        *[
+            x
+            for (lang, long), n in sorted(sizes.items())
+            for x in (F.lit(f"{int(long)}{lang}"), F.lit(int(1_000_000 * min(1.0, 1.3 * wanted[lang, long] / n)) + bool(wanted[lang, long])))
+        ]
     )
     rows = (
-        labelled.where(place < share[F.col("lang")])
-        .orderBy(place, "doc_id", "lang", "text")
+        labelled.where(place < share[F.concat(F.col("is_long").cast("int").cast("string"), F.col("lang"))])
+        .orderBy("is_long", place, "doc_id", "lang", "text")
         .limit(2 * per_language * len(sizes))
         .collect()
     )
@@ -149,6 +165,12 @@ def fit_language_model(docs: DataFrame, is_training: Column, *, per_language: in
     return fit_texts([r.text for r in sample], [r.lang for r in sample])
 
 
+def known_share(text: str | None, model: LanguageModel) -> tuple[int, int]:
+    """How many n-grams a text has, repetitions included, and how many of them the model knows."""
+    found = [model.column[g] >= 0 for g in grams(text, model.symbols)] if text else []
+    return sum(map(len, found)), sum(int(f.sum()) for f in found)
+
+
 def score_texts(texts, model: LanguageModel | None) -> tuple[list[str], np.ndarray]:
     """Predicted language and score of each text of a batch."""
     langs = [UNDETERMINED] * len(texts)
@@ -196,6 +218,17 @@ def language_column(docs: DataFrame, model: LanguageModel | None) -> Column:
     return F.pandas_udf(identify, "struct<lang_pred:string,score:double>")(F.col("text"))
 
 
+def unknown_text(text: Column, model: LanguageModel, min_grams: int, min_known: int) -> Column:
+    """Whether fewer than ``min_known`` percent of a text's n-grams (``min_grams`` or more) are known."""
+    shared = SparkSession.getActiveSession().sparkContext.broadcast(model)
+
+    def unknown(texts: pd.Series) -> pd.Series:
+        shares = [known_share(t, shared.value) for t in texts]
+        return pd.Series([n >= min_grams and 100 * known < min_known * n for n, known in shares], dtype=bool)
+
+    return F.pandas_udf(unknown, "boolean")(text)
+
+
 def identify_languages(docs: DataFrame, folds: int = 5) -> DataFrame:
     """Per row: ``doc_id, held_out, lang_pred, score``; learns from the rows whose fold is not 0."""
     # A NULL id has no fold: it is neither learned from nor held out.

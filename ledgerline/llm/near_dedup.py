@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import cut
+from ledgerline.llm.common import cut, free_name, written
 from ledgerline.llm.components import connected_components
 
 WORDS = 5
@@ -292,3 +292,21 @@ def near_duplicates(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
         .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
+
+
+def without_near_duplicates(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` that stay, one of each group of near duplicates, with all their columns.
+
+    Every row is a document of its own here, also where ids repeat: rows of different texts do not
+    hang together by an id, and verbatim repeats are near duplicates.  Of a group the row with the smallest
+    id stays.  Rows with NULL id and texts without words are in no group and stay.
+    """
+    row = free_name(docs, "row")
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    grouped = numbered.where("doc_id is not null").select(F.col(row).alias("doc_id"), "text")
+    found = cut(near_duplicates(grouped, percent=percent).select(F.col("doc_id").alias("r"), "component_id"))
+    several = found.groupBy("component_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("component_id")
+    members = found.join(several, "component_id").join(numbered.select(F.col(row).alias("r"), "doc_id"), "r")
+    first = members.groupBy("component_id").agg(F.min(F.struct("doc_id", "r")).alias("first"))
+    gone = members.join(first, "component_id").where(F.col("r") != F.col("first.r")).select(F.col("r").alias("gone"))
+    return numbered.join(gone, numbered[row] == gone["gone"], "left_anti").drop(row)

@@ -1,0 +1,193 @@
+"""Pipeline stages: nothing is lost, decisions take effect; fitted models against plain Python."""
+
+from __future__ import annotations
+
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from ledgerline.llm import language_id as li
+from ledgerline.llm import toxicity as tx
+from tests.llm.conftest import SF
+
+STAGES = dict(corpus_pipeline.STAGES)
+ENGLISH = "the quick brown fox jumps over the lazy dog while seven wizards quietly mix potions near old stone walls"
+GERMAN = "der schnelle braune fuchs springt über den faulen hund während sieben zauberer leise tränke neben alten mauern mischen"
+
+
+def _rows(df):
+    return sorted(((r.doc_id, r.text) for r in df.collect()), key=repr)
+
+
+@pytest.mark.parametrize("name", list(STAGES))
+def test_stages_on_an_empty_table(spark, make_docs, name):
+    assert STAGES[name](spark, make_docs([]), SF).count() == 0
+
+
+def test_near_dedup_keeps_texts_that_share_an_id(spark, make_docs):
+    a, b = ENGLISH, GERMAN
+    docs = make_docs([a, a, b, b, a + " again"], ids=[3, 5, 5, 9, 2])
+    # Row (2, a again) is near a; of the b rows the smaller id stays, although id 5 also holds a.
+    assert _rows(STAGES["near_dedup"](spark, docs, SF)) == sorted([(2, a + " again"), (5, b)])
+
+
+def test_near_dedup_folds_verbatim_repeats(spark, make_docs):
+    docs = make_docs([ENGLISH, ENGLISH, GERMAN, None, None, "", ENGLISH, GERMAN], ids=[3, 3, 4, 6, 6, 7, None, None])
+    got = _rows(STAGES["near_dedup"](spark, docs, SF))
+    # NULL ids and texts without words are in no group.
+    assert got == sorted([(3, ENGLISH), (4, GERMAN), (6, None), (6, None), (7, ""), (None, ENGLISH), (None, GERMAN)], key=repr)
+
+
+def test_language_stage_without_labels_keeps_texts_with_letters(spark, make_docs):
+    docs = make_docs([ENGLISH, "12 34", None, "", "x"])
+    assert {r.doc_id for r in STAGES["language_id"](spark, docs, SF).collect()} == {0, 4}
+
+
+def test_language_stage_rejects_by_the_model(spark, make_docs):
+    rng = random.Random(5)
+    clean = [" ".join(rng.sample(t.split(), 12)) for t in (ENGLISH, GERMAN) for _ in range(20)]
+    russian = " ".join("быстрая коричневая лиса прыгает через ленивую собаку пока волшебники смешивают зелья".split() * 4)
+    texts = [*clean, russian, "ж", "!!!"]
+    langs = [*(["en"] * 20), *(["de"] * 20), None, None, None]
+    kept = {r.doc_id for r in STAGES["language_id"](spark, make_docs(texts, langs), SF).collect()}
+    # Clean ones stay, a long text of unknown letters goes, a letter alone is no evidence.
+    assert kept == {*range(40), 41}
+
+
+def test_languages_with_long_texts_only_are_learned(spark, make_docs):
+    long_english, long_german = (" ".join(t.split() * 300) for t in (ENGLISH, GERMAN))
+    assert min(map(len, (long_english, long_german))) > li.FIT_CHARS
+    docs = make_docs([long_english] * 4 + [long_german] * 4, ["en"] * 4 + ["de"] * 4)
+    found = li.identify_languages(docs).collect()
+    assert [r.lang_pred for r in sorted(found, key=lambda r: r.doc_id)] == ["en"] * 4 + ["de"] * 4
+
+
+def test_short_texts_are_preferred_in_the_sample(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(li, "FIT_CHARS", 10)
+    seen = {}
+    monkeypatch.setattr(li, "fit_texts", lambda texts, langs: seen.update(texts=texts, langs=langs))
+    texts = ["a" * 5] * 30 + ["b" * 20] * 30 + ["c" * 30] * 5
+    langs = ["en"] * 30 + ["en"] * 30 + ["de"] * 5
+    from pyspark.sql import functions as F
+
+    li.fit_language_model(make_docs(texts, langs), F.lit(True), per_language=10)
+    assert Counter(zip(seen["langs"], map(len, seen["texts"]))) == {("en", 5): 10, ("de", 30): 5}
+    li.fit_language_model(make_docs(texts[:3] + texts[30:], langs[:3] + langs[30:]), F.lit(True), per_language=100)
+    assert Counter(zip(seen["langs"], map(len, seen["texts"]))) == {("en", 5): 3, ("en", 20): 30, ("de", 30): 5}
+
+
+def _gram_set(text, common):
+    out, kept = set(), []
+    for ch in text.lower():
+        symbol = (ch if ch in common else "?") if ch.isalpha() else " "
+        if symbol != " " or (kept and kept[-1] != " "):
+            kept.append(symbol)
+    kept = [" ", *kept, " "]
+    for n in (1, 2, 3):
+        out |= {tuple(kept[i : i + n]) for i in range(len(kept) - n + 1)}
+    return out
+
+
+def test_language_model_equals_plain_kernel_regression():
+    rng = random.Random(2)
+    texts = [" ".join(rng.sample(t.split(), 8)) + "!" for t in (ENGLISH, GERMAN) for _ in range(12)]
+    langs = ["en"] * 12 + ["de"] * 12
+    model = li.fit_texts(texts, langs)
+    letters = Counter(ch for t in texts for ch in t.lower() if ch.isalpha())
+    common = set(sorted(letters, key=lambda ch: (-letters[ch], ch))[: li.SYMBOLS - 2])
+    sets = [_gram_set(t, common) for t in texts]
+    vocabulary = set().union(*sets)  # every text is a landmark here
+
+    def kernel(a, b):
+        a, b = a & vocabulary, b & vocabulary
+        return len(a & b) / math.sqrt(max(1, len(a)) * max(1, len(b)))
+
+    k = np.array([[kernel(a, b) for b in sets] for a in sets])
+    values, vectors = np.linalg.eigh(k)
+    good = values > 1e-8 * values.max()
+    root = vectors[:, good] / np.sqrt(values[good])
+    phi = k @ root
+    y = np.array([[1.0 if lang == x else -1.0 for x in sorted(set(langs))] for lang in langs])
+    w = np.linalg.solve(phi.T @ phi + li.RIDGE * len(texts) * np.eye(phi.shape[1]) / 100, phi.T @ y)
+    new = [ENGLISH, GERMAN, "the walls", "Zauberer über alles", "qqq"]
+    want = np.array([[kernel(_gram_set(t, common), s) for s in sets] for t in new]) @ root @ w
+    got_langs, got_scores = li.score_texts(new, model)
+    assert got_langs == [sorted(set(langs))[i] for i in want.argmax(axis=1)]
+    margin = np.sort(want, axis=1)[:, -1] - np.sort(want, axis=1)[:, -2]
+    assert np.allclose(got_scores, 1 / (1 + np.exp(-li.SHARPNESS * margin)), atol=1e-3)
+
+
+def _toxic_table(spark, make_docs):
+    rng = random.Random(8)
+    words = ENGLISH.split()
+    texts, toxic = [], []
+    for i in range(160):
+        text = [rng.choice(words) for _ in range(12)]
+        bad = i % 3 == 0
+        if bad:
+            text.insert(rng.randrange(12), rng.choice(["idiot", "1d10t", "i d i o t!", "iddddiot", "moron", "m0ron"]))
+        texts.append(" ".join(text))
+        toxic.append(int(bad))
+    docs = make_docs([*texts, None, ""])
+    labels = spark.createDataFrame([(i, 1, t) for i, t in enumerate(toxic)], "doc_id bigint, quality int, toxic int")
+    return docs, labels, texts, toxic
+
+
+def test_toxicity_equals_a_plain_fit(spark, make_docs):
+    import zlib
+
+    docs, labels, texts, toxic = _toxic_table(spark, make_docs)
+    got = {r.doc_id: r for r in tx.score_toxicity(docs, labels).collect()}
+    train = [i for i in range(len(texts)) if zlib.crc32(str(i).encode()) % 5]
+    # Characters: counted by hand, borders as the module says.
+    grid = np.zeros(tx.SIZE**3, dtype=np.int64)
+    symbol = {ch: n + 1 for n, ch in enumerate(tx.LETTERS)}
+    parts = [texts[i] for i in train] + [""]
+    by_operator = tx.trigram_counts([texts[i] for i in train])
+    for at, text in enumerate(parts[:-1]):
+        s = [0, 0, *(symbol.get(ch, 0 if not ch.isalpha() else tx.SIZE - 1) for ch in text.lower())]
+        for x, y, z in zip(s, s[1:], s[2:]):
+            grid[(x * tx.SIZE + y) * tx.SIZE + z] += 1
+    assert (by_operator >= grid).all() and by_operator.sum() - grid.sum() <= 3 * len(parts)
+    model = tx.CharModel(by_operator)
+
+    def features(text):
+        text = text.lower()
+        words = {tx.restore(t, model) for t in text.split()}
+        for m in re.findall(tx._SPACED, text):
+            words |= set(tx.spaced_words(m, model))
+        return {f"w{w}" for w in words if len(w) >= 3} | {f"p{w[:n]}" for w in words for n in (4, 5, 6) if len(w) >= max(3, n)}
+
+    n = Counter(toxic[i] for i in train)
+    counts = {c: Counter(f for i in train if toxic[i] == c for f in features(texts[i])) for c in (0, 1)}
+    weights = {}
+    for f, n1 in counts[1].items():
+        n0 = counts[0][f]
+        if n1 < 3 or n1 * n[0] <= n0 * n[1] * 3:
+            continue
+        g, every = 0.0, n[0] + n[1]
+        for observed, of, share in ((n0, n0 + n1, n[0]), (n1, n0 + n1, n[1]), (n[0] - n0, every - n0 - n1, n[0]), (n[1] - n1, every - n0 - n1, n[1])):
+            if observed:
+                g += 2 * observed * math.log(observed / (of * share / every))
+        if g > tx.MIN_G:
+            weights[f] = math.log((n1 + 0.5) / (n[1] + 1)) - math.log((n0 + 0.5) / (n[0] + 1))
+    prior = math.log((n[1] + 0.5) / (n[0] + 0.5))
+    assert "widiot" in weights
+    for i, text in enumerate(texts):
+        want = 1 / (1 + math.exp(-(prior + sum(weights.get(f, 0) for f in features(text)))))
+        assert abs(got[i].score - want) < 1e-9
+    assert abs(got[160].score - 1 / (1 + math.exp(-prior))) < 1e-9 and got[161].score == got[160].score
+
+
+def test_toxicity_with_a_table_of_weights(spark, make_docs, monkeypatch):
+    docs, labels, _, _ = _toxic_table(spark, make_docs)
+    want = {r.doc_id: tuple(r) for r in tx.score_toxicity(docs, labels).collect()}
+    monkeypatch.setattr(tx, "BROADCAST_FEATURES", 0)
+    got = {r.doc_id: tuple(r) for r in tx.score_toxicity(docs.selectExpr("*", "1 as row", "2 as x", "3 as feature"), labels).collect()}
+    assert got.keys() == want.keys()
+    assert all(abs(got[i][2] - want[i][2]) < 1e-9 and got[i][3] == want[i][3] for i in want)
