@@ -178,7 +178,9 @@ def pack_documents(
     text = F.coalesce(F.col("text"), F.lit(""))
     pieces = cut(
         docs.select("doc_id", _pieces(text, path, capacity, end_id).alias("pieces")).select(
-            "doc_id", F.inline("pieces")
+            # Not inline(): that infers a filter on the pieces, which would tokenize every text twice.
+            "doc_id",
+            F.inline_outer("pieces"),
         )
     )
     counts = {int(r.length): r.n for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
