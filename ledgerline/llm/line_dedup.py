@@ -1,20 +1,23 @@
 """Line deduplication by a segment-partition edit join; DataFrame functions only.
 
 Lines are compared in a normal form: lower case, white space runs as one space, trimmed.
-Lines of fewer than ``MIN_CHARS`` characters repeat by chance and are left alone.
 
-* Exact repeats: one row for each distinct line (partial aggregation folds a very
-  common line inside each task); all but its first place, by (doc_id, position), go.
+* Exact repeats, of all lines that are not blank: one row for each distinct line, told apart by 128 bits
+  (partial aggregation folds a very common line inside each task); all but its first
+  place, by (doc_id, position), count as repeats.  They go, but lines of fewer than ``MIN_CHARS``
+  characters stay in the text unless ``drop_short`` is set: they repeat in sound texts, too.
 * Near repeats: distinct lines within ``EDITS`` edits of each other are linked.  A line goes
-  if it is linked to a line whose first place is earlier.
+  if it is linked to a line whose first place is earlier.  Lines of fewer than ``MIN_CHARS``
+  characters are within that distance by chance and are not linked.
 
 The join: a line of n characters is cut into EDITS + 1 segments of nearly equal
 length.  EDITS edits leave one segment intact in any line within that distance, and
 only few starts can hold it there (the shift is limited by the lengths and by the
 segment's number).  So each line is indexed once for each segment, under (its
 length, segment number, segment), and probes the indexes of lines up to EDITS
-shorter with the substrings at those starts.  Index entries and probes without a partner of another line go
-(two semi-joins); the rest get their lines' texts, and the join on the key
+shorter with the substrings at those starts.  Index entries are folded to one row for each key (its
+smallest and largest line), and probes without a partner of another line go; then index entries
+without such a probe.  The rest get their lines' texts, and the join on the key
 returns the pairs that ``levenshtein(a, b, EDITS)``, which computes the diagonal band
 only, verifies: pairs that merely share a segment are never made.
 
@@ -48,12 +51,18 @@ def with_normal_form(docs: DataFrame) -> DataFrame:
     return docs.withColumn("lower_text", F.lower("text")).withColumn("normal", normal).drop("lower_text")
 
 
-def long_lines(docs: DataFrame, min_chars: int) -> DataFrame:
-    """``doc_id, pos, line`` (normal form) and its length ``n``, of the lines that take part."""
+def all_lines(docs: DataFrame) -> DataFrame:
+    """``doc_id, pos, line`` (normal form) and its length ``n``, of the lines that are not blank."""
     lines = with_normal_form(docs.select("doc_id", "text").where("doc_id is not null and text is not null")).select(
-        "doc_id", F.posexplode(F.split("normal", "\n")).alias("pos", "line")
+        # Not posexplode(): that infers a filter on the lines, which would make the normal form twice.
+        "doc_id", F.posexplode_outer(F.split("normal", "\n")).alias("pos", "line")
     )
-    return lines.withColumn("n", F.length("line")).where(F.col("n") >= min_chars)
+    return lines.withColumn("n", F.length("line")).where(F.col("n") > 0)
+
+
+def line_hashes(line: Column) -> tuple[Column, Column]:
+    """128 bits of a line: ``id`` and ``id2``."""
+    return F.xxhash64(line).alias("id"), F.xxhash64(F.lit("line"), line).alias("id2")
 
 
 def _place(doc_id: Column, pos: Column) -> Column:
@@ -99,98 +108,105 @@ def probe_keys(lines: DataFrame, edits: int) -> DataFrame:
     return _keys(lines, places, edits)
 
 
+def _with_partner(keys: DataFrame, others: DataFrame) -> DataFrame:
+    """``id, key`` of ``keys`` whose key some row of another line in ``others`` has; each pair once."""
+    # Smallest and largest line of a key: one row, whatever the number of rows; a hash table of them
+    # spares the sort of all keys.
+    ends = others.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"))
+    met = keys.join(ends.hint("shuffle_hash"), "key").where((F.col("low") != F.col("id")) | (F.col("high") != F.col("id")))
+    return met.select("id", "key").distinct()
+
+
 def near_links(lines: DataFrame, texts_of, edits: int) -> DataFrame:
-    """``a, b``: pairs of lines (``id, line, n``) within ``edits`` of each other, each pair once.
+    """``a, a2, b, b2``: pairs of lines (``id, line, n``) within ``edits`` of each other, each pair once.
 
-    ``texts_of(ids)`` gives ``id, line`` for a table of ids.
+    ``texts_of(ids)`` gives ``id, id2, line`` for a table of ids.
     """
-    i, p = index_keys(lines, edits).alias("i"), probe_keys(lines, edits).alias("p")
-    met = (F.col("i.key") == F.col("p.key")) & (F.col("i.id") != F.col("p.id"))
-    # One row for each line and key: the texts of a line may stand in several documents.
-    partnered = written(
-        p.join(i, met, "left_semi").distinct().withColumn("probes", F.lit(True))
-        .union(i.join(p, met, "left_semi").distinct().withColumn("probes", F.lit(False))),
-        "partners",
-    )
-    named = partnered.join(texts_of(partnered.select("id").distinct()), "id")
-    left = named.where("probes").select("key", F.col("id").alias("a"), F.col("line").alias("line_a"))
-    right = named.where("not probes").select("key", F.col("id").alias("b"), F.col("line").alias("line_b"))
+    index = index_keys(lines, edits)
+    probes = written(_with_partner(probe_keys(lines, edits), index), "probes")
+    entries = written(_with_partner(index, probes), "entries")
+    texts = written(texts_of(probes.select("id").union(entries.select("id")).distinct()), "partners")
+    left = probes.join(texts, "id").select("key", F.struct("id", "id2").alias("a"), F.col("line").alias("line_a"))
+    right = entries.join(texts, "id").select("key", F.struct("id", "id2").alias("b"), F.col("line").alias("line_b"))
     close = (F.col("a") != F.col("b")) & (F.levenshtein("line_a", "line_b", edits) >= 0)
-    return (
-        left.join(right, "key")
-        .where(close)
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
-    )
+    pair = left.join(right, "key").where(close).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return pair.select(
+        F.col("a.id").alias("a"), F.col("a.id2").alias("a2"), F.col("b.id").alias("b"), F.col("b.id2").alias("b2")
+    ).distinct()
 
 
 def repeated_lines(docs: DataFrame, *, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``doc_id, pos, exact, near, links`` of every line that takes part."""
+    """``doc_id, pos, short, exact, near, links`` of every line that is not blank."""
     if min_chars <= 2 * edits:
         raise ValueError("lines must be longer than twice the edits")
     plain = docs.select("doc_id", "text").where("doc_id is not null")
-    lines = long_lines(plain, min_chars).withColumn("id", F.xxhash64("line"))
+    lines = all_lines(plain)
     # Places and line numbers, without texts, are read several times.
-    rows = written(lines.select("doc_id", "pos", "id"), "lines").withColumn(
+    short = (F.col("n") < min_chars).alias("short")
+    rows = written(lines.select("doc_id", "pos", short, *line_hashes(F.col("line"))), "lines").withColumn(
         "place", _place(F.col("doc_id"), F.col("pos"))
     )
-    firsts = rows.groupBy("id").agg(F.min("place").alias("first"))
+    firsts = rows.groupBy("id", "id2").agg(F.min("place").alias("first"))
 
     def texts_of(ids: DataFrame) -> DataFrame:
         """From the document and position where a line stands first."""
         base = F.lit(2**32).cast("decimal(11,0)")
         doc = F.floor(F.col("first") / base)
         at = ids.join(firsts, "id").select(
-            "id", doc.cast("long").alias("doc_id"), (F.col("first") - doc * base).cast("int").alias("pos")
+            "id", "id2", doc.cast("long").alias("doc_id"), (F.col("first") - doc * base).cast("int").alias("pos")
         )
         # One row for each document, so that its text is split once.
-        wanted = at.groupBy("doc_id").agg(F.collect_list(F.struct("id", "pos")).alias("wanted"))
+        wanted = at.groupBy("doc_id").agg(F.collect_list(F.struct("id", "id2", "pos")).alias("wanted"))
         held = with_normal_form(plain.join(wanted, "doc_id")).select(
-            F.inline(
+            F.inline_outer(
                 _with(
                     F.split("normal", "\n"),
                     lambda lines: F.transform(
-                        "wanted", lambda w: F.struct(w["id"].alias("id"), F.get(lines, w["pos"]).alias("line"))
+                        "wanted", lambda w: F.struct(w["id"].alias("id"), w["id2"].alias("id2"), F.get(lines, w["pos"]).alias("line"))
                     ),
                 )
             )
         )
         # Rows that share an id may hold other lines there.
-        return held.where(F.xxhash64("line") == F.col("id")).distinct()
+        same = [hashed == F.col(c) for hashed, c in zip(line_hashes(F.col("line")), ("id", "id2"))]
+        return held.where(same[0] & same[1]).distinct()
 
-    links = near_links(lines.select("id", "line", "n"), texts_of, edits)
+    long = lines.where(F.col("n") >= min_chars).select(F.xxhash64("line").alias("id"), "line", "n")
+    links = near_links(long, texts_of, edits)
     both = (
-        links.join(firsts.select(F.col("id").alias("a"), F.col("first").alias("first_a")), "a")
-        .join(firsts.select(F.col("id").alias("b"), F.col("first").alias("first_b")), "b")
+        links.join(firsts.select(F.col("id").alias("a"), F.col("id2").alias("a2"), F.col("first").alias("first_a")), ["a", "a2"])
+        .join(firsts.select(F.col("id").alias("b"), F.col("id2").alias("b2"), F.col("first").alias("first_b")), ["b", "b2"])
         .select(
             F.inline(
                 F.array(
-                    F.struct(F.col("a").alias("id"), (F.col("first_b") < F.col("first_a")).alias("later")),
-                    F.struct(F.col("b").alias("id"), (F.col("first_a") < F.col("first_b")).alias("later")),
+                    F.struct(F.col("a").alias("id"), F.col("a2").alias("id2"), (F.col("first_b") < F.col("first_a")).alias("later")),
+                    F.struct(F.col("b").alias("id"), F.col("b2").alias("id2"), (F.col("first_a") < F.col("first_b")).alias("later")),
                 )
             )
         )
     )
-    near = both.groupBy("id").agg(F.max("later").alias("near"), F.count(F.lit(1)).alias("links"))
-    marked = firsts.join(near, "id", "left")
-    return rows.join(marked, "id").select(
+    near = both.groupBy("id", "id2").agg(F.max("later").alias("near"), F.count(F.lit(1)).alias("links"))
+    marked = firsts.join(near, ["id", "id2"], "left")
+    return rows.join(marked, ["id", "id2"]).select(
         "doc_id",
         "pos",
+        "short",
         (F.col("place") != F.col("first")).alias("exact"),
         F.coalesce("near", F.lit(False)).alias("near"),
         F.coalesce("links", F.lit(0)).alias("links"),
     )
 
 
-def _by_document(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
+def _by_document(docs: DataFrame, edits: int, min_chars: int, drop_short: bool) -> DataFrame:
     """Per document that has repeated or linked lines: what goes, and counts."""
     marked = repeated_lines(docs, edits=edits, min_chars=min_chars).where("exact or near or links > 0")
+    goes = (F.col("exact") | F.col("near")) & (F.lit(drop_short) | ~F.col("short"))
     # One row for each place: rows that share an id count once.
     return (
         marked.distinct()
         .groupBy("doc_id")
         .agg(
-            F.collect_list(F.when(F.col("exact") | F.col("near"), F.col("pos"))).alias("gone"),
+            F.collect_list(F.when(goes, F.col("pos"))).alias("gone"),
             F.count_if(F.col("exact")).alias("n_exact"),
             F.count_if(F.col("near") & ~F.col("exact")).alias("n_near"),
             F.sum("links").alias("n_links"),
@@ -211,9 +227,11 @@ def _kept_text(text: Column, gone: Column) -> Column:
     return _with(F.split(text, "\n"), rest)
 
 
-def dedup_lines(docs: DataFrame, *, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, *, edits: int = EDITS, min_chars: int = MIN_CHARS, drop_short: bool = False
+) -> DataFrame:
     """Per row: ``doc_id, n_lines, n_exact, n_near, n_links, text`` (without the repeated lines)."""
-    found = _by_document(docs, edits, min_chars)
+    found = _by_document(docs, edits, min_chars, drop_short)
     text = F.when(F.size("gone") > 0, _kept_text(F.col("text"), F.col("gone"))).otherwise(F.col("text"))
     n_lines = F.size(F.array_remove(F.split("normal", "\n"), ""))
     plain = docs.select("doc_id", "text")
@@ -228,7 +246,9 @@ def dedup_lines(docs: DataFrame, *, edits: int = EDITS, min_chars: int = MIN_CHA
     )
 
 
-def without_repeated_lines(docs: DataFrame, *, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def without_repeated_lines(
+    docs: DataFrame, *, edits: int = EDITS, min_chars: int = MIN_CHARS, drop_short: bool = False
+) -> DataFrame:
     """``docs`` with its own columns and the texts that are left (``n_chars`` follows).
 
     A document of which only blank lines would be left goes; one without
@@ -236,7 +256,7 @@ def without_repeated_lines(docs: DataFrame, *, edits: int = EDITS, min_chars: in
     """
     document = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     packed = docs.select(F.col("doc_id").alias("doc_id"), F.col("text").alias("text"), document.alias("document"))
-    found = _by_document(docs, edits, min_chars).select("doc_id", "gone").where(F.size("gone") > 0)
+    found = _by_document(docs, edits, min_chars, drop_short).select("doc_id", "gone").where(F.size("gone") > 0)
     left = packed.join(found, "doc_id", "left").withColumn(
         "left_text", F.when(F.col("gone").isNotNull(), _kept_text(F.col("text"), F.col("gone"))).otherwise(F.col("text"))
     )

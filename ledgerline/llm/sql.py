@@ -63,16 +63,16 @@ WITH parts AS (
 every AS (
   SELECT doc_id, pos, raw, trim(regexp_replace(lower(raw), '[ \\t-\\r]+', ' ', 'g'), ' ') AS line FROM parts
 ),
-rows_ AS (SELECT doc_id, pos, line, translate(line, '{_LATIN}', '{_FREE}') AS one FROM every WHERE length(line) >= 24),
+rows_ AS (SELECT doc_id, pos, line, translate(line, '{_LATIN}', '{_FREE}') AS one FROM every WHERE line <> ''),
 firsts AS (SELECT line, one, length(line) AS n, min((doc_id, pos)) AS place FROM rows_ GROUP BY ALL),
 links AS (
   SELECT a.line AS line, b.place < a.place AS later FROM firsts a JOIN firsts b
-    ON b.n BETWEEN a.n - 2 AND a.n + 2 AND a.line <> b.line
+    ON a.n >= 24 AND b.n >= 24 AND b.n BETWEEN a.n - 2 AND a.n + 2 AND a.line <> b.line
   WHERE levenshtein(a.one, b.one) <= 2
 ),
 near AS (SELECT line, bool_or(later) AS near, count(*) AS links FROM links GROUP BY line),
 marked AS (
-  SELECT r.doc_id, r.pos, (r.doc_id, r.pos) <> f.place AS exact, coalesce(n.near, false) AS near,
+  SELECT r.doc_id, r.pos, f.n < 24 AS short, (r.doc_id, r.pos) <> f.place AS exact, coalesce(n.near, false) AS near,
          coalesce(n.links, 0) AS links
   FROM rows_ r JOIN firsts f USING (line) LEFT JOIN near n USING (line)
 ),
@@ -80,7 +80,7 @@ kept AS (
   SELECT e.doc_id, count(*) FILTER (e.line <> '') AS n_lines,
          count(*) FILTER (m.exact) AS n_exact, count(*) FILTER (m.near AND NOT m.exact) AS n_near,
          coalesce(sum(m.links), 0) AS n_links,
-         string_agg(e.raw, chr(10) ORDER BY e.pos) FILTER (NOT coalesce(m.exact OR m.near, false)) AS text
+         string_agg(e.raw, chr(10) ORDER BY e.pos) FILTER (NOT coalesce((m.exact OR m.near) AND NOT m.short, false)) AS text
   FROM every e LEFT JOIN marked m USING (doc_id, pos) GROUP BY e.doc_id
 )
 SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_exact, 0) AS n_exact, coalesce(n_near, 0) AS n_near,

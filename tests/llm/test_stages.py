@@ -191,3 +191,13 @@ def test_toxicity_with_a_table_of_weights(spark, make_docs, monkeypatch):
     got = {r.doc_id: tuple(r) for r in tx.score_toxicity(docs.selectExpr("*", "1 as row", "2 as x", "3 as feature"), labels).collect()}
     assert got.keys() == want.keys()
     assert all(abs(got[i][2] - want[i][2]) < 1e-9 and got[i][3] == want[i][3] for i in want)
+
+
+def test_short_lines_are_counted_and_go_on_request_only(spark, make_docs):
+    from ledgerline.llm.line_dedup import dedup_lines
+
+    docs = make_docs(["Read more here\nalpha", "beta\nread  MORE here", "Read more here"])
+    kept = {r.doc_id: (r.n_exact, r.text) for r in dedup_lines(docs).collect()}
+    assert kept == {0: (0, "Read more here\nalpha"), 1: (1, "beta\nread  MORE here"), 2: (1, "Read more here")}
+    dropped = {r.doc_id: (r.n_exact, r.text) for r in dedup_lines(docs, drop_short=True).collect()}
+    assert dropped == {0: (0, "Read more here\nalpha"), 1: (1, "beta"), 2: (1, "")}
