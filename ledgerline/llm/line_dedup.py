@@ -15,9 +15,10 @@ length.  EDITS edits leave one segment intact in any line within that distance,
 only few starts can hold it there (the shift is limited by the lengths and by the
 segment's number).  So each line is indexed once for each segment, under (its
 length, segment number, segment), and probes the indexes of lines up to EDITS
-shorter with the substrings at those starts.  Index entries are folded to one row for each key (its
-smallest and largest line), and probes without a partner of another line go; then index entries
-without such a probe.  The rest get their lines' texts, and the join on the key
+shorter with the substrings at those starts.  A line's index entries are among its probes (its own
+segments at their own starts), so one table of keys serves both: it is dealt by key
+once, folded to one row for each key with the smallest and largest line of both kinds, and rows that
+meet no other line go.  The rest get their lines' texts, and the join on the key
 returns the pairs that ``levenshtein(a, b, EDITS)``, which computes the diagonal band
 only, verifies: pairs that merely share a segment are never made.
 
@@ -36,19 +37,24 @@ from ledgerline.llm.common import written
 
 MIN_CHARS = 24
 EDITS = 2
+MOST_COMMON = 100_000
+REPEATS = 100  # lines up to here are not common
 
 
-def with_normal_form(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``normal``: the text with its lines in normal form."""
-    lower = F.col("lower_text")
+def _squeezed(text: Column) -> Column:
+    """``text`` with runs of white space as one space and none at the ends of lines."""
     # Most texts have no white space but single spaces inside lines and line breaks.
-    odd = lower.startswith(" ") | lower.endswith(" ")
+    odd = text.startswith(" ") | text.endswith(" ")
     for spaces in ("\t", "\x0b", "\f", "\r", "  ", " \n", "\n "):
-        odd = odd | lower.contains(spaces)
-    squeezed = F.regexp_replace(lower, "[ \\t\\x0B\\f\\r]+", " ")
-    normal = F.when(odd, F.trim(F.regexp_replace(squeezed, " ?\n ?", "\n"))).otherwise(lower)
+        odd = odd | text.contains(spaces)
+    squeezed = F.regexp_replace(text, "[ \\t\\x0B\\f\\r]+", " ")
+    return F.when(odd, F.trim(F.regexp_replace(squeezed, " ?\n ?", "\n"))).otherwise(text)
+
+
+def with_normal_form(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``normal``: the text with its lines in normal form."""
     # A column of its own: generators and lambdas would compute it again for each use.
-    return docs.withColumn("lower_text", F.lower("text")).withColumn("normal", normal).drop("lower_text")
+    return docs.withColumn("lower_text", F.lower("text")).withColumn("normal", _squeezed(F.col("lower_text"))).drop("lower_text")
 
 
 def all_lines(docs: DataFrame) -> DataFrame:
@@ -80,41 +86,41 @@ def _segment(n: Column, i: Column, edits: int) -> tuple[Column, Column]:
     return base * i + F.greatest(F.lit(0), over), base + F.when(over >= 0, 1).otherwise(0)
 
 
-def _keys(lines: DataFrame, places: list[tuple[int, int, int]], edits: int) -> DataFrame:
-    """``id, key`` of each line's pieces at ``places``: (characters shorter, segment, shift).
-
-    One generated row for each place and one expression for all, which stays small
-    enough to be compiled.
-    """
-    at = F.array(*[F.struct(*[F.lit(x).alias(c) for x, c in zip(place, ("less", "i", "shift"))]) for place in places])
-    m, i = F.col("n") - F.col("less"), F.col("i")
-    start, size = _segment(m, i, edits)
-    piece = F.substring(F.col("line"), start + F.col("shift") + 1, size)
-    return lines.select("id", "line", "n", F.inline(at)).select("id", F.xxhash64(m, i, piece).alias("key"))
-
-
-def index_keys(lines: DataFrame, edits: int) -> DataFrame:
-    return _keys(lines, [(0, i, 0) for i in range(edits + 1)], edits)
-
-
-def probe_keys(lines: DataFrame, edits: int) -> DataFrame:
-    """Keys of the substrings that an intact segment of a line at most ``edits`` shorter can be."""
+def line_keys(lines: DataFrame, edits: int) -> DataFrame:
+    """``id, key, own``: for each line (``id, line, n``) the keys of the substrings that an intact segment of a
+    line at most ``edits`` shorter can be; ``own``: of its own segments, under which it is indexed."""
     places = [
         (less, i, shift)
         for less in range(edits + 1)
         for i in range(edits + 1)
         for shift in range(max(-i, less - (edits - i)), min(i, less + (edits - i)) + 1)
     ]
-    return _keys(lines, places, edits)
-
-
-def _with_partner(keys: DataFrame, others: DataFrame) -> DataFrame:
-    """``id, key`` of ``keys`` whose key some row of another line in ``others`` has; each pair once."""
-    # Smallest and largest line of a key: one row, whatever the number of rows; a hash table of them
-    # spares the sort of all keys.
-    ends = others.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-    met = keys.join(ends.hint("shuffle_hash"), "key").where((F.col("low") != F.col("id")) | (F.col("high") != F.col("id")))
-    return met.select("id", "key").distinct()
+    # One generated row for each place and one expression for all, which stays small enough to be compiled.
+    at = F.array(*[F.struct(*[F.lit(x).alias(c) for x, c in zip(place, ("less", "i", "shift"))]) for place in places])
+    m, i = F.col("n") - F.col("less"), F.col("i")
+    start, size = _segment(m, i, edits)
+    piece = F.substring(F.col("line"), start + F.col("shift") + 1, size)
+    own = (F.col("less") == 0) & (F.col("shift") == 0)
+    return lines.select("id", "line", "n", F.inline(at)).select("id", F.xxhash64(m, i, piece).alias("key"), own.alias("own"))
+
+
+def partnered_keys(lines: DataFrame, edits: int) -> DataFrame:
+    """``id, key, probes, indexed``: keys under which a line meets another one, as probe or as index entry."""
+    parts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Dealt once, read twice: for each key's ends, and for the rows that meet them.
+    keys = line_keys(lines, edits).repartition(parts, "key")
+    own = F.when(F.col("own"), F.col("id"))
+    ends = (
+        keys.groupBy("key")
+        .agg(F.min(own).alias("low"), F.max(own).alias("high"), F.min("id").alias("least"), F.max("id").alias("most"))
+        .where("low is not null and least != most")
+    )
+    probes = (F.col("low") != F.col("id")) | (F.col("high") != F.col("id"))
+    indexed = F.col("own") & ((F.col("least") != F.col("id")) | (F.col("most") != F.col("id")))
+    met = keys.join(ends.hint("shuffle_hash"), "key").select("id", "key", probes.alias("probes"), indexed.alias("indexed"))
+    return met.where("probes or indexed").groupBy("id", "key").agg(
+        F.max("probes").alias("probes"), F.max("indexed").alias("indexed")
+    )
 
 
 def near_links(lines: DataFrame, texts_of, edits: int) -> DataFrame:
@@ -122,12 +128,10 @@ def near_links(lines: DataFrame, texts_of, edits: int) -> DataFrame:
 
     ``texts_of(ids)`` gives ``id, id2, line`` for a table of ids.
     """
-    index = index_keys(lines, edits)
-    probes = written(_with_partner(probe_keys(lines, edits), index), "probes")
-    entries = written(_with_partner(index, probes), "entries")
-    texts = written(texts_of(probes.select("id").union(entries.select("id")).distinct()), "partners")
-    left = probes.join(texts, "id").select("key", F.struct("id", "id2").alias("a"), F.col("line").alias("line_a"))
-    right = entries.join(texts, "id").select("key", F.struct("id", "id2").alias("b"), F.col("line").alias("line_b"))
+    partnered = written(partnered_keys(lines, edits), "partners")
+    named = partnered.join(texts_of(partnered.select("id").distinct()), "id")
+    left = named.where("probes").select("key", F.struct("id", "id2").alias("a"), F.col("line").alias("line_a"))
+    right = named.where("indexed").select("key", F.struct("id", "id2").alias("b"), F.col("line").alias("line_b"))
     close = (F.col("a") != F.col("b")) & (F.levenshtein("line_a", "line_b", edits) >= 0)
     pair = left.join(right, "key").where(close).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     return pair.select(
@@ -171,8 +175,15 @@ def repeated_lines(docs: DataFrame, *, edits: int = EDITS, min_chars: int = MIN_
         same = [hashed == F.col(c) for hashed, c in zip(line_hashes(F.col("line")), ("id", "id2"))]
         return held.where(same[0] & same[1]).distinct()
 
-    long = lines.where(F.col("n") >= min_chars).select(F.xxhash64("line").alias("id"), "line", "n")
-    links = near_links(long, texts_of, edits)
+    # Of a line with more than one in MOST_COMMON of all places (fewer than MOST_COMMON lines, a broadcast of
+    # a proven size) only the first place makes keys, so no key is dealt more rows than that by one line.
+    common = rows.groupBy("id").agg(F.count(F.lit(1)).alias("times"), F.min("place").alias("only"))
+    common = common.where(F.col("times") > F.greatest(F.lit(REPEATS), rows.agg(F.count(F.lit(1))).scalar() / MOST_COMMON))
+    long = lines.where(F.col("n") >= min_chars).withColumn("id", F.xxhash64("line"))
+    once = long.join(F.broadcast(common.select("id", "only")), "id", "left").where(
+        F.col("only").isNull() | (F.col("only") == _place(F.col("doc_id"), F.col("pos")))
+    )
+    links = near_links(once.select("id", "line", "n"), texts_of, edits)
     both = (
         links.join(firsts.select(F.col("id").alias("a"), F.col("id2").alias("a2"), F.col("first").alias("first_a")), ["a", "a2"])
         .join(firsts.select(F.col("id").alias("b"), F.col("id2").alias("b2"), F.col("first").alias("first_b")), ["b", "b2"])
@@ -233,12 +244,12 @@ def dedup_lines(
     """Per row: ``doc_id, n_lines, n_exact, n_near, n_links, text`` (without the repeated lines)."""
     found = _by_document(docs, edits, min_chars, drop_short)
     text = F.when(F.size("gone") > 0, _kept_text(F.col("text"), F.col("gone"))).otherwise(F.col("text"))
-    n_lines = F.size(F.array_remove(F.split("normal", "\n"), ""))
+    n_lines = F.size(F.array_remove(F.split(_squeezed(F.col("text")), "\n"), ""))
     plain = docs.select("doc_id", "text")
     # Rows with an id meet the findings in the same order in which the lines' texts were fetched.
     met = plain.where("doc_id is not null").join(found, "doc_id", "left")
     every = met.unionByName(plain.where("doc_id is null"), allowMissingColumns=True)
-    return with_normal_form(every).select(
+    return every.select(
         "doc_id",
         F.coalesce(n_lines, F.lit(0)).cast("long").alias("n_lines"),
         *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_exact", "n_near", "n_links")],
