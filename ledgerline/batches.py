@@ -4,6 +4,7 @@
     {store}/transactions/batch=<id>/month=YYYYMM/  transactions also by month of their date
     {store}/_replaced/{table}/batch=<id>/          (key, batch) of the versions that <id> replaces
     {store}/_rejected/{table}/batch=<id>/          malformed records, with file and reason
+    {store}/_daily/batch=<id>/month=YYYYMM/        what the batch adds to the daily sums of transactions
     {store}/_batches/<number>                      one small JSON marker for each published batch
 
 **Publishing.**  A batch writes the folders named after its id, overwriting what an
@@ -44,6 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ledgerline.files import file_system, path_exists, remove_path
+from ledgerline.operators.rollup import KEYS, MEASURES, daily_rollup, merged
 from ledgerline.schemas import CLUSTER_KEYS, LOAD_ORDER, PRIMARY_KEYS, TABLE_SCHEMAS
 from ledgerline.session import scratch_path
 from ledgerline.tables import BankTables
@@ -51,6 +53,7 @@ from ledgerline.tables import BankTables
 MARKERS = "_batches"
 REPLACED = "_replaced"
 QUARANTINE = "_rejected"
+DAILY = "_daily"
 # Partition columns below batch=<id>, and how they follow from a row.
 MONTH = {"transactions": ("month", "transaction_date")}
 COUNTS = ("delivered", "new", "changed", "equal", "no_key", "replaced", "malformed")
@@ -159,6 +162,9 @@ def _write_table(spark: SparkSession, delivered: DataFrame, store: str, table: s
     )
     _write_rows(rows.select(*columns), path, table)
     remove_path(spark, touched_path)
+    if table == "transactions":
+        taken = old.join(gone, (old[f"old_{pk}"] == gone["gone_key"]) & (old["old_batch"] == gone["gone_batch"]), "left_semi")
+        _write_daily(spark, path, taken.select(*[F.col(f"old_{c}").alias(c) for c in columns]) if replaced else None, store, batch)
     made = spark.read.schema(TABLE_SCHEMAS[table]).parquet(path)
     n = made.agg(F.count(F.lit(1)).alias("written"), F.count(pk).alias("keyed")).first()
     changed = made.join(gone, made[pk] == gone["gone_key"], "left_semi").count() if replaced else 0
@@ -173,6 +179,32 @@ def _write_table(spark: SparkSession, delivered: DataFrame, store: str, table: s
     }
 
 
+def _write_daily(spark: SparkSession, path: str, replaced: DataFrame | None, store: str, batch: str) -> None:
+    """The daily sums of a batch's rows at ``path``, less those of the rows that they replace."""
+    parts = daily_rollup(spark.read.schema(TABLE_SCHEMAS["transactions"]).parquet(path))
+    if replaced is not None:
+        parts = merged(parts.unionByName(daily_rollup(replaced, sign=-1)), keep_empty=True)
+    out = parts.withColumn("month", month_of(F.col("transaction_date")))
+    # A month's sums of a batch go to few files, and its largest months to several.
+    out.hint("rebalance", F.col("month")).write.mode("overwrite").partitionBy("month").parquet(f"{store.rstrip('/')}/{DAILY}/batch={batch}")
+
+
+def read_daily(spark: SparkSession, store: str) -> DataFrame:
+    """The daily sums of the current transactions (``ledgerline.operators.rollup``), with ``month``."""
+    base = f"{store.rstrip('/')}/{DAILY}"
+    markers = published(spark, store)
+    since = max((i for i, m in enumerate(markers) if m.get("compacts")), default=0)
+    paths = [f"{base}/batch={m['batch']}" for m in markers[since:] if m["tables"].get("transactions", {}).get("written")]
+    schema = (
+        "account_id bigint, transaction_date date, transaction_type string, n_rows bigint, n_amounts bigint, "
+        "amount_sum decimal(38,6), month int"
+    )
+    if not paths:
+        return spark.createDataFrame([], schema)
+    parts = spark.read.schema(schema).option("basePath", base).parquet(*paths).select(*KEYS, *MEASURES, "month")
+    return merged(parts) if len(paths) > 1 else parts
+
+
 def _write_rows(rows: DataFrame, path: str, table: str) -> None:
     if table in MONTH:
         name, date = MONTH[table]
@@ -263,6 +295,8 @@ def compact_store(spark: SparkSession, store: str, batch: str) -> dict[str, dict
     for name in LOAD_ORDER:
         path = f"{store.rstrip('/')}/{name}/batch={batch}"
         _write_rows(_rows_of(spark, store, name, markers).select(*[f.name for f in TABLE_SCHEMAS[name].fields]), path, name)
+        if name == "transactions":
+            _write_daily(spark, path, None, store, batch)
         n = spark.read.schema(TABLE_SCHEMAS[name]).parquet(path).count()
         counts[name] = dict.fromkeys(COUNTS, 0) | {"delivered": n, "equal": n, "written": n}
     number = markers[-1]["number"] + 1 if markers else 1
@@ -275,6 +309,7 @@ def drop_compacted(spark: SparkSession, store: str) -> list[str]:
     markers = published(spark, store)
     at = max((i for i, m in enumerate(markers) if m.get("compacts")), default=0)
     for marker in markers[:at]:
+        remove_path(spark, f"{store.rstrip('/')}/{DAILY}/batch={marker['batch']}")
         for name in LOAD_ORDER:
             for base in (store.rstrip("/"), f"{store.rstrip('/')}/{REPLACED}"):
                 remove_path(spark, f"{base}/{name}/batch={marker['batch']}")

@@ -14,16 +14,18 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.batches import publish_batch, published, read_store
+from ledgerline.batches import publish_batch, published, read_daily, read_store
 from ledgerline.functions.casting import cast_to_schema
 from ledgerline.operators import BANKING_QUERIES, check_constraints, latest_rows, unpack_q1a, word_count
 from ledgerline.operators.basic import total_balance_by_type
 from ledgerline.operators.movements import running_balances
 from ledgerline.operators.quality import duplicate_account_types
+from ledgerline.operators.rollup import ROLLUP_QUERIES
 from ledgerline.plans.pipeline import run_pipeline
 from ledgerline.schemas import ACCOUNTS, CUSTOMERS, TABLE_SCHEMAS, TRANSACTIONS
 from ledgerline.session import scratch_path
 from ledgerline.sinks.csv import write_csv_table
+from ledgerline.sinks.envelope_runs import latest_page, unpack_run, write_envelope_run
 from ledgerline.sinks.results import to_envelope, write_result_envelope, write_result_parquet
 from ledgerline.sinks.tables import append_table
 from ledgerline.sources.csv import read_csv_table, read_csv_with_rejects, rejects, sound
@@ -237,6 +239,47 @@ def _on_store(key: str) -> QueryFn:
     return run
 
 
+def _on_rollup(key: str) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = scratch_path(spark, "batches")
+        tables = bank_tables_from_testdata(spark, sf_dir)
+        wrong = F.when(F.col("transaction_id") % 3 == 0, F.col("amount") + 1).otherwise(F.col("amount"))
+        # Part of the rows first, some of them wrong; then all of them, which replaces the wrong ones.
+        first = tables.transactions.where("transaction_id % 2 = 0").withColumn("amount", wrong)
+        publish_batch(spark, {"customers": tables.customers, "accounts": tables.accounts, "transactions": first}, path, "day1")
+        publish_batch(spark, {"transactions": tables.transactions}, path, "day2")
+        return ROLLUP_QUERIES[key](read_daily(spark, path), read_store(spark, path), TESTDATA_AS_OF)
+
+    run.__name__ = f"rollup_{key}"
+    run.__doc__ = f"{key} on the daily sums of a store after two batches, the second with corrections."
+    return run
+
+
+def envelope_page_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E6 and E8 by run: three runs of q4c, one of them written twice; the newest page."""
+    path = scratch_path(spark, "envelope-runs")
+    found = duplicate_account_types(bank_tables_from_testdata(spark, sf_dir), TESTDATA_AS_OF)
+    few = found.where("customer_id % 97 = 0")
+    for days, rows in ((0, found.drop("total_accounts_of_type")), (2, few), (2, few), (1, found)):
+        write_envelope_run(rows, "q4c", path, ENVELOPE_RUN_TS + _dt.timedelta(days=days))
+    return latest_page(spark, path, "q4c", 50)
+
+
+def envelope_round_trip_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E6 and E9 for all 13 results: written as JSON rows, read back typed by their recorded schemas; their content."""
+    path = scratch_path(spark, "envelope-runs")
+    tables = bank_tables_from_testdata(spark, sf_dir)
+
+    def extent(key: str) -> DataFrame:
+        back = unpack_run(spark, write_envelope_run(BANKING_QUERIES[key](tables, TESTDATA_AS_OF), key, path, ENVELOPE_RUN_TS))
+        values = sum((F.count(F.col(c)) for c in back.columns), F.lit(0))
+        return back.agg(
+            F.count(F.lit(1)).alias("n_rows"), values.cast("long").alias("n_values"), content_sum(back).alias("content")
+        ).select(F.lit(key).alias("result"), "n_rows", "n_values", "content")
+
+    return reduce(DataFrame.unionByName, [extent(key) for key in BANKING_QUERIES])
+
+
 def csv_quarantine_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E1: customers as CSV text with faulty records, and how many were loaded or refused, and why."""
     path = scratch_path(spark, "customers.csv")
@@ -282,6 +325,9 @@ def registered_queries() -> dict[str, QueryFn]:
             "store_q2a": _on_store("q2a"),
             "store_q3b": _on_store("q3b"),
             "csv_quarantine": csv_quarantine_query,
+            **{f"rollup_{key}": _on_rollup(key) for key in ROLLUP_QUERIES},
+            "envelope_page": envelope_page_query,
+            "envelope_round_trip": envelope_round_trip_query,
         }
     )
     return queries

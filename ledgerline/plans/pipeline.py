@@ -4,7 +4,7 @@ Order: land (CSV or given tables, read once and kept as Parquet until staged; ro
 cast losses and a checksum are taken in the same pass) -> cast to the declared layout -> publish
 as one batch of the store (``ledgerline.batches``) -> constraint report -> each query on the
 store's current rows -> one Parquet folder
-per query (E5) and, optionally, the JSON-row envelope (E6), built from the
+per query (E5) and, optionally, the JSON-row envelope (E6, one folder for each query and run), built from the
 written result folder rather than by running the query a second time.
 
 A run that ended anywhere can be started again with the same source and ``as_of``: its batch has
@@ -33,7 +33,8 @@ from ledgerline.functions.casting import cast_to_schema, lost_in_cast
 from ledgerline.operators import BANKING_QUERIES, check_constraints
 from ledgerline.operators.checks import counted_rows
 from ledgerline.schemas import PRIMARY_KEYS, TABLE_SCHEMAS
-from ledgerline.sinks.results import append_jdbc, to_envelope, write_result_envelope, write_result_parquet
+from ledgerline.sinks.envelope_runs import write_envelope_run
+from ledgerline.sinks.results import append_jdbc, to_envelope, write_result_parquet
 from ledgerline.session import scratch_path
 from ledgerline.sources.csv import REJECTED, read_csv_tables, rejects, sound
 from ledgerline.tables import BankTables
@@ -122,7 +123,7 @@ def run_pipeline(
             # From the written result, so the query is not computed twice
             # (an appended folder also holds earlier runs: recompute then).
             source_df = spark.read.parquet(path) if mode == "overwrite" else df
-            write_result_envelope(source_df, key, envelope_path, run_ts)
+            write_envelope_run(source_df, key, envelope_path, run_ts)
         if envelope_jdbc:
             url, table, properties = envelope_jdbc
             append_jdbc(to_envelope(spark.read.parquet(path) if mode == "overwrite" else df, key, run_ts), url, table, properties)
