@@ -90,8 +90,9 @@ def test_rows_without_key_are_written_and_nothing_else_repeats(spark, scratch):
     assert empty["written"] == 0 and len(_balances(spark, scratch)) == 4
 
 
-def _files(folder):
-    return sorted(os.path.relpath(f, folder).split("part-")[0] for f in glob.glob(f"{folder}/**/*.parquet", recursive=True))
+def _folders(folder):
+    """Folders with files; how many files each has is the adaptive plan's choice."""
+    return sorted({os.path.dirname(os.path.relpath(f, folder)) for f in glob.glob(f"{folder}/**/*.parquet", recursive=True)})
 
 
 def test_run_that_ends_between_two_tables_is_invisible_and_can_be_repeated(spark, scratch, monkeypatch):
@@ -125,7 +126,7 @@ def test_run_that_ends_between_two_tables_is_invisible_and_can_be_repeated(spark
             [sorted(rows(df), key=repr) for _, df in store.items()],
             {key: sorted(rows(spark.read.parquet(f"{base}/out/{key}")), key=repr) for key in (*BANKING_QUERIES, "_constraints")},
             [(m["number"], m["batch"], m["tables"]) for m in published(spark, f"{base}/store")],
-            _files(f"{base}/store"),
+            _folders(f"{base}/store"),
         )
     assert report[whole] == report[broken]
     checks = {(r[0], r[1]): r[3] for r in report[whole][1]["_constraints"] if r[1].startswith("row_")}
