@@ -21,9 +21,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import fold, free_name, table, written
+from ledgerline.llm.common import fold, table, written
 from ledgerline.llm.decontaminate import decontaminate
-from ledgerline.llm.language_id import UNDETERMINED, fit_language_model, language_column, unknown_text
+from ledgerline.llm.language_id import fit_language_model, known_language
 from ledgerline.llm.line_dedup import without_repeated_lines
 from ledgerline.llm.near_dedup import without_near_duplicates
 from ledgerline.llm.packing import pack_documents
@@ -34,10 +34,6 @@ MIN_GRAMS = 100  # n-grams from which a text is judged
 MIN_KNOWN = 10  # percent of them that the language model must have met
 
 
-def _original(docs: DataFrame) -> list:
-    return [F.col(f"`{c}`") for c in docs.columns]
-
-
 def language_id_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that language identification rejects.
 
@@ -49,10 +45,7 @@ def language_id_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     model = fit_language_model(docs, fold(F.col("doc_id"), 5) != 0)
     if model is None:
         return docs.where(F.col("text").rlike("\\p{L}"))
-    found, unknown = free_name(docs, "found"), free_name(docs, "unknown")
-    judged = docs.withColumns({found: language_column(docs, model), unknown: unknown_text(F.col("text"), model, MIN_GRAMS, MIN_KNOWN)})
-    stays = (F.col(found)["lang_pred"] != UNDETERMINED) & ~F.col(unknown)
-    return judged.where(stays).select(*_original(docs))
+    return docs.where(known_language(docs, model, MIN_GRAMS, MIN_KNOWN))
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import fold
@@ -218,15 +218,23 @@ def language_column(docs: DataFrame, model: LanguageModel | None) -> Column:
     return F.pandas_udf(identify, "struct<lang_pred:string,score:double>")(F.col("text"))
 
 
-def unknown_text(text: Column, model: LanguageModel, min_grams: int, min_known: int) -> Column:
-    """Whether fewer than ``min_known`` percent of a text's n-grams (``min_grams`` or more) are known."""
-    shared = SparkSession.getActiveSession().sparkContext.broadcast(model)
+def known_language(docs: DataFrame, model: LanguageModel, min_grams: int, min_known: int) -> Column:
+    """Whether the column ``text`` has a language that the model knows: it is not ``und``, and it has
+    fewer than ``min_grams`` n-grams or knows at least ``min_known`` percent of them."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def unknown(texts: pd.Series) -> pd.Series:
-        shares = [known_share(t, shared.value) for t in texts]
-        return pd.Series([n >= min_grams and 100 * known < min_known * n for n, known in shares], dtype=bool)
+    # One function for both questions, so that a task needs one Python worker.
+    def known(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            out = []
+            for i in range(0, len(texts), 256):
+                part = list(texts.iloc[i : i + 256])
+                for lang, text in zip(score_texts(part, shared.value)[0], part):
+                    n, n_known = known_share(text, shared.value) if lang != UNDETERMINED else (0, 0)
+                    out.append(lang != UNDETERMINED and (n < min_grams or 100 * n_known >= min_known * n))
+            yield pd.Series(out, dtype=bool)
 
-    return F.pandas_udf(unknown, "boolean")(text)
+    return F.pandas_udf(known, "boolean")(F.col("text"))
 
 
 def identify_languages(docs: DataFrame, folds: int = 5) -> DataFrame:
