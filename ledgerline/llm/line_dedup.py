@@ -106,7 +106,8 @@ def line_keys(lines: DataFrame, edits: int) -> DataFrame:
 
 def partnered_keys(lines: DataFrame, edits: int) -> DataFrame:
     """``id, key, probes, indexed``: keys under which a line meets another one, as probe or as index entry."""
-    parts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # A dozen rows for each line, and a hash table of them in each task: smaller parts than other shuffles have.
+    parts = 4 * int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Dealt once, read twice: for each key's ends, and for the rows that meet them.
     keys = line_keys(lines, edits).repartition(parts, "key")
     own = F.when(F.col("own"), F.col("id"))
