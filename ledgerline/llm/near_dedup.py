@@ -15,11 +15,16 @@ least ``percent`` / 100, and every component keeps its smallest id.
    chunk is indexed once for each place that the difference may have (that value left
    out), so two chunks within one difference share a key: all pairs within the
    radius meet.
-4. All sets of a key are tied to its smallest id, not to one another; the components
-   of these ties are candidate families.  Every pair within the radius lies in one.
-5. A family is compared in pairs of bounded blocks.  A task ties each of its sets
+4. Pairs that met are judged by their signatures, and only those within the radius tie sets
+   together.  First every set of a key is held against the key's smallest one (a star, so a
+   group of copies costs one look for each member).  Keys whose other members still hang apart are then compared among
+   these, in pairs of blocks of ``SIGNATURE_BLOCK`` sets; keys with the very same members count once.
+   A task skips pairs that hang together already and returns fewer ties than it has sets.
+   The components of these ties are the families: every pair within the radius lies in one,
+   and sets that only share a key by chance do not.
+5. A family is compared on full sets in pairs of bounded blocks.  A task ties each of its sets
    to the smallest one first, skips pairs that are connected already, and checks the
-   others within the radius on full sets.  It returns the links that it used (fewer
+   others within the radius.  It returns the links that it used (fewer
    than its sets), never all pairs.  These links join exactly the sets that all
    links would join.
 
@@ -49,6 +54,7 @@ HASHES = 64
 BITS = 16
 MISSED = 1e-5
 KEY_VALUES = 3  # fewer values of a key are shared by chance
+SIGNATURE_BLOCK = 1024
 BLOCK_SETS = 256
 BLOCK_SHINGLES = 500_000
 WORD_MEMO = 250_000
@@ -209,25 +215,60 @@ def block_links(ids, blocks, signatures: np.ndarray, sets: list[np.ndarray], per
     return links
 
 
-def _compare(percent: int):
+def signature_ties(ids, blocks, groups, signatures: np.ndarray, radius: int) -> list[tuple[int, int]]:
+    """Ties that join, over one or two blocks, what all pairs of signatures within the radius join.
+
+    ``groups`` numbers what hangs together already.
+    """
+    blocks = np.asarray(blocks)
+    across = len(np.unique(blocks)) > 1
+    root = np.unique(np.asarray(groups), return_inverse=True)[1]
+    ties = []
+    for i in range(len(ids) - 1):
+        apart = root[i + 1 :] != root[i]
+        if across:
+            apart &= blocks[i + 1 :] != blocks[i]
+        at = np.flatnonzero(apart) + i + 1
+        for j in at[(signatures[at] != signatures[i]).sum(axis=1) <= radius].tolist():
+            if root[i] != root[j]:
+                ties.append((int(ids[i]), int(ids[j])))
+                root[root == root[j]] = root[i]
+    return ties
+
+
+def _signatures_of(rows: pd.DataFrame) -> np.ndarray:
+    return np.frombuffer(b"".join(rows["sig"]), dtype="<u2").reshape(len(rows), HASHES)
+
+
+def _within_column(sig: Column, other: Column, percent: int) -> Column:
+    """Whether two signatures differ in at most ``radius_of(percent)`` values."""
+    radius = radius_of(percent)
+
+    def within(a: pd.Series, b: pd.Series) -> pd.Series:
+        if not len(a):
+            return pd.Series([], dtype=bool)
+        x, y = (np.frombuffer(b"".join(c), dtype="<u2").reshape(len(c), HASHES) for c in (a, b))
+        return pd.Series((x != y).sum(axis=1) <= radius, dtype=bool)
+
+    return F.pandas_udf(within, "boolean")(sig, other)
+
+
+def _by_task(group: str, links_of):
+    """Rows arrive sorted by task (``group``, lo, hi); each task's rows are gathered, compared and let go."""
+
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Rows arrive sorted by task; each task's rows are gathered, compared and let go."""
         held: list[pd.DataFrame] = []
         task = None
 
         def finish() -> pd.DataFrame:
             rows = pd.concat(held) if held else None
-            if rows is None or len(rows) < 2:
-                return pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64")})
-            sigs = np.frombuffer(b"".join(rows["sig"]), dtype="<u2").reshape(len(rows), HASHES)
-            sets = [np.frombuffer(s, dtype="<u8") for s in rows["shingles"]]
-            links = block_links(rows["node"].to_numpy(), rows["block"].to_numpy(), sigs, sets, percent)
+            links = links_of(rows) if rows is not None and len(rows) > 1 else []
             return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
 
         for batch in batches:
             if not len(batch):
                 continue
-            key = batch["family"].astype(str) + "/" + batch["lo"].astype(str) + "/" + batch["hi"].astype(str)
+            key = batch[group].astype(str) + "/" + batch["lo"].astype(str) + "/" + batch["hi"].astype(str)
             for now, rows in batch.groupby(key.to_numpy(), sort=False):
                 if now != task:
                     yield finish()
@@ -238,6 +279,87 @@ def _compare(percent: int):
     return compare
 
 
+def _compare_signatures(percent: int):
+    radius = radius_of(percent)
+
+    def ties(rows: pd.DataFrame) -> list[tuple[int, int]]:
+        return signature_ties(rows["node"].to_numpy(), rows["block"].to_numpy(), rows["tied"].to_numpy(), _signatures_of(rows), radius)
+
+    return _by_task("key", ties)
+
+
+def _compare_sets(percent: int):
+    def links(rows: pd.DataFrame) -> list[tuple[int, int]]:
+        sets = [np.frombuffer(s, dtype="<u8") for s in rows["shingles"]]
+        return block_links(rows["node"].to_numpy(), rows["block"].to_numpy(), _signatures_of(rows), sets, percent)
+
+    return _by_task("family", links)
+
+
+def _block_pairs(rows: DataFrame, group: str, *values: str) -> DataFrame:
+    """Each row once for each pair (``lo``, ``hi``) of its ``group``'s ``blocks`` that its own block is in."""
+    return (
+        rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(group, F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", *values)
+    )
+
+
+def _linked(tasks: DataFrame, group: str, compare, parts: int) -> DataFrame:
+    dealt = tasks.repartition(parts, group, "lo", "hi").sortWithinPartitions(group, "lo", "hi")
+    return dealt.mapInPandas(compare, "a bigint, b bigint")
+
+
+def met_sets(sets: DataFrame, percent: int) -> DataFrame:
+    """``key, node, pivot, n``: the keys that two or more sets share, and their ``n`` sets.
+
+    Of keys with the same sets (128 bits of their digests) one stays: they make the same pairs meet.
+    """
+    parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    mark = F.xxhash64("digest").alias("mark")
+    # Dealt once, read twice: for the keys' ends and for their members.
+    keyed = sets.select("node", mark, F.explode(_keys_column(F.col("sig"), percent)).alias("key")).repartition(parts, "key")
+    ends = keyed.groupBy("key").agg(
+        F.min("node").alias("pivot"),
+        F.max("node").alias("last"),
+        F.count(F.lit(1)).alias("n"),
+        F.bit_xor("mark").alias("members"),
+        F.bit_xor(F.xxhash64("mark", F.lit(1))).alias("members2"),
+    )
+    shared = ends.where("pivot != last").groupBy("pivot", "last", "n", "members", "members2").agg(F.min("key").alias("key"))
+    return keyed.drop("mark").join(shared.select("key", "pivot", "n"), "key")
+
+
+def candidate_families(sets: DataFrame, percent: int) -> DataFrame:
+    """``node, family`` of the sets (``node, digest, sig``) that met another one within the radius.
+
+    Families are the components of all pairs that share a key and lie within the radius.
+    """
+    met = written(met_sets(sets, percent), "met")
+    signed = sets.select("node", "sig")
+    star = met.where("node != pivot").select("node", "pivot").distinct()
+    judged = star.join(signed, "node").join(signed.toDF("pivot", "pivot_sig"), "pivot")
+    tied = connected_components(
+        judged.where(_within_column(F.col("sig"), F.col("pivot_sig"), percent)).select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+    )
+    tied = written(tied, "tied")
+    # All pairs with the pivot are judged.  The others of a key matter where they hang apart.
+    others = met.where("n > 2 and node != pivot").join(tied, "node", "left").select(
+        "key", "node", F.coalesce("component", "node").alias("tied")
+    )
+    apart = (
+        others.groupBy("key")
+        .agg(F.min("tied").alias("low"), F.max("tied").alias("high"), F.ceil(F.count(F.lit(1)) / SIGNATURE_BLOCK).alias("blocks"))
+        .where("low != high")
+        .select("key", "blocks")
+    )
+    tasks = _block_pairs(others.join(apart, "key").join(signed, "node"), "key", "sig", "tied")
+    parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    more = _linked(tasks, "key", _compare_signatures(percent), parts)
+    stars = tied.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return connected_components(stars.union(more)).withColumnRenamed("component", "family")
+
+
 def near_duplicates(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_shingles, component_id, kept``."""
     if percent > 100 or HASHES // chunks_of(percent) - 1 < KEY_VALUES:
@@ -250,10 +372,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
         .groupBy("digest")
         .agg(F.min("doc_id").alias("node"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles"))
     )
-    keyed = sets.select("node", F.explode(_keys_column(F.col("sig"), percent)).alias("key"))
-    pivots = keyed.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot != last")
-    ties = keyed.join(pivots.drop("last"), "key").where("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
-    families = cut(connected_components(ties).withColumnRenamed("component", "family"))
+    families = cut(candidate_families(sets, percent))
     members = families.join(sets.select("node", "digest", "sig", "n_shingles"), "node")
     blocks = members.groupBy("family").agg(
         F.greatest(
@@ -267,20 +386,8 @@ def near_duplicates(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
         .where("shingles is not null")  # else another row with the same id
         .select(F.col("doc_id").alias("node"), "family", "sig", "shingles")
     )
-    tasks = (
-        full.join(blocks, "family")
-        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            "family", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "sig", "shingles"
-        )
-    )
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    links = (
-        tasks.repartition(parts, "family", "lo", "hi")
-        .sortWithinPartitions("family", "lo", "hi")
-        .mapInPandas(_compare(percent), "a bigint, b bigint")
-    )
+    links = _linked(_block_pairs(full.join(blocks, "family"), "family", "sig", "shingles"), "family", _compare_sets(percent), parts)
     component = connected_components(links)
     named = sets.select("digest", "node").join(component, "node", "left").select(
         "digest", F.coalesce("component", "node").alias("component")
