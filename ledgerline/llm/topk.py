@@ -14,8 +14,11 @@ vectors of length t / |q| or more remain.  What is left is verified by exact
 inner products.  The first bound of each query comes from the ``SEEDS`` longest
 candidates (a bounded set that is broadcast).
 
-Queries are dealt into blocks of about ``BLOCK_ROWS``; each (candidate part, query
-block) pair is one group, so a task holds two bounded arrays.  Partial winners
+Queries are dealt into blocks of about ``BLOCK_ROWS`` by the length t / |q| that they need (one
+quantile for each block comes to the driver), so a block of queries that need long vectors opens few buckets.
+Only (candidate part, query block) pairs that some query of the block needs are formed, and both sides are
+matched with the list of these pairs before any vector is copied.  Each pair is one group, so a task
+holds two bounded arrays.  With no bound to prune by, every part meets every block.  Partial winners
 (at most k for each query and group) are merged by a window per query.
 
 Pruning works in floating point with a slack far above its rounding error; scores
@@ -25,7 +28,7 @@ Defined results: vectors that are NULL, empty or hold NULL, NaN or infinite
 components take no part, as do NULL ids; vectors of different dimension do not meet;
 an all-zero query scores 0 everywhere; ties go to the smaller id; rows that
 repeat an id are one row each; extra columns are ignored.  Scores beyond a long
-are cut to its range.
+are cut to its range, and components beyond 1e300 (after scaling) count as that.
 """
 
 from __future__ import annotations
@@ -50,6 +53,7 @@ FOCUS = 4  # coordinates used by coordinate pruning
 COORDINATE_COSINE = 0.5  # local threshold from which coordinate pruning is used
 SLACK = 1e-9
 _LONG = 2**63 - 1
+_LARGEST = 1e300
 
 
 def integer_vectors(vectors: DataFrame, scale: int) -> DataFrame:
@@ -60,13 +64,21 @@ def integer_vectors(vectors: DataFrame, scale: int) -> DataFrame:
         .where(F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & F.coalesce(finite, F.lit(False)))
         .select(
             "vec_id",
-            F.transform("embedding", lambda x: _floor(x * scale)).alias("v"),
+            F.transform("embedding", lambda x: _floor(F.greatest(F.lit(-_LARGEST), F.least(F.lit(_LARGEST), x * scale)))).alias("v"),
             F.size("embedding").alias("dim"),
         )
-        .withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)))
+        .withColumn("norm", _norm(F.col("v")))
     )
 
 
+def _norm(v: Column) -> Column:
+    """Length, by a scaled sum where squares could overflow."""
+    peak = F.array_max(F.transform(v, F.abs))
+    squares = F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x)
+    scaled = F.aggregate(v, F.lit(0.0), lambda s, x: s + (x / peak) * (x / peak))
+    return F.when(peak < 1e150, F.sqrt(squares)).otherwise(peak * F.sqrt(scaled))
+
+
 def _floor(x: Column) -> Column:
     """floor() as a double; from 2**53 on a double is whole already."""
     return F.when(F.abs(x) < 2.0**53, F.floor(x).cast("double")).otherwise(x)
@@ -176,6 +188,30 @@ def _first_bounds(vec_id: Column, v: Column, seeds, k: int) -> Column:
     return F.pandas_udf(bounds, "double")(vec_id, v)
 
 
+def _block_of(needing: DataFrame) -> Column:
+    """Blocks of about ``BLOCK_ROWS`` queries with like needs; equal needs are spread by a tiny share of the id's hash."""
+    blocks = -(-needing.count() // BLOCK_ROWS)
+    if blocks < 2:
+        return F.lit(0)
+    spread = F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20)) / F.lit(1e12)
+    place = F.col("need") * (1 + spread) + spread
+    at = [i / blocks for i in range(1, blocks)]
+    edges = needing.agg(F.percentile_approx(place, at, 100_000).alias("edges")).first()["edges"]
+    return F.size(F.filter(F.array(*map(F.lit, edges)), lambda edge: edge < place))
+
+
+def live_pairs(bounded: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``block, dim, bucket, part, longest``: the parts that the least demanding query of a block leaves open."""
+    return (
+        bounded.groupBy("block", "dim")
+        .agg(F.min("need").alias("least"))
+        .join(sizes, "dim")
+        .where(F.col("least") <= F.col("longest") * (1 + 1e-6))
+        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .select("block", "dim", "bucket", "part", "longest")
+    )
+
+
 def top_k(vectors: DataFrame, is_query: Column, *, k: int = K, scale: int = SCALE) -> DataFrame:
     """The ``k`` best-scoring other vectors of each query: ``query_id, rank, vec_id, score``.
 
@@ -183,30 +219,29 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = K, scale: int = SCAL
     """
     spark = vectors.sparkSession
     rows = cut(integer_vectors(vectors, scale).withColumn("bucket", _bucket(F.col("norm"))))
-    sizes = rows.groupBy("dim", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    parts = sizes.select("dim", "bucket", F.ceil(F.col("n") / PART_ROWS).alias("parts"))
+    # A few hundred rows for each dimension.
+    sizes = cut(
+        rows.groupBy("dim", "bucket").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).alias("parts"), F.max("norm").alias("longest"))
+    )
     queries = rows.where(is_query)
-    n_queries = queries.count()
-    blocks = max(1, -(-n_queries // BLOCK_ROWS))
     seeds = rows.orderBy(F.desc("norm"), "vec_id").limit(SEEDS).select("vec_id", "v").collect()
     shared = spark.sparkContext.broadcast(([r.vec_id for r in seeds], [np.asarray(r.v) for r in seeds]))
-    bounded = cut(
+    need = F.when(F.col("bound") > 0, F.col("bound") / F.greatest("norm", F.lit(1e-300)))
+    needing = cut(
         queries.withColumn("bound", _first_bounds(F.col("vec_id"), F.col("v"), shared, k)).withColumn(
-            "block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks))
+            "need", F.coalesce(need, F.lit(0.0))
         )
     )
-    # bucket sizes: a few hundred rows for each dimension, joined by whatever plan fits.
-    dealt = rows.join(parts, ["dim", "bucket"]).withColumn("part", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.col("parts")))
-    left = dealt.select("vec_id", "v", "norm", "dim", "bucket", "part").withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>"))
+    bounded = needing.withColumn("block", _block_of(needing)).select("vec_id", "v", "norm", "bound", "need", "block", "dim")
+    dealt = rows.join(sizes.select("dim", "bucket", "parts"), ["dim", "bucket"]).withColumn(
+        "part", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.col("parts"))
     )
-    # A query meets the buckets of its dimension that its first bound leaves open.
-    every = parts.withColumn("longest", F.pow(F.lit(BUCKET_BASE), F.col("bucket") + 1))
+    live = cut(live_pairs(bounded, sizes))
+    left = dealt.select("vec_id", "v", "norm", "dim", "bucket", "part").join(live.select("dim", "bucket", "part", "block"), ["dim", "bucket", "part"])
+    # A query meets the open parts of its block that its own bound leaves open.
     right = (
-        bounded.select("vec_id", "v", "norm", "bound", "block", "dim")
-        .join(every, "dim")
-        .where(F.col("bound").isNull() | (F.col("bound") <= F.col("norm") * F.col("longest") * (1 + 1e-6) + 1))
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        bounded.join(live, ["dim", "block"])
+        .where(F.col("need") <= F.col("longest") * (1 + 1e-6))
         .select("vec_id", "v", "norm", "bound", "block", "dim", "bucket", "part")
     )
     keys = ["dim", "bucket", "part", "block"]
