@@ -37,12 +37,10 @@ from __future__ import annotations
 import hashlib
 import json
 import uuid
-from functools import reduce
-from operator import and_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField, StructType
 
 from ledgerline.files import file_system, path_exists, remove_path
 from ledgerline.operators.rollup import KEYS, MEASURES, daily_rollup, merged
@@ -54,6 +52,8 @@ MARKERS = "_batches"
 REPLACED = "_replaced"
 QUARANTINE = "_rejected"
 DAILY = "_daily"
+# Rows whose daily sums go to one file of a month at most.
+DAILY_ROWS = 20_000_000
 # Partition columns below batch=<id>, and how they follow from a row.
 MONTH = {"transactions": ("month", "transaction_date")}
 COUNTS = ("delivered", "new", "changed", "equal", "no_key", "replaced", "malformed")
@@ -99,19 +99,26 @@ def _stored_schema(table: str) -> StructType:
     return StructType(fields)
 
 
+def _written_in(table: str, markers: list[dict]) -> list[dict]:
+    """The batches whose folders hold the rows of ``table`` after ``markers``."""
+    since = max((i for i, m in enumerate(markers) if m.get("compacts")), default=0)
+    return [m for m in markers[since:] if m["tables"].get(table, {}).get("written")]
+
+
 def _rows_of(spark: SparkSession, store: str, table: str, markers: list[dict]) -> DataFrame:
     """The current rows of ``table`` after ``markers``, with ``batch`` (and ``month``)."""
     base = f"{store.rstrip('/')}/{table}"
-    since = max((i for i, m in enumerate(markers) if m.get("compacts")), default=0)
-    own = [m for m in markers[since:] if m["tables"].get(table, {}).get("written")]
+    own = _written_in(table, markers)
     schema = _stored_schema(table)
     if not own:
         return spark.createDataFrame([], schema)
-    paths = [f"{base}/batch={m['batch']}" for m in own]
-    rows = spark.read.schema(schema).option("basePath", base).parquet(*paths)
+
+    def stored(some: list[dict]) -> DataFrame:
+        return spark.read.schema(schema).option("basePath", base).parquet(*[f"{base}/batch={m['batch']}" for m in some])
+
     replacing = [m for m in own if m["tables"][table]["replaced"]]
     if not replacing:
-        return rows
+        return stored(own)
     gone_base = f"{store.rstrip('/')}/{REPLACED}/{table}"
     gone = (
         spark.read.schema("gone_key bigint, gone_batch string, batch string")
@@ -119,8 +126,11 @@ def _rows_of(spark: SparkSession, store: str, table: str, markers: list[dict]) -
         .parquet(*[f"{gone_base}/batch={m['batch']}" for m in replacing])
         .select("gone_key", "gone_batch")
     )
-    pk = PRIMARY_KEYS[table]
-    return rows.join(gone, (rows[pk] == gone["gone_key"]) & (rows["batch"] == gone["gone_batch"]), "left_anti")
+    # A batch replaces rows of earlier ones, so those from the last such batch on meet no join.
+    last, pk = own.index(replacing[-1]), PRIMARY_KEYS[table]
+    rows = stored(own[:last])
+    kept = rows.join(gone, (rows[pk] == gone["gone_key"]) & (rows["batch"] == gone["gone_batch"]), "left_anti")
+    return kept.unionByName(stored(own[last:]))
 
 
 def read_store(spark: SparkSession, store: str, upto: str | None = None) -> BankTables:
@@ -140,38 +150,36 @@ def _write_table(spark: SparkSession, delivered: DataFrame, store: str, table: s
     delivered = delivered.select(*columns)
     path = f"{store.rstrip('/')}/{table}/batch={batch}"
     gone_path = f"{store.rstrip('/')}/{REPLACED}/{table}/batch={batch}"
+    if not _written_in(table, markers):
+        return _write_first(spark, delivered, store, table, batch)
     read = delivered.agg(F.min(pk).alias("low"), F.max(pk).alias("high"), F.count(F.lit(1)).alias("n")).first()
     current = _rows_of(spark, store, table, markers)
     met = current.where(F.col(pk).between(read.low, read.high)) if read.low is not None else current.limit(0)
-    old = met.select(*[F.col(c).alias(f"old_{c}") for c in columns], F.col("batch").alias("old_batch"))
-
-    # Delivered rows that are not among the current ones decide which keys are new or changed.
-    same = reduce(and_, [delivered[c].eqNullSafe(old[f"old_{c}"]) for c in columns if c != pk], delivered[pk] == old[f"old_{pk}"])
-    touched_path = scratch_path(spark, "touched-keys")
-    delivered.where(F.col(pk).isNotNull()).join(old, same, "left_anti").select(F.col(pk).alias("touched")).distinct().write.parquet(touched_path)
-    touched = spark.read.schema("touched bigint").parquet(touched_path)
-    gone = old.join(touched, old[f"old_{pk}"] == touched["touched"], "left_semi").select(
-        F.col(f"old_{pk}").alias("gone_key"), F.col("old_batch").alias("gone_batch")
-    ).distinct()
-    gone.write.mode("overwrite").parquet(gone_path)
-    gone = spark.read.schema("gone_key bigint, gone_batch string").parquet(gone_path)
-    replaced = gone.count()
-
-    rows = delivered.join(touched, delivered[pk] == touched["touched"], "left").where(
-        F.col("touched").isNotNull() | F.col(pk).isNull()
-    )
-    _write_rows(rows.select(*columns), path, table)
-    remove_path(spark, touched_path)
+
+    # What the batch writes and what it replaces, from one exchange of both sides by key.
+    decided_path = scratch_path(spark, "decided-rows")
+    _decided(delivered, met.select(*columns, "batch"), columns, pk).write.parquet(decided_path)
+    schema = StructType([*TABLE_SCHEMAS[table].fields, StructField("old_batch", StringType()), StructField("known", BooleanType())])
+    decided = spark.read.schema(schema).parquet(decided_path)
+    own, old = F.col("old_batch").isNull(), F.col("old_batch").isNotNull()
+    decided.where(old).select(F.col(pk).alias("gone_key"), F.col("old_batch").alias("gone_batch")).distinct().write.mode(
+        "overwrite"
+    ).parquet(gone_path)
+    replaced = spark.read.schema("gone_key bigint, gone_batch string").parquet(gone_path).count()
+    _write_rows(decided.where(own).select(*columns), path, table)
+    n = decided.agg(
+        F.count_if(own).alias("written"),
+        F.count_if(own & F.col(pk).isNotNull()).alias("keyed"),
+        F.count_if(own & F.col("known")).alias("changed"),
+        F.count(F.lit(1)).alias("all"),
+    ).first()
     if table == "transactions":
-        taken = old.join(gone, (old[f"old_{pk}"] == gone["gone_key"]) & (old["old_batch"] == gone["gone_batch"]), "left_semi")
-        _write_daily(spark, path, taken.select(*[F.col(f"old_{c}").alias(c) for c in columns]) if replaced else None, store, batch)
-    made = spark.read.schema(TABLE_SCHEMAS[table]).parquet(path)
-    n = made.agg(F.count(F.lit(1)).alias("written"), F.count(pk).alias("keyed")).first()
-    changed = made.join(gone, made[pk] == gone["gone_key"], "left_semi").count() if replaced else 0
+        _write_daily(decided.withColumn("sign", F.when(own, 1).otherwise(-1)), n["all"], store, batch)
+    remove_path(spark, decided_path)
     return {
         "delivered": read.n,
-        "new": n.keyed - changed,
-        "changed": changed,
+        "new": n.keyed - n.changed,
+        "changed": n.changed,
         "equal": read.n - n.written,
         "no_key": n.written - n.keyed,
         "replaced": replaced,
@@ -179,14 +187,48 @@ def _write_table(spark: SparkSession, delivered: DataFrame, store: str, table: s
     }
 
 
-def _write_daily(spark: SparkSession, path: str, replaced: DataFrame | None, store: str, batch: str) -> None:
-    """The daily sums of a batch's rows at ``path``, less those of the rows that they replace."""
-    parts = daily_rollup(spark.read.schema(TABLE_SCHEMAS["transactions"]).parquet(path))
-    if replaced is not None:
-        parts = merged(parts.unionByName(daily_rollup(replaced, sign=-1)), keep_empty=True)
-    out = parts.withColumn("month", month_of(F.col("transaction_date")))
-    # A month's sums of a batch go to few files, and its largest months to several.
-    out.hint("rebalance", F.col("month")).write.mode("overwrite").partitionBy("month").parquet(f"{store.rstrip('/')}/{DAILY}/batch={batch}")
+def _write_first(spark: SparkSession, delivered: DataFrame, store: str, table: str, batch: str) -> dict:
+    """A table's part of a batch that meets no stored row: all of its rows are new."""
+    path = f"{store.rstrip('/')}/{table}/batch={batch}"
+    remove_path(spark, f"{store.rstrip('/')}/{REPLACED}/{table}/batch={batch}")  # of a run that ended before its marker
+    _write_rows(delivered, path, table)
+    made = spark.read.schema(TABLE_SCHEMAS[table]).parquet(path)
+    n = made.agg(F.count(F.lit(1)).alias("written"), F.count(PRIMARY_KEYS[table]).alias("keyed")).first()
+    if table == "transactions":
+        _write_daily(made.withColumn("sign", F.lit(1)), n.written, store, batch)
+    return dict.fromkeys(COUNTS[:-1], 0) | {
+        "delivered": n.written, "new": n.keyed, "no_key": n.written - n.keyed, "written": n.written,
+    }
+
+
+def _decided(delivered: DataFrame, current: DataFrame, columns: list[str], pk: str) -> DataFrame:
+    """The delivered rows to write (``old_batch`` NULL) and the current rows that they replace, with
+    ``known``: whether the row's key has a current row.
+
+    A key is written if some delivered row of it is not among its current ones.  Both windows take the
+    order by key and values that one exchange by key leaves; rows of one key are never compared in pairs.
+    """
+    both = (
+        delivered.where(F.col(pk).isNotNull()).withColumn("old_batch", F.lit(None).cast("string"))
+        .unionByName(current.withColumnRenamed("batch", "old_batch"))
+        .repartition(pk)
+    )
+    old = F.col("old_batch").isNotNull()
+    among = both.withColumn("among", F.max(old).over(Window.partitionBy(pk, *[c for c in columns if c != pk])))
+    of_key = Window.partitionBy(pk)
+    keys = among.withColumns({"touched": F.max(~old & ~F.col("among")).over(of_key), "known": F.max(old).over(of_key)})
+    keyless = delivered.where(F.col(pk).isNull()).withColumns({"old_batch": F.lit(None).cast("string"), "known": F.lit(False)})
+    return keys.where("touched").select(*columns, "old_batch", "known").unionByName(keyless)
+
+
+def _write_daily(rows: DataFrame, n_rows: int, store: str, batch: str) -> None:
+    """The daily sums of ``rows``, whose ``sign`` is -1 where they are taken off."""
+    # A month's sums of a batch go to few files, and its largest months to several: one exchange by
+    # month and a part of the accounts serves the sums and the files.
+    spread = F.pmod(F.xxhash64("account_id"), F.lit(1 + n_rows // DAILY_ROWS))
+    dealt = rows.select(*KEYS, "amount", "sign", month_of(F.col("transaction_date")).alias("month"), spread.alias("spread"))
+    sums = daily_rollup(dealt.repartition("month", "spread"), F.col("sign"), "month", "spread").drop("spread")
+    sums.write.mode("overwrite").partitionBy("month").parquet(f"{store.rstrip('/')}/{DAILY}/batch={batch}")
 
 
 def read_daily(spark: SparkSession, store: str) -> DataFrame:
@@ -295,9 +337,10 @@ def compact_store(spark: SparkSession, store: str, batch: str) -> dict[str, dict
     for name in LOAD_ORDER:
         path = f"{store.rstrip('/')}/{name}/batch={batch}"
         _write_rows(_rows_of(spark, store, name, markers).select(*[f.name for f in TABLE_SCHEMAS[name].fields]), path, name)
+        made = spark.read.schema(TABLE_SCHEMAS[name]).parquet(path)
+        n = made.count()
         if name == "transactions":
-            _write_daily(spark, path, None, store, batch)
-        n = spark.read.schema(TABLE_SCHEMAS[name]).parquet(path).count()
+            _write_daily(made.withColumn("sign", F.lit(1)), n, store, batch)
         counts[name] = dict.fromkeys(COUNTS, 0) | {"delivered": n, "equal": n, "written": n}
     number = markers[-1]["number"] + 1 if markers else 1
     _publish_marker(spark, store, {"number": number, "batch": batch, "tables": counts, "compacts": True})

@@ -23,21 +23,26 @@ KEYS = ("account_id", "transaction_date", "transaction_type")
 MEASURES = ("n_rows", "n_amounts", "amount_sum")
 
 
-def daily_rollup(transactions: DataFrame, sign: int = 1) -> DataFrame:
-    """``account_id, transaction_date, transaction_type, n_rows, n_amounts, amount_sum``; ``sign`` -1 takes rows off."""
-    amount = to_money("amount")
-    return transactions.groupBy(*KEYS).agg(
-        (F.count(F.lit(1)) * sign).alias("n_rows"),
-        (F.count(amount) * sign).alias("n_amounts"),
-        (F.coalesce(F.sum(amount), F.lit(0)) * sign).cast("decimal(38,6)").alias("amount_sum"),
+def daily_rollup(transactions: DataFrame, sign: Column | int = 1, *more: str) -> DataFrame:
+    """``account_id, transaction_date, transaction_type, n_rows, n_amounts, amount_sum``; ``sign`` -1 takes rows off.
+    Columns ``more`` that follow from the keys are kept."""
+    amount, sign = to_money("amount"), F.lit(sign)
+    return transactions.groupBy(*KEYS, *more).agg(
+        F.sum(sign).cast("bigint").alias("n_rows"),
+        F.coalesce(F.sum(F.when(amount.isNotNull(), sign)), F.lit(0)).cast("bigint").alias("n_amounts"),
+        F.coalesce(F.sum(F.when(sign < 0, -amount).otherwise(amount)), F.lit(0)).cast("decimal(38,6)").alias("amount_sum"),
     )
 
 
-def merged(parts: DataFrame, keep_empty: bool = False) -> DataFrame:
-    """One row for each key that still has rows (or, of a batch's own part, that it touches)."""
+def merged(parts: DataFrame) -> DataFrame:
+    """One row for each key that still has rows.
+
+    The parts are dealt by account, as the sums for each account and the join with the accounts
+    need them; an account has no more rows than days and types in each part.
+    """
     sums = [F.sum(m).cast("decimal(38,6)" if m == "amount_sum" else "bigint").alias(m) for m in MEASURES]
-    whole = parts.groupBy(*KEYS, *[c for c in ("month",) if c in parts.columns]).agg(*sums)
-    return whole if keep_empty else whole.where("n_rows <> 0")
+    dealt = parts.repartition("account_id")
+    return dealt.groupBy(*KEYS, *[c for c in ("month",) if c in parts.columns]).agg(*sums).where("n_rows <> 0")
 
 
 def _per_account(rollup: DataFrame) -> DataFrame:
