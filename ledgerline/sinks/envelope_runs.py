@@ -45,8 +45,9 @@ def run_folder(path: str, query_id: str, run_ts: _dt.datetime) -> str:
 def write_envelope_run(df: DataFrame, query_id: str, path: str, run_ts: _dt.datetime) -> str:
     """Writes the rows of one result and run, and their schema; returns the run's folder."""
     spark, folder = df.sparkSession, run_folder(path, query_id, run_ts)
-    rows = to_envelope(df, query_id, _moment(run_ts)).drop("query_id")
-    rows.hint("rebalance").write.mode("overwrite").parquet(folder)
+    # The result's own columns are dealt, not their JSON text, which is several times as long.
+    rows = to_envelope(df.hint("rebalance"), query_id, _moment(run_ts)).drop("query_id")
+    rows.write.mode("overwrite").parquet(folder)
     fs, target = file_system(spark, f"{folder}/_schema")
     out = fs.create(target, True)
     out.write(bytearray(df.schema.json().encode()))
