@@ -246,3 +246,19 @@ def test_stream_quarantines_and_replays(spark, scratch):
     assert _balances(spark, f"{scratch}/store") == [(10, 6.0)]
     after = published(spark, f"{scratch}/store")
     assert after[: len(marks)] == marks and len(after) == len(marks) + 1
+
+
+def test_second_batch_deals_both_sides_once_by_key(spark, scratch):
+    day = make_tables(spark, accounts=[account(1, 1, balance=0.0), account(2, 1, balance=float("nan")), account(3, 1, balance=3.0), account(3, 1, balance=4.0)])
+    publish_batch(spark, {"accounts": day.accounts}, scratch, "a")
+    # 0.0 and -0.0 are equal, NaN equals itself; of key 3 one of two rows changes, so both are replaced.
+    second = [account(1, 1, balance=-0.0), account(2, 1, balance=float("nan")), account(3, 1, balance=3.0), account(3, 1, balance=5.0), account(4, 1)]
+    delivered = make_tables(spark, accounts=second).accounts
+    current = batches._rows_of(spark, scratch, "accounts", batches.published(spark, scratch))
+    decided = batches._decided(delivered, current, delivered.columns, "account_id")
+    plan = decided._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(") == 1 and "Join" not in plan
+    n = publish_batch(spark, {"accounts": delivered}, scratch, "b")["accounts"]
+    assert (n["delivered"], n["new"], n["changed"], n["equal"], n["replaced"], n["written"]) == (5, 1, 2, 2, 1, 3)
+    held = sorted((r.account_id, r.balance) for r in read_store(spark, scratch).accounts.collect() if r.account_id != 2)
+    assert held == [(1, 0.0), (3, 3.0), (3, 5.0), (4, 0.0)]

@@ -8,7 +8,9 @@ import glob
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerline.sinks import envelope_runs
 from ledgerline.sinks.envelope_runs import latest_page, run_schema, runs_of, unpack_history, unpack_run, write_envelope_run
+from ledgerline.sinks.results import to_envelope
 
 DAY = dt.datetime(2024, 1, 1, 6)
 
@@ -67,3 +69,16 @@ def test_typed_read_back_and_changed_columns(spark, scratch):
     assert history.columns == ["run_ts", "k", "amount", "day", "total", "note"]
     assert history.groupBy("run_ts").agg(F.count("note").alias("n"), F.count("k").alias("k")).orderBy("run_ts").select("n", "k").collect() == [(0, 9), (4, 4)]
     assert unpack_history(spark, scratch, "q", since=dt.date(2024, 1, 2)).count() == 4
+
+
+def test_columns_are_dealt_not_their_json_text(spark, scratch, monkeypatch):
+    seen = []
+
+    def noted(df, *args):
+        seen.append(df._jdf.queryExecution().analyzed().toString())
+        return to_envelope(df, *args)
+
+    monkeypatch.setattr(envelope_runs, "to_envelope", noted)
+    folder = envelope_runs.write_envelope_run(spark.range(3), "q", scratch, dt.datetime(2024, 1, 1))
+    assert "Rebalance" in seen[0] or "rebalance" in seen[0]
+    assert spark.read.parquet(folder).count() == 3

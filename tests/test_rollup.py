@@ -77,3 +77,11 @@ def test_empty_store(spark, scratch):
     publish_batch(spark, dict(_day(spark).items()), scratch, "a")
     assert read_daily(spark, scratch).count() == 0
     _same(spark, scratch)
+
+
+def test_merged_sums_are_dealt_once_by_account(spark, scratch):
+    publish_batch(spark, dict(_day(spark, *FIRST).items()), scratch, "a")
+    publish_batch(spark, {"transactions": _day(spark, tx(1, 10, "2024-08-30", "Deposit", 11.5)).transactions}, scratch, "b")
+    per_account = read_daily(spark, scratch).groupBy("account_id").count()
+    assert per_account._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(") == 1
+    _same(spark, scratch)
