@@ -41,14 +41,32 @@ def tokenizer_version(path: str) -> str:
         return hashlib.sha256(file.read()).hexdigest()[:32]
 
 
-def content_digest(text: Column, version: str, fold: bool = True) -> Column:
-    squeezed = F.regexp_replace(text, "[ \\t-\\r]+", " ")
-    folded = F.when(squeezed.rlike("\\p{M}"), squeezed).otherwise(
-        F.translate(squeezed, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+def with_digest(docs: DataFrame, version: str, fold: bool = True) -> DataFrame:
+    """``docs`` (whose ``text`` has no NULL) with ``digest``: the key of each text."""
+    text, plain, spaced = F.col("text"), F.col("plain_text"), F.col("spaced_text")
+    raw = F.concat(F.lit("raw:"), text)
+    if not fold:
+        return docs.withColumn("digest", _digest(raw, version))
+    # Columns of their own: inside one expression each use would compute them again.
+    # Most texts have no white space but single spaces and line breaks; those need no pattern.
+    odd = plain.contains("  ")
+    for space in ("\t", "\x0b", "\f", "\r"):
+        odd = odd | plain.contains(space)
+    folded = (
+        F.when(F.octet_length(spaced) == F.length(spaced), F.lower(spaced))  # ASCII only
+        .when(spaced.rlike("\\p{M}"), spaced)
+        .otherwise(F.translate(spaced, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
     )
-    content = F.when(text.contains("<|"), F.concat(F.lit("raw:"), text)).otherwise(F.concat(F.lit("folded:"), folded))
-    keyed = F.concat(F.lit(f"{version}:"), content if fold else F.concat(F.lit("raw:"), text))
-    return F.unhex(F.sha2(keyed.cast("binary"), 256))
+    return (
+        docs.withColumn("plain_text", F.replace(text, F.lit("\n"), F.lit(" ")))
+        .withColumn("spaced_text", F.when(odd, F.regexp_replace(plain, "[ \\t-\\r]+", " ")).otherwise(plain))
+        .withColumn("digest", _digest(F.when(text.contains("<|"), raw).otherwise(F.concat(F.lit("folded:"), folded)), version))
+        .drop("plain_text", "spaced_text")
+    )
+
+
+def _digest(content: Column, version: str) -> Column:
+    return F.unhex(F.sha2(F.concat(F.lit(f"{version}:"), content).cast("binary"), 256))
 
 
 def _count(text: Column, path: str) -> Column:
@@ -80,12 +98,8 @@ def token_counts(
     spark = docs.sparkSession
     path = tokenizer_path or public_path(TOKENIZER)
     version = tokenizer_version(path)
-    keyed = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")).select(
-        "doc_id",
-        "text",
-        F.octet_length("text").cast("long").alias("n_bytes"),
-        content_digest(F.col("text"), version, fold).alias("digest"),
-    )
+    texts = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    keyed = with_digest(texts, version, fold).withColumn("n_bytes", F.octet_length("text").cast("long"))
     # One text for each digest (partial aggregation folds a hot text inside each task).
     misses = (
         keyed.groupBy("digest")
@@ -94,5 +108,6 @@ def token_counts(
     )
     encoded = misses.select("digest", _count(F.col("text"), path).alias("n_tokens"), F.lit(version).alias("version"))
     encoded.write.mode("append").partitionBy("version").parquet(cache_path)
-    counted = keyed.drop("text").join(read_cache(spark, cache_path, version), "digest")
+    # A left join: an inner one would infer a filter on the digest, which computes it twice.  Every digest is stored now.
+    counted = keyed.drop("text").join(read_cache(spark, cache_path, version), "digest", "left")
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
