@@ -76,32 +76,41 @@ def _place(doc_id: Column, pos: Column) -> Column:
     return (doc_id.cast("decimal(20,0)") * F.lit(2**32).cast("decimal(11,0)") + pos).cast("decimal(38,0)")
 
 
-def _segment(n: Column, i: Column, edits: int) -> tuple[Column, Column]:
-    """Start (from 0) and length of segment ``i`` of a line of ``n`` characters."""
-    parts = edits + 1
-    longer = n % parts
-    base = ((n - longer) / parts).cast("int")
-    # The last `longer` segments have one character more.
-    over = i - (parts - longer)
-    return base * i + F.greatest(F.lit(0), over), base + F.when(over >= 0, 1).otherwise(0)
-
-
-def line_keys(lines: DataFrame, edits: int) -> DataFrame:
-    """``id, key, own``: for each line (``id, line, n``) the keys of the substrings that an intact segment of a
-    line at most ``edits`` shorter can be; ``own``: of its own segments, under which it is indexed."""
-    places = [
+def _places(edits: int) -> list[tuple[int, int, int]]:
+    """(how much shorter the indexed line is, segment number, shift) of the substrings that a line probes with."""
+    return [
         (less, i, shift)
         for less in range(edits + 1)
         for i in range(edits + 1)
         for shift in range(max(-i, less - (edits - i)), min(i, less + (edits - i)) + 1)
     ]
-    # One generated row for each place and one expression for all, which stays small enough to be compiled.
-    at = F.array(*[F.struct(*[F.lit(x).alias(c) for x, c in zip(place, ("less", "i", "shift"))]) for place in places])
-    m, i = F.col("n") - F.col("less"), F.col("i")
-    start, size = _segment(m, i, edits)
-    piece = F.substring(F.col("line"), start + F.col("shift") + 1, size)
-    own = (F.col("less") == 0) & (F.col("shift") == 0)
-    return lines.select("id", "line", "n", F.inline(at)).select("id", F.xxhash64(m, i, piece).alias("key"), own.alias("own"))
+
+
+def with_line_keys(lines: DataFrame, edits: int, min_chars: int) -> DataFrame:
+    """``lines`` (``line, n``) with ``keys``: for each place the key of the substring that an intact segment of a
+    line at most ``edits`` shorter can be; NULL for lines under ``min_chars``."""
+    parts = edits + 1
+    # The cuts of each length are columns of their own, which keeps the keys' expression small enough to be compiled.
+    cuts = {}
+    for less in range(edits + 1):
+        m = F.col("n") - less
+        cuts |= {f"longer_{less}": m % parts, f"base_{less}": F.floor(m / parts).cast("int")}
+
+    def key(less: int, i: int, shift: int) -> Column:
+        # The last `longer` segments have one character more.
+        longer, base = F.col(f"longer_{less}"), F.col(f"base_{less}")
+        start = base * i + F.greatest(F.lit(0), longer + (i - parts)) + (shift + 1)
+        size = base + F.when(longer >= parts - i, 1).otherwise(0)
+        return F.xxhash64(F.col("n") - less, F.lit(i), F.substring(F.col("line"), start, size))
+
+    keys = F.when(F.col("n") >= min_chars, F.array(*[key(*place) for place in _places(edits)]))
+    return lines.withColumns(cuts).withColumn("keys", keys).drop(*cuts)
+
+
+def line_keys(lines: DataFrame, edits: int) -> DataFrame:
+    """``id, key, own``: the ``keys`` of each line (``id, keys``); ``own``: of its own segments, under which it is indexed."""
+    own = [at for at, (less, _, shift) in enumerate(_places(edits)) if less == 0 and shift == 0]
+    return lines.select("id", F.posexplode("keys").alias("at", "key")).select("id", "key", F.col("at").isin(*own).alias("own"))
 
 
 def partnered_keys(lines: DataFrame, edits: int) -> DataFrame:
@@ -125,15 +134,19 @@ def partnered_keys(lines: DataFrame, edits: int) -> DataFrame:
 
 
 def near_links(lines: DataFrame, texts_of, edits: int) -> DataFrame:
-    """``a, a2, b, b2``: pairs of lines (``id, line, n``) within ``edits`` of each other, each pair once.
+    """``a, a2, b, b2``: pairs of lines (``id, keys``) within ``edits`` of each other, each pair once.
 
     ``texts_of(ids)`` gives ``id, id2, line`` for a table of ids.
     """
     partnered = written(partnered_keys(lines, edits), "partners")
     named = partnered.join(texts_of(partnered.select("id").distinct()), "id")
-    left = named.where("probes").select("key", F.struct("id", "id2").alias("a"), F.col("line").alias("line_a"))
+    left = named.where("probes").select(
+        "key", F.struct("id", "id2").alias("a"), F.col("line").alias("line_a"), F.col("indexed").alias("both_ways")
+    )
     right = named.where("indexed").select("key", F.struct("id", "id2").alias("b"), F.col("line").alias("line_b"))
-    close = (F.col("a") != F.col("b")) & (F.levenshtein("line_a", "line_b", edits) >= 0)
+    # Two lines that are both indexed under a key also probe each other: one way is enough.
+    once = F.when(F.col("both_ways"), F.col("a") < F.col("b")).otherwise(F.col("a") != F.col("b"))
+    close = once & (F.levenshtein("line_a", "line_b", edits) >= 0)
     pair = left.join(right, "key").where(close).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     return pair.select(
         F.col("a.id").alias("a"), F.col("a.id2").alias("a2"), F.col("b.id").alias("b"), F.col("b.id2").alias("b2")
@@ -146,11 +159,10 @@ def repeated_lines(docs: DataFrame, *, edits: int = EDITS, min_chars: int = MIN_
         raise ValueError("lines must be longer than twice the edits")
     plain = docs.select("doc_id", "text").where("doc_id is not null")
     lines = all_lines(plain)
-    # Places and line numbers, without texts, are read several times.
+    # Places, line numbers and keys, without texts, are read several times.
     short = (F.col("n") < min_chars).alias("short")
-    rows = written(lines.select("doc_id", "pos", short, *line_hashes(F.col("line"))), "lines").withColumn(
-        "place", _place(F.col("doc_id"), F.col("pos"))
-    )
+    keyed = with_line_keys(lines, edits, min_chars).select("doc_id", "pos", short, *line_hashes(F.col("line")), "keys")
+    rows = written(keyed, "lines").withColumn("place", _place(F.col("doc_id"), F.col("pos")))
     firsts = rows.groupBy("id", "id2").agg(F.min("place").alias("first"))
 
     def texts_of(ids: DataFrame) -> DataFrame:
@@ -180,11 +192,10 @@ def repeated_lines(docs: DataFrame, *, edits: int = EDITS, min_chars: int = MIN_
     # a proven size) only the first place makes keys, so no key is dealt more rows than that by one line.
     common = rows.groupBy("id").agg(F.count(F.lit(1)).alias("times"), F.min("place").alias("only"))
     common = common.where(F.col("times") > F.greatest(F.lit(REPEATS), rows.agg(F.count(F.lit(1))).scalar() / MOST_COMMON))
-    long = lines.where(F.col("n") >= min_chars).withColumn("id", F.xxhash64("line"))
-    once = long.join(F.broadcast(common.select("id", "only")), "id", "left").where(
-        F.col("only").isNull() | (F.col("only") == _place(F.col("doc_id"), F.col("pos")))
+    once = rows.where("not short").join(F.broadcast(common.select("id", "only")), "id", "left").where(
+        F.col("only").isNull() | (F.col("only") == F.col("place"))
     )
-    links = near_links(once.select("id", "line", "n"), texts_of, edits)
+    links = near_links(once.select("id", "keys"), texts_of, edits)
     both = (
         links.join(firsts.select(F.col("id").alias("a"), F.col("id2").alias("a2"), F.col("first").alias("first_a")), ["a", "a2"])
         .join(firsts.select(F.col("id").alias("b"), F.col("id2").alias("b2"), F.col("first").alias("first_b")), ["b", "b2"])
