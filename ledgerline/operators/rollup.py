@@ -123,6 +123,8 @@ def balance_mismatches(r: DataFrame, t: BankTables, as_of=None) -> DataFrame:
         .join(moved, "account_id", "left")
         .where(calculated != F.coalesce(to_money("balance"), F.lit(0)))
         .select("account_id", F.col("balance").alias("account_balance"), as_double(calculated).alias("calculated_balance"))
+        # The order samples its input: of an exchange, not of the sums and the join, which would run twice.
+        .hint("rebalance", "account_id")
         .orderBy(F.asc_nulls_first("account_id"))
     )
 

@@ -85,3 +85,11 @@ def test_merged_sums_are_dealt_once_by_account(spark, scratch):
     per_account = read_daily(spark, scratch).groupBy("account_id").count()
     assert per_account._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(") == 1
     _same(spark, scratch)
+
+
+def test_order_of_q4a_samples_an_exchange(spark, scratch):
+    publish_batch(spark, dict(_day(spark, *FIRST).items()), scratch, "a")
+    found = ROLLUP_QUERIES["q4a"](read_daily(spark, scratch), read_store(spark, scratch), AS_OF)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan[plan.index("Exchange rangepartitioning"):]
+    _same(spark, scratch)
