@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,17 +16,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@contextmanager
+def _shuffles_let_go(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the actions inside go when these end, not when the driver happens to collect its garbage.
+
+    For rows that are read from their written copy afterwards: nothing reads those files again.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The rows of ``df``, written once to the shared checkpoint folder."""
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with _shuffles_let_go(df.sparkSession):
+        return df.select("*").checkpoint(eager=True)  # a frame has the settings of when it was made
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a fresh Parquet table in the shared folder, read back."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    with _shuffles_let_go(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
